@@ -15,7 +15,6 @@ rows are matched each for itself; empty tables give no rows; extra columns are i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,11 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPACE = re.compile(r"\s+")
-
-
 def fold(text: str) -> str:
-    return SPACE.sub(" ", text.lower()).strip()
+    return " ".join(text.lower().split())
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -135,7 +131,7 @@ def _groups(items: DataFrame, item_id: str, text: str, group_chars: int) -> Iter
         yield group
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.07, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, start, end (in the folded text), distance: a row for every document and
     item that occurs in it, at the item's best place."""
     schema = "doc_id bigint, item_id bigint, start int, end int, distance int"

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ _CLASS[65:91], _CLASS[97:123], _CLASS[48:58], _CLASS[128:] = _UPPER, _LOWER, _DI
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _PROSE = np.zeros(256, bool)
 _PROSE[[ord(c) for c in ".,;:'\"-?"]] = True
-OWN = 14  # features of a line; its neighbours' are added
+OWN = 15  # features of a line; its neighbours' are added
 N_FEATURES = 1 + 3 * OWN + 2
 
 
@@ -58,6 +59,7 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
             pairs = set(zip(words, words[1:]))
             own[i, 7] = 1 - len(unique) / len(words)
             own[i, 8] = 1 - len(pairs) / max(1, len(words) - 1) if len(words) > 1 else 0
+            own[i, 14] = sum(map(eq, words, words[1:])) / len(words)
             own[i, 9] = min(2.0, len(line) / len(words) / 8)
             own[i, 13] = len(unique & seen) / len(unique) if len(seen) else 0
             seen |= unique
@@ -109,13 +111,13 @@ def _batched(scores: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tuple[n
     z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
     node = np.exp(np.minimum(alpha + beta - z[:, None, None], 0)) * mask[..., None]
     edge = np.exp(np.minimum(alpha[:, :-1, :, None] + trans + (scores + beta)[:, 1:, None, :] - z[:, None, None, None], 0)) * mask[:, 1:, None, None]
-    return node, edge.sum((0, 1))
+    return node, edge.sum(1)
 
 
 def fit_weights(chains: list[np.ndarray], labels: np.ndarray, ridge: float = 1.0, steps: int = 150) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the label good against bad (f,) and transitions (2, 2), by accelerated
-    gradient steps on the mean log likelihood of the chains; both classes weigh alike by
-    half their counts' imbalance."""
+    gradient steps on the mean log likelihood of the chains; chains of the rarer class weigh
+    by the square root of the classes' ratio."""
     order = np.argsort([len(c) for c in chains], kind="stable")
     groups = []
     for at in range(0, len(order), 256):
@@ -127,6 +129,7 @@ def fit_weights(chains: list[np.ndarray], labels: np.ndarray, ridge: float = 1.0
             x[j, : len(chains[i])] = chains[i]
             mask[j, : len(chains[i])] = True
         groups.append((x, mask, labels[own]))
+    heavy = np.sqrt(np.clip([(labels > 0).sum() / max(1, (labels == 0).sum()), (labels == 0).sum() / max(1, (labels > 0).sum())], 1, 100))
     total = sum(len(c) for c in chains)
     w, t = np.zeros(N_FEATURES), np.zeros((2, 2))
     vw, vt, rate = np.zeros_like(w), np.zeros_like(t), 0.5
@@ -137,9 +140,10 @@ def fit_weights(chains: list[np.ndarray], labels: np.ndarray, ridge: float = 1.0
             s = np.zeros((*mask.shape, 2))
             s[..., 1] = x @ at_w
             node, edge = _batched(s, mask, at_t)
-            gw = gw + np.tensordot(x, (mask * y[:, None]) - node[..., 1], ([0, 1], [0, 1]))
-            pairs = mask[:, 1:].sum(1)
-            gt = gt - edge + np.diag([(pairs * (1 - y)).sum(), (pairs * y).sum()])
+            c = heavy[y.astype(int)]
+            gw = gw + np.tensordot(x, c[:, None] * ((mask * y[:, None]) - node[..., 1]), ([0, 1], [0, 1]))
+            pairs = mask[:, 1:].sum(1) * c
+            gt = gt - (edge * c[:, None, None]).sum(0) + np.diag([(pairs * (1 - y)).sum(), (pairs * y).sum()])
         vw, vt = 0.9 * vw + rate * gw / total, 0.9 * vt + rate * gt / total
         w, t = w + vw, t + vt
     return w, t

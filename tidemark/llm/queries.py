@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality_crf, secrets, simhash, toxicity
+from . import ann, decontam, html_extract, mixing, quality_crf, sa_dedup, secrets, simhash, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
@@ -29,13 +33,26 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sa_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_benchmark_decontamination, op4_toxicity, op5_secret_scan, op8_source_mix, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_toxicity, op5_secret_scan, op6_suffix_array_dedup, op7_token_counts, op8_source_mix, op9_nearest_neighbours, op10_quality)}
 SQL: dict[str, str] = {}

@@ -154,12 +154,13 @@ def features(words: set[str]) -> set[str]:
 
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int, y: np.ndarray, ridge: float = 0.02, steps: int = 300) -> tuple[np.ndarray, float]:
     """Weights (none below zero) and bias of a logistic model over binary features, by
-    accelerated gradient steps; classes weigh by their number."""
-    w, b = np.zeros(n_cols), log((y.sum() + 0.5) / (n_rows - y.sum() + 0.5))
-    vw, vb, rate = np.zeros(n_cols), 0.0, 2.0
+    accelerated gradient steps; both classes weigh the same."""
+    weight = np.where(y > 0, n_rows / 2 / max(y.sum(), 1), n_rows / 2 / max(n_rows - y.sum(), 1))
+    w, b = np.zeros(n_cols), 0.0
+    vw, vb, rate = np.zeros(n_cols), 0.0, 1.0
     for _ in range(steps):
         z = np.bincount(rows, (w + 0.9 * vw)[cols], n_rows) + b
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n_rows
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / n_rows
         vw = 0.9 * vw - rate * (np.bincount(cols, g[rows], n_cols) + ridge * w / n_rows)
         vb = 0.9 * vb - rate * g.sum()
         new = np.maximum(w + vw, 0)
@@ -208,7 +209,7 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 3000, min_docs: int = 3) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 3000, min_docs: int = 4, min_share: float = 0.01) -> ToxicityModel:
     chars = character_counts(docs).toPandas()  # at most 28**4 rows
     win, n = chars["win"].to_numpy(np.int64), chars["n"].to_numpy(np.int64)
     empty = ToxicityModel(win, n, {}, -30.0)
@@ -229,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
         return empty
     counts = bags.select("label", F.explode("f").alias("f")).groupBy("f").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
     odds = (F.col("pos") + 0.1) / n_pos / ((F.col("neg") + 0.5) / (n_rows - n_pos))
-    best = counts.where((F.col("pos") >= min_docs) & (odds > 6)).orderBy((F.col("pos") * F.log(odds)).desc(), "f").limit(max_features)
+    best = counts.where((F.col("pos") >= max(min_docs, min_share * n_pos)) & (odds > 6)).orderBy((F.col("pos") * F.log(odds)).desc(), "f").limit(max_features)
     names = [r.f for r in best.select("f").collect()]  # at most max_features
     if not names:
         empty.bias = log(n_pos / (n_rows - n_pos))
@@ -243,7 +244,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     y[: len(got)] = [r.label for r in got]
     y[len(got) : len(got) + int(n_pos - y.sum())] = 1  # rows without any feature
     w, b = fit_logistic(rows, cols, n_rows, len(names), y)
-    # a class that is rarer than the other must not need more evidence for that alone
     return ToxicityModel(win, n, {f: float(x) for f, x in zip(names, w) if x > 1e-4}, float(b))
 
 
