@@ -174,9 +174,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_lines: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, t, y in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                x = line_features(t)[0].astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([d]), pa.array([y], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["doc_id", "label", "x"])
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                x = [line_features(t)[0].astype(np.float32).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(x, pa.binary())], names=["doc_id", "label", "x"])
 
     sample = labelled(docs, labels, "quality", max_rows).select("doc_id", utf8().alias("text"), "label")
     got = sample.mapInArrow(run, "doc_id bigint, label int, x binary").toLocalIterator()

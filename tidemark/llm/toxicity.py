@@ -18,6 +18,7 @@ no documents give no rows; repeated rows are scored each for itself.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import log
 
@@ -38,9 +39,11 @@ for _c in range(26):
 _CODE[128:] = 27
 
 ODD = re.compile(r"[0-9@$!|+€(]")
-STRETCH = re.compile(r"\S*?([^\W\d_])\1\1\S*")
-SPACED = re.compile(r"(?<!\S)(?:[^\s](?:[ .\-_*]{1,2}))(?:[^\s](?:[ .\-_*]{1,2})){2,}[^\s](?!\S)")
-EDGE = re.compile(r"^[^\w@$€(|+!]+|[^\w]+$")
+STRETCH = re.compile(r"(.)\1\1")
+SPACED = re.compile("1{4,}")  # in a row of ones for words of one character
+EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "«»¿¡“”„…–—"
+TAIL = "@$"
+PARTS = re.compile(r"[\W_]+")
 INNER = re.compile(r"(?<=\w)[.\-_*](?=\w)")
 
 
@@ -127,45 +130,57 @@ class Decoder:
 
 def tokens(text: str, decoder: Decoder | None) -> set[str]:
     """The words of a text with odd ones restored."""
-    text = text.lower()
-    raw = set(text.split())
+    listed = text.lower().split()
+    raw = set(listed)
     words = {t for t in raw if t.isalpha()}
     for t in raw - words:
-        t = EDGE.sub("", t)
+        t = t.strip(EDGES)
         if t.isalpha():
             words.add(t)
         elif t:
-            words.update(p for p in re.split(r"[\W_]+", t) if p.isalpha())
+            words.update(p for p in PARTS.split(t) if p.isalpha())
             if decoder and any(map(str.isalpha, t)):
-                joined = INNER.sub("", t)
+                joined = INNER.sub("", t.rstrip(TAIL))
                 words.add(decoder.restore(joined) if ODD.search(joined) else joined)
     if decoder:
-        words.update(decoder.restore(m) for m in [m.group() for m in STRETCH.finditer(" ".join(words))])
-        for m in SPACED.finditer(text):
-            joined = re.sub(r"[ .\-_*]", "", m.group())
-            words.add(decoder.restore(joined))
+        data = np.frombuffer("\n".join(words).encode("utf-32-le", "replace"), np.uint32)
+        if len(data) > 2 and ((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])).any():
+            words.update([decoder.restore(w) for w in words if STRETCH.search(w)])
+        single = "".join(["1" if len(t) == 1 else "0" for t in listed])
+        for m in SPACED.finditer(single):
+            words.add(decoder.restore("".join(listed[m.start() : m.end()])))
     return words
 
 
+STARTS = (4, 5, 6, 7)
+
+
 def features(words: set[str]) -> set[str]:
-    """Whole words, and beginnings of four and five letters (marked by a leading ^)."""
-    return words | {"^" + w[:4] for w in words if len(w) > 4} | {"^" + w[:5] for w in words if len(w) > 5}
-
-
-def fit_logistic(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int, y: np.ndarray, ridge: float = 0.02, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights (none below zero) and bias of a logistic model over binary features, by
-    accelerated gradient steps; both classes weigh the same."""
-    weight = np.where(y > 0, n_rows / 2 / max(y.sum(), 1), n_rows / 2 / max(n_rows - y.sum(), 1))
-    w, b = np.zeros(n_cols), 0.0
-    vw, vb, rate = np.zeros(n_cols), 0.0, 1.0
-    for _ in range(steps):
-        z = np.bincount(rows, (w + 0.9 * vw)[cols], n_rows) + b
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / n_rows
-        vw = 0.9 * vw - rate * (np.bincount(cols, g[rows], n_cols) + ridge * w / n_rows)
-        vb = 0.9 * vb - rate * g.sum()
-        new = np.maximum(w + vw, 0)
-        vw, w, b = new - w, new, b + vb
-    return w, b
+    """Whole words, their beginnings of four to seven letters (led by ^), and beginnings that
+    two words or more share (led by +)."""
+    out = set(words)
+    for k in STARTS:
+        starts = Counter([w[:k] for w in words if len(w) > k])
+        out.update(["^" + s for s in starts])
+        out.update(["+" + s for s, n in starts.items() if n > 1])
+    return out
+
+
+def fit_logistic(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int, y: np.ndarray, ridge: float = 0.5, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Weights (none below zero) and bias of a logistic model over binary features, by Adam
+    steps; rows of the rarer class weigh by the square root of the classes' ratio."""
+    n_pos = y.sum()
+    ratio = np.sqrt((n_rows - n_pos) / max(n_pos, 1))
+    weight = np.where(y > 0, max(ratio, 1), max(1 / ratio, 1)) if ratio > 0 else np.ones(n_rows)
+    w, m, v = (np.zeros(n_cols + 1) for _ in range(3))
+    for step in range(1, steps + 1):
+        z = np.bincount(rows, w[cols], n_rows) + w[-1]
+        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
+        g = np.r_[np.bincount(cols, e[rows], n_cols) + ridge * w[:-1], e.sum()] / n_rows
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
+        w[:-1] = np.maximum(w[:-1], 0)
+    return w[:-1], float(w[-1])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
@@ -199,12 +214,15 @@ class ToxicityModel:
 
     def score(self, text: str) -> float:
         if not hasattr(self, "_by"):
-            self._words = {f for f in self.weights if f[0] != "^"}
-            self._by = {k: {f[1:] for f in self.weights if f[0] == "^" and len(f) == k + 1} for k in (4, 5)}
+            self._words = {f for f in self.weights if f[0] not in "^+"}
+            self._by = {k: {f[1:] for f in self.weights if f[0] in "^+" and len(f) == k + 1} for k in STARTS}
         words = tokens(text, self.decoder)
         got = words & self._words
-        for k, starts in self._by.items():
-            got |= {"^" + s for s in starts & {w[:k] for w in words if len(w) > k}}
+        for k, known in self._by.items():
+            starts = [s for s in [w[:k] for w in words if len(w) > k] if s in known]
+            got.update(["^" + s for s in starts])
+            got.update(["+" + s for s, n in Counter(starts).items() if n > 1])
+        got &= self.weights.keys()
         z = self.bias + sum(self.weights[f] for f in got)
         return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
 
@@ -218,9 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(*tables.value)
         for batch in batches:
-            for d, t, y in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                f = sorted(features(tokens(t or "", decoder)))
-                yield pa.RecordBatch.from_arrays([pa.array([d]), pa.array([y], pa.int32()), pa.array([f], pa.list_(pa.string()))], names=["doc_id", "label", "f"])
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                f = [sorted(features(tokens(t or "", decoder))) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(f, pa.list_(pa.string()))], names=["doc_id", "label", "f"])
 
     bags = cut(labelled(docs, labels, "toxic", max_rows).select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, f array<string>"), "bags")
     n_rows, n_pos = bags.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
