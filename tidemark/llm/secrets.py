@@ -110,6 +110,8 @@ def findings_by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...
         .agg(F.flatten(F.collect_list(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[F.col("kind")].alias("rank"), s["end"].alias("end"), F.col("kind").alias("kind"))))).alias("found"))
         .withColumn("found", F.array_sort("found"))
     )  # a blob has at most one row a rule here
+    # a table of its own: the join below can then split the versions of a blob that many paths hold
+    per_blob = cut(per_blob, "findings")
     empty = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")
     return paths.join(per_blob, "blob", "left").select("path", "blob", F.coalesce("found", empty).alias("found"))
 
@@ -140,6 +142,7 @@ def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
     fresh, _ = scan_blobs(docs)
     ledger = cut(fresh.where(F.size("spans") > 0), "ledger")
     per_blob = ledger.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans"))
+    per_blob = cut(per_blob, "findings")
     text = F.col("text")
     walked = F.aggregate(
         "__spans",
