@@ -135,7 +135,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return rows.select("doc", F.lit(0).alias("copy"), "text")
 
 
-def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 20_000, shard_bytes: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 2_000, shard_bytes: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """(ranges, packed): doc, copy, pos, n - windows pos .. pos + n - 1 of a document repeat
     earlier ones; doc, copy, z - the documents' bytes, compressed for shuffles."""
     rows = _numbered(docs)
@@ -205,7 +205,14 @@ def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 20_000, sh
 
     packed = rows.mapInArrow(pack, "doc bigint, copy int, z binary")
     crowded = mixed.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("m", F.lit(True).alias("hot"))
-    asked = mixed.join(crowded, "m", "left").groupBy("doc", "copy").agg(F.collect_list(F.struct("m", "pos", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("a"))
+    # the crowded anchors are at most 1 / hot of the stretches: none or few, else joined by a shuffle
+    crowded = cut(crowded, "crowded")
+    n_crowded = crowded.count()
+    if n_crowded:
+        mixed = mixed.join(F.broadcast(crowded) if n_crowded <= 500_000 else crowded, "m", "left")
+    else:
+        mixed = mixed.withColumn("hot", F.lit(False))
+    asked = mixed.groupBy("doc", "copy").agg(F.collect_list(F.struct("m", "pos", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("a"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +235,7 @@ def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 20_000, sh
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((m, hot_, doc, copy, pos, bits, hashes), kinds)], names=["m", "hot", "doc", "copy", "pos", "bytes", "hash"])
 
     fetched = packed.join(asked, ["doc", "copy"]).mapInArrow(fetch, "m bigint, hot boolean, doc bigint, copy int, pos int, bytes binary, hash binary")
-    if crowded.limit(1).count():
+    if n_crowded:
         fetched = cut(fetched, "fetched")
         windows = fetched.where("hot").select("hash", "doc", "copy", "pos")
         least = windows.groupBy("hash").agg(F.min(F.struct("doc", "copy", "pos")).alias("least"), F.count("*").alias("c")).where("c > 1")
