@@ -98,7 +98,7 @@ def mix_sources(docs: DataFrame, block: int = 64, shard_slots: int = 4096, weigh
 
     # the place of each document in its source's stream: sums within buckets, then over buckets
     rows = sized.count()
-    buckets = max(16, rows // 20_000)
+    buckets = max(64, min(rows // 1000, 65_536))
     placed = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     within = placed.withColumn("before", F.sum("size").over(W.partitionBy("src", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, 0)) - F.col("size"))
     per_bucket = placed.groupBy("src", "bucket").agg(F.sum("size").alias("total"))
@@ -144,7 +144,7 @@ def _slots(targets: DataFrame, shard_slots: int, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "src", "n"), x)) for x in out], schema=pa.schema([("shard", pa.int64()), ("src", pa.string()), ("n", pa.int64())]))
 
     # the one row of chances, a few bytes a source, goes to every shard: a draw needs all of them
-    drawn = dealt.withColumn("one", F.lit(1)).join(F.broadcast(chances.withColumn("one", F.lit(1))), "one").select("shard", "n", "chances").mapInArrow(draw, "shard bigint, src string, n bigint")
+    drawn = dealt.withColumn("zero", F.pmod("shard", F.lit(1))).join(F.broadcast(chances.withColumn("zero", F.lit(0).cast("bigint"))), "zero").select("shard", "n", "chances").mapInArrow(draw, "shard bigint, src string, n bigint")
     over = W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, 0)
     drawn = drawn.withColumn("stop", F.sum("n").over(over)).withColumn("from", F.col("stop") - F.col("n"))
     most = wide.select("src", "n_slots")
