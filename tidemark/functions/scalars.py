@@ -19,21 +19,26 @@ def _big(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often use refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def in_range(ns: Column) -> Column:
-    return F.when((ns >= 0) & (ns <= _big(LAST_SECOND * NS)), ns)
+    return let(ns, lambda v: F.when((v >= 0) & (v <= _big(LAST_SECOND * NS)), v))
 
 
 def epoch_to_ns(text: Column) -> Column:
     """Digits as ns, us, ms or s by magnitude; null if negative, not digits or out of range."""
-    n = text.try_cast("decimal(38,0)")
-    scaled = (
-        F.when(n >= F.lit(10**17).cast("decimal(38,0)"), n)
-        .when(n >= F.lit(10**14).cast("decimal(38,0)"), n * 1000)
-        .when(n >= F.lit(10**11).cast("decimal(38,0)"), n * 1_000_000)
-        .otherwise(n * NS)
-    )
-    fits = (n >= 0) & (n <= F.lit(LAST_SECOND * NS).cast("decimal(38,0)"))
-    return in_range(F.when(fits, scaled).cast("decimal(38,0)").try_cast("bigint"))
+
+    def scale(n: Column) -> Column:
+        ladder = [(10**17, 1), (10**14, 1000), (10**11, 1_000_000)]
+        out = n * NS
+        for least, by in reversed(ladder):
+            out = F.when(n >= F.lit(least).cast("decimal(38,0)"), (n * by).cast("decimal(38,0)")).otherwise(out.cast("decimal(38,0)"))
+        return F.when((n >= 0) & (n <= F.lit(LAST_SECOND * NS).cast("decimal(38,0)")), out)
+
+    return in_range(let(text.try_cast("decimal(20,0)"), scale).try_cast("bigint"))
 
 
 def epoch_seconds_double_to_ns(seconds: Column) -> Column:
@@ -49,6 +54,10 @@ ISO = r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:\.(\d+))?)?)
 def iso_to_ns(text: Column) -> Column:
     """ISO date, or date and time with an optional fraction (cut to nanoseconds) and zone
     (UTC if none); null if the text has another shape or names no real instant."""
+    return let(text, _iso_to_ns)
+
+
+def _iso_to_ns(text: Column) -> Column:
     part = lambda i: F.regexp_extract(text, ISO, i)
     number = lambda i: F.when(part(i) == "", F.lit(0)).otherwise(part(i).try_cast("int"))
     zone = part(8)
@@ -64,8 +73,7 @@ def iso_to_ns(text: Column) -> Column:
 
 def parse_timestamp_ns(value: Column) -> Column:
     """Text of either kind to nanoseconds; null if neither."""
-    text = F.trim(value)
-    return F.when(text.rlike(r"^-?[0-9]+$"), epoch_to_ns(text)).otherwise(iso_to_ns(text))
+    return let(F.trim(value), lambda t: F.when(t.rlike(r"^-?[0-9]+$"), epoch_to_ns(t)).otherwise(iso_to_ns(t)))
 
 
 def format_timestamp_ns(ns: Column) -> Column:
@@ -80,24 +88,30 @@ NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 def lexeme(value: Column) -> Column:
     """A number's text without space, thousands separators and currency signs; null if it is
     no finite number, longer than 64 characters, or scaled by more than 50 powers of ten."""
-    cleaned = F.trim(F.translate(F.trim(value), ",$€£", ""))
-    power = F.coalesce(F.abs(F.regexp_extract(cleaned, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")), F.lit(0))
-    return F.when((F.length(F.trim(value)) <= 64) & cleaned.rlike(NUMBER) & (power <= 50), cleaned)
+    power = lambda c: F.coalesce(F.abs(F.regexp_extract(c, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")), F.lit(0))
+    cleaned = F.when(F.length(F.trim(value)) <= 64, F.trim(F.translate(F.trim(value), ",$€£", "")))
+    return let(cleaned, lambda c: F.when(c.rlike(NUMBER) & (power(c) <= 50), c))
 
 
 def format_decimal(lex: Column) -> Column:
     """Canonical text of a lexeme: plain digits, the exponent expanded, trailing zeros kept."""
-    sign = F.when(F.startswith(lex, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(lex, r"^[+-]|[eE].*$", "")
-    whole, fraction = F.regexp_extract(body, r"^([0-9]*)", 1), F.regexp_extract(body, r"\.([0-9]*)$", 1)
-    power = F.coalesce(F.regexp_extract(lex, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    digits, point = F.concat(whole, fraction), F.length(whole) + power
-    digits = F.when(point < 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(digits)
-    point = F.greatest(point, F.lit(0))
-    digits = F.when(F.length(digits) < point, F.rpad(digits, point, F.lit("0"))).otherwise(digits)
-    left = F.regexp_replace(F.concat(F.lit("0"), F.substring(digits, F.lit(1), point)), r"^0+(?=[0-9])", "")
-    right = F.substring(digits, point + 1, F.greatest(F.length(digits), F.lit(1)))
-    return F.when(lex.isNotNull(), F.concat(sign, left, F.when(right != "", F.concat(F.lit("."), right)).otherwise(F.lit(""))))
+
+    def split(x: Column) -> Column:
+        body = F.regexp_replace(x, r"^[+-]|[eE].*$", "")
+        power = F.coalesce(F.regexp_extract(x, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+        whole = F.regexp_extract(body, r"^([0-9]*)", 1)
+        return F.struct(F.when(F.startswith(x, F.lit("-")), "-").otherwise("").alias("sign"), F.concat(whole, F.regexp_extract(body, r"\.([0-9]*)$", 1)).alias("digits"), (F.length(whole) + power).alias("point"))
+
+    def pad(n: Column) -> Column:
+        longer = F.concat(F.repeat(F.lit("0"), F.greatest(-n["point"], F.lit(0))), n["digits"], F.repeat(F.lit("0"), F.greatest(n["point"] - F.length(n["digits"]), F.lit(0))))
+        return F.struct(n["sign"].alias("sign"), longer.alias("digits"), F.greatest(n["point"], F.lit(0)).alias("point"))
+
+    def join(n: Column) -> Column:
+        left = F.regexp_replace(F.concat(F.lit("0"), F.substring(n["digits"], F.lit(1), n["point"])), r"^0+(?=[0-9])", "")
+        right = F.substring(n["digits"], n["point"] + 1, F.length(n["digits"]))
+        return F.concat(n["sign"], left, F.when(F.length(n["digits"]) > n["point"], F.concat(F.lit("."), right)).otherwise(""))
+
+    return let(lex, lambda x: F.when(x.isNotNull(), let(let(split(x), pad), join)))
 
 
 def to_decimal(canonical: Column, spec: DecimalSpec = SPEC) -> Column:
@@ -109,8 +123,7 @@ def to_decimal(canonical: Column, spec: DecimalSpec = SPEC) -> Column:
 
 
 def side(value: Column) -> Column:
-    s = F.upper(F.trim(F.coalesce(value, F.lit(""))))
-    return F.when(s.isin(*BUY), "BUY").when(s.isin(*SELL), "SELL").otherwise("UNKNOWN")
+    return let(F.upper(F.trim(F.coalesce(value, F.lit("")))), lambda s: F.when(s.isin(*BUY), "BUY").when(s.isin(*SELL), "SELL").otherwise("UNKNOWN"))
 
 
 def _identity(*parts: Column) -> Column:

@@ -38,6 +38,12 @@ def pick(fields: Column, names: list[str]) -> Column:
     return out
 
 
+def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns that later steps refer to many times: a generator of one row stands
+    between, through which the optimizer does not copy their expressions."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def event_kind(fields: Column, lowered: Column, aliases: dict[str, dict[str, list[str]]] = ALIASES) -> Column:
     said = F.coalesce(*[F.when(fields[k] != "", fields[k]) for k in ("event_type", "type", "record_type")])
     said = F.upper(F.trim(F.coalesce(said, F.lit(""))))
@@ -58,34 +64,37 @@ def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES
     canonical columns of both kinds (null on the other), and error_code, error_field,
     error_message, severity of the first check that failed."""
     spare = F.coalesce("fields", F.expr("map()").cast("map<string,string>"))
-    df = raw.withColumn("__f", spare).withColumn("__l", F.transform_keys("__f", lambda k, v: F.lower(F.trim(k))))
+    df = raw.withColumn("__f", spare)
+    df = staged(df, {"__l": F.transform_keys("__f", lambda k, v: F.lower(F.trim(k)))})
     f, low = F.col("__f"), F.col("__l")
-    df = df.withColumn("event_type", event_kind(f, low, aliases))
+    df = staged(df, {"event_type": event_kind(f, low, aliases)})
     trade = F.col("event_type") == "TRADE"
     fields = {**aliases["trade"], **aliases["quote"]}
+    picked = {}
     for name in fields:
         by = [aliases[kind].get(name) for kind in ("trade", "quote")]
         values = [pick(low, names) if names else F.lit(None).cast("string") for names in by]
-        df = df.withColumn(f"__{name}", F.when(trade, values[0]).otherwise(values[1]))
-    df = df.withColumn("symbol", F.upper(F.trim("__symbol"))).withColumn("timestamp_ns", S.parse_timestamp_ns(F.col("__timestamp")))
+        picked[f"__{name}"] = F.when(trade, values[0]).otherwise(values[1])
+    df = staged(df, picked)
+    amounts = ["price", "size", *QUOTE_SIDES]
+    own = {n: trade if n in ("price", "size") else ~trade for n in amounts}
+    texts = {f"{n}_text": F.when(own[n], S.format_decimal(S.lexeme(F.col(f"__{n}")))) for n in amounts}
+    df = staged(df, {"symbol": F.upper(F.trim("__symbol")), "timestamp_ns": S.parse_timestamp_ns(F.col("__timestamp")), **texts})
+    df = staged(df, {n: S.to_decimal(F.col(f"{n}_text"), spec) for n in amounts})
     missing = lambda c: c.isNull() | (F.trim(c) == "")
     checks: list[tuple[Column, str, str]] = [
         (missing(F.col("__symbol")), "ERR_MISSING_SYMBOL", "symbol"),
         (missing(F.col("__timestamp")), "ERR_MISSING_TIMESTAMP", "timestamp"),
         (F.col("timestamp_ns").isNull(), "ERR_INVALID_TIMESTAMP", "timestamp"),
     ]
-    for name in ["price", "size", *QUOTE_SIDES]:
-        own = trade if name in ("price", "size") else ~trade
-        df = df.withColumn(f"{name}_text", F.when(own, S.format_decimal(S.lexeme(F.col(f"__{name}"))))).withColumn(name, S.to_decimal(F.col(f"{name}_text"), spec))
-        upper = name.upper()
-        checks += [
-            (own & missing(F.col(f"__{name}")), f"ERR_MISSING_{upper}", name),
-            (own & F.col(f"{name}_text").isNull(), f"ERR_INVALID_{upper}", name),
-        ]
-    checks += [((trade if n in ("price", "size") else ~trade) & F.col(n).isNull(), "ERR_DECIMAL_RANGE", n) for n in ["price", "size", *QUOTE_SIDES]]
-    failed = F.filter(F.array(F.when(F.col("parse_error").isNotNull(), F.struct(F.lit("ERR_PARSE_FAILURE").alias("code"), F.lit(None).cast("string").alias("field"))), *[F.when(c, F.struct(F.lit(code).alias("code"), F.lit(field).alias("field"))) for c, code, field in checks]), lambda x: x.isNotNull())
-    df = df.withColumn("__failed", F.get(failed, F.lit(0)))
-    df = df.withColumn("error_code", F.col("__failed.code")).withColumn("error_field", F.col("__failed.field"))
+    for n in amounts:
+        checks += [(own[n] & missing(F.col(f"__{n}")), f"ERR_MISSING_{n.upper()}", n), (own[n] & F.col(f"{n}_text").isNull(), f"ERR_INVALID_{n.upper()}", n)]
+    checks += [(own[n] & F.col(n).isNull(), "ERR_DECIMAL_RANGE", n) for n in amounts]
+    code = F.when(F.col("parse_error").isNotNull(), F.struct(F.lit("ERR_PARSE_FAILURE").alias("code"), F.lit("").alias("field")))
+    for when, name, field in checks:
+        code = code.when(when, F.struct(F.lit(name).alias("code"), F.lit(field).alias("field")))
+    df = staged(df, {"__failed": code})
+    df = df.withColumn("error_code", F.col("__failed.code")).withColumn("error_field", F.nullif(F.col("__failed.field"), F.lit("")))
     df = df.withColumn("error_message", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", F.col("parse_error")).when(F.col("error_code").isNotNull(), F.concat(F.lit("field "), F.col("error_field"), F.lit(" is missing or invalid"))))
     df = df.withColumn("severity", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", "FATAL_SYNTAX").when(F.col("error_code").isNotNull(), "HARD_INVALID"))
     df = df.withColumn("side", F.when(trade, S.side(F.col("__side"))))
