@@ -88,7 +88,8 @@ NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 def lexeme(value: Column) -> Column:
     """A number's text without space, thousands separators and currency signs; null if it is
     no finite number, longer than 64 characters, or scaled by more than 50 powers of ten."""
-    power = lambda c: F.coalesce(F.abs(F.regexp_extract(c, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")), F.lit(0))
+    said = lambda c: F.regexp_extract(c, r"[eE]([+-]?[0-9]+)$", 1)
+    power = lambda c: F.when(said(c) == "", 0).otherwise(F.coalesce(F.abs(said(c).try_cast("int")), F.lit(999)))
     cleaned = F.when(F.length(F.trim(value)) <= 64, F.trim(F.translate(F.trim(value), ",$€£", "")))
     return let(cleaned, lambda c: F.when(c.rlike(NUMBER) & (power(c) <= 50), c))
 
