@@ -8,7 +8,10 @@ from pyspark.sql.window import Window as W
 
 from ..prefix import prefix_scan
 
-PRIORITY = F.when(F.col("event_type") == "TRADE", F.lit(1)).otherwise(F.lit(2))
+def priority() -> Column:
+    return F.when(F.col("event_type") == "TRADE", F.lit(1)).otherwise(F.lit(2))
+
+
 REPLAY_ORDER = ["timestamp_ns", "event_type_priority", "event_id"]
 
 
@@ -26,7 +29,7 @@ def with_watermark(events: DataFrame, feed: list[str], order: list[str], latenes
 
 
 def emission_key(arrival: Column) -> list[Column]:
-    return [F.col("timestamp_ns"), PRIORITY, F.coalesce(F.col("sequence_id"), arrival), F.col("event_id")]
+    return [F.col("timestamp_ns"), priority(), F.coalesce(F.col("sequence_id"), arrival), F.col("event_id")]
 
 
 def dedup(events: DataFrame) -> DataFrame:
@@ -45,7 +48,7 @@ def replay(trades: DataFrame, quotes: DataFrame, symbol: str | None = None, star
     both = both.where(F.col("timestamp_ns").between(start_ns, end_ns) & F.col("event_type").isin(*[t.strip().upper() for t in event_types]))
     if symbol is not None:
         both = both.where(F.col("symbol") == symbol.strip().upper())
-    both = both.withColumn("event_type_priority", PRIORITY)
+    both = both.withColumn("event_type_priority", priority())
     return both.orderBy(*REPLAY_ORDER) if ordered else both
 
 

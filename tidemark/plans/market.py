@@ -42,7 +42,7 @@ def feed(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
 
 
 def canonical(spark: SparkSession, d: str) -> DataFrame:
-    return normalize(feed(spark, d)).where("error_code is null").withColumn("event_type_priority", reorder.PRIORITY)
+    return normalize(feed(spark, d)).where("error_code is null").withColumn("event_type_priority", reorder.priority())
 
 
 def _double(df: DataFrame, *names: str) -> DataFrame:
