@@ -9,10 +9,6 @@ from pyspark.sql.window import Window as W
 from ..functions import scalars as S
 from .reorder import REPLAY_ORDER
 
-REPLAY = W.partitionBy("symbol").orderBy(*REPLAY_ORDER)
-RUNNING = REPLAY.rowsBetween(W.unboundedPreceding, 0)
-
-
 def _ratio(a, b, otherwise):
     return F.when(b > 0, a.cast("double") / b.cast("double")).otherwise(otherwise)
 
@@ -21,15 +17,17 @@ def series(events: DataFrame) -> DataFrame:
     """events with running volume, notional, VWAP and imbalance (trades; null-safe on quotes),
     spread figures (quotes) and the gap to the event before. One window, one shuffle."""
     c = F.col
+    by_replay = W.partitionBy("symbol").orderBy(*REPLAY_ORDER)
+    running = by_replay.rowsBetween(W.unboundedPreceding, 0)
     zero = F.lit(0).cast("decimal(18,6)")
     size, sided = F.coalesce(c("size"), zero), lambda s: F.coalesce(F.when(c("side") == s, c("size")), zero)
     df = (
-        events.withColumn("cum_volume", F.sum(size).over(RUNNING))
-        .withColumn("cum_notional", F.sum(F.coalesce(c("price") * c("size"), F.lit(0).cast("decimal(37,12)"))).over(RUNNING))
-        .withColumn("__buy", F.sum(sided("BUY")).over(RUNNING))
-        .withColumn("__sell", F.sum(sided("SELL")).over(RUNNING))
-        .withColumn("gap_ns", F.greatest(F.lit(0), c("timestamp_ns") - F.lag("timestamp_ns").over(REPLAY)))
-        .withColumn("position", F.row_number().over(REPLAY))
+        events.withColumn("cum_volume", F.sum(size).over(running))
+        .withColumn("cum_notional", F.sum(F.coalesce(c("price") * c("size"), F.lit(0).cast("decimal(37,12)"))).over(running))
+        .withColumn("__buy", F.sum(sided("BUY")).over(running))
+        .withColumn("__sell", F.sum(sided("SELL")).over(running))
+        .withColumn("gap_ns", F.greatest(F.lit(0), c("timestamp_ns") - F.lag("timestamp_ns").over(by_replay)))
+        .withColumn("position", F.row_number().over(by_replay))
     )
     df = df.withColumn("gap_ns", F.when(c("position") > 1, c("gap_ns")))
     trade = c("event_type") == "TRADE"
