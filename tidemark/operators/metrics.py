@@ -7,36 +7,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import scalars as S
+from ..prefix import Running, prefix_scans
 from .reorder import REPLAY_ORDER
 
+HOUR_NS = 3_600_000_000_000
+
+
 def _ratio(a, b, otherwise):
     return F.when(b > 0, a.cast("double") / b.cast("double")).otherwise(otherwise)
 
 
-def series(events: DataFrame) -> DataFrame:
+def series(events: DataFrame, bucket_ns: int | None = HOUR_NS) -> DataFrame:
     """events with running volume, notional, VWAP and imbalance (trades; null-safe on quotes),
-    spread figures (quotes) and the gap to the event before. One window, one shuffle."""
+    spread figures (quotes) and the gap to the event before, by symbol in replay order.
+
+    A symbol's windows hold bucket_ns of it each, so that a busy one is spread over tasks;
+    sums are exact decimals, so the result is that of one window. All scans share one shuffle."""
     c = F.col
-    by_replay = W.partitionBy("symbol").orderBy(*REPLAY_ORDER)
-    running = by_replay.rowsBetween(W.unboundedPreceding, 0)
     zero = F.lit(0).cast("decimal(18,6)")
-    size, sided = F.coalesce(c("size"), zero), lambda s: F.coalesce(F.when(c("side") == s, c("size")), zero)
-    df = (
-        events.withColumn("cum_volume", F.sum(size).over(running))
-        .withColumn("cum_notional", F.sum(F.coalesce(c("price") * c("size"), F.lit(0).cast("decimal(37,12)"))).over(running))
-        .withColumn("__buy", F.sum(sided("BUY")).over(running))
-        .withColumn("__sell", F.sum(sided("SELL")).over(running))
-        .withColumn("gap_ns", F.greatest(F.lit(0), c("timestamp_ns") - F.lag("timestamp_ns").over(by_replay)))
-        .withColumn("position", F.row_number().over(by_replay))
-    )
-    df = df.withColumn("gap_ns", F.when(c("position") > 1, c("gap_ns")))
+    sided = lambda s: F.coalesce(F.when(c("side") == s, c("size")), zero)
+    wanted = {
+        "cum_volume": Running(F.coalesce(c("size"), zero), "sum"),
+        "cum_notional": Running(F.coalesce(c("price") * c("size"), F.lit(0).cast("decimal(37,12)")), "sum"),
+        "__buy": Running(sided("BUY"), "sum"),
+        "__sell": Running(sided("SELL"), "sum"),
+        "__before": Running(c("timestamp_ns"), "last", True),
+        "position": Running(F.lit(1), "count"),
+    }
+    bucket = None if bucket_ns is None else F.floor(c("timestamp_ns") / bucket_ns)
+    df = prefix_scans(events, ["symbol"], REPLAY_ORDER, bucket, wanted)
+    df = df.withColumn("gap_ns", F.when(c("position") > 1, F.greatest(F.lit(0), c("timestamp_ns") - c("__before"))))
     trade = c("event_type") == "TRADE"
     return (
         df.withColumn("vwap", F.when(trade, _ratio(c("cum_notional"), c("cum_volume"), c("price").cast("double"))))
         .withColumn("imbalance", F.when(trade, _ratio(c("__buy") - c("__sell"), c("__buy") + c("__sell"), F.lit(0.0))))
         .withColumn("spread", S.spread(c("bid_price"), c("ask_price")))
         .withColumn("spread_bps", F.when(~trade, S.relative_spread_bps(c("bid_price"), c("ask_price"))))
-        .drop("__buy", "__sell")
+        .drop("__buy", "__sell", "__before")
     )
 
 

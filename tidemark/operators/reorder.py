@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from ..prefix import prefix_scan
+from ..prefix import Running, prefix_scans
+
 
 def priority() -> Column:
     return F.when(F.col("event_type") == "TRADE", F.lit(1)).otherwise(F.lit(2))
@@ -15,15 +15,15 @@ def priority() -> Column:
 REPLAY_ORDER = ["timestamp_ns", "event_type_priority", "event_id"]
 
 
-def with_watermark(events: DataFrame, feed: list[str], order: list[str], lateness_ns: int = 5_000_000_000, bucket: Column | None = None) -> DataFrame:
+def with_watermark(events: DataFrame, feed: list[str], order: list[str], lateness_ns: int = 5_000_000_000, bucket: Column | None = None, carried: DataFrame | None = None) -> DataFrame:
     """events with watermark_ns and late. bucket (rising with the order) makes the running
-    maximum a two-step scan; without it a feed is one window."""
+    maximum a two-step scan; without it a feed is one window. carried (the feed columns and
+    carried_ns) gives the latest time seen before the first row."""
     if lateness_ns < 0:
         raise ValueError("lateness must not be negative")
-    if bucket is None:
-        seen = events.withColumn("__seen", F.max("timestamp_ns").over(W.partitionBy(*feed).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
-    else:
-        seen = prefix_scan(events, feed, order, bucket, F.col("timestamp_ns"), "max", "__seen")
+    seen = prefix_scans(events, feed, order, bucket, {"__seen": Running(F.col("timestamp_ns"), "max")})
+    if carried is not None:
+        seen = seen.join(carried, feed, "left").withColumn("__seen", F.greatest("__seen", "carried_ns")).drop("carried_ns")
     seen = seen.withColumn("watermark_ns", F.greatest(F.lit(0), F.col("__seen") - F.lit(lateness_ns))).drop("__seen")
     return seen.withColumn("late", (F.col("watermark_ns") > 0) & (F.col("timestamp_ns") < F.col("watermark_ns")))
 
@@ -37,6 +37,7 @@ def dedup(events: DataFrame) -> DataFrame:
 
 
 def not_stored(events: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row an event_id that the store does not hold."""
     return dedup(events).join(stored.select("event_id"), "event_id", "left_anti")
 
 
@@ -59,8 +60,7 @@ def replay_many(events: DataFrame, requests: DataFrame) -> DataFrame:
     return joined.drop("__symbol")
 
 
-def monotonicity(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def monotonicity(stream: DataFrame, keys: list[str], order: list[str], bucket: Column | None = None) -> DataFrame:
     """Rows and violations a key: events earlier than one before them in the stream."""
-    before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    seen = stream.withColumn("__max", F.max("timestamp_ns").over(before))
+    seen = prefix_scans(stream, keys, order, bucket, {"__max": Running(F.col("timestamp_ns"), "max", True)})
     return seen.groupBy(*keys).agg(F.count("*").alias("n_events"), F.count_if(F.col("timestamp_ns") < F.col("__max")).alias("violations"))

@@ -11,12 +11,22 @@ from pyspark.sql.window import Window as W
 
 from ..functions import scalars as S
 from ..operators import metrics, reorder, validate
-from ..operators.normalize import normalize
+from ..operators.normalize import event_kind, normalize
+from ..sources.store import Store
+from ..sources.text import read_csv
+from ..streaming.ingest import FileStream
+from ..tables import new_path
+from .ingest import Rules, ingest
+from .report import market_report
 
 LATENESS = 600_000_000_000
 TRADES = ("purchase", "error", "signup")
 
 
+def hour():
+    return F.expr("arrival div 3600000000")
+
+
 def feed(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
     """RAW rows of `events`, in order of arrival (line_number)."""
     e = spark.read.parquet(f"{d}/events.parquet")
@@ -86,7 +96,7 @@ def side_normalize(spark, d):
 
 def _validated(spark, d):
     n = normalize(feed(spark, d, dirty=True))
-    return n.where("error_code is not null"), validate.validate(n.where("error_code is null"), ["arrival", "line_number"])
+    return n.where("error_code is not null"), validate.validate(n.where("error_code is null"), ["arrival", "line_number"], bucket=hour())
 
 
 def validation_status(spark, d):
@@ -104,7 +114,7 @@ def validation_report(spark, d):
 
 def quarantine_union(spark, d):
     bad, good = _validated(spark, d)
-    timed = reorder.with_watermark(good.where("status <> 'HARD_INVALID'").withColumn("feed", F.lit("events")), ["feed"], ["arrival", "line_number"], LATENESS, F.floor(F.col("arrival") / 3_600_000_000))
+    timed = reorder.with_watermark(good.where("status <> 'HARD_INVALID'").withColumn("feed", F.lit("events")), ["feed"], ["arrival", "line_number"], LATENESS, hour())
     first = F.get("diagnostics", F.lit(0))["code"]
     return bad.select(F.col("line_number").alias("event_no"), "error_code", F.lit(0).cast("bigint").alias("timestamp_ns")).unionByName(good.where("status = 'HARD_INVALID'").select(F.col("line_number").alias("event_no"), first.alias("error_code"), "timestamp_ns")).unionByName(
         timed.where("late").select(F.col("line_number").alias("event_no"), F.lit("ERR_EXCESSIVE_LATENESS").alias("error_code"), "timestamp_ns")
@@ -113,7 +123,7 @@ def quarantine_union(spark, d):
 
 def _timed(spark, d):
     events = canonical(spark, d).withColumn("feed", F.lit("events"))
-    return reorder.with_watermark(events, ["feed"], ["arrival", "line_number"], LATENESS, F.floor(F.col("arrival") / 3_600_000_000))
+    return reorder.with_watermark(events, ["feed"], ["arrival", "line_number"], LATENESS, hour())
 
 
 def late_split(spark, d):
@@ -147,7 +157,7 @@ def replay_many_windows(spark, d):
 
 
 def monotonicity_audit(spark, d):
-    return reorder.monotonicity(canonical(spark, d), ["symbol"], ["arrival", "line_number"])
+    return reorder.monotonicity(canonical(spark, d), ["symbol"], ["arrival", "line_number"], hour())
 
 
 def _series(spark, d):
@@ -187,12 +197,99 @@ def symbol_summary(spark, d):
     return metrics.summary(_series(spark, d))
 
 
+def event_identity(spark, d):
+    return canonical(spark, d).select(F.col("line_number").alias("event_no"), "event_id")
+
+
+def detect_event_type(spark, d):
+    none = F.lit(None).cast("string")
+    shapes = [{"event_type": F.lit("my trade")}, {"type": F.lit("bbo")}, {"record_type": F.lit(" trd "), "bid": F.lit("1")}, {"Bid": F.col("value").cast("string")}, {"event_type": F.lit(""), "price": F.lit("1")}, {"ask_price": none}, {"a": F.lit("")}]
+    as_map = lambda m: F.create_map(*[x for n, c in m.items() for x in (F.lit(n), c)]).cast("map<string,string>")
+    fields = as_map(shapes[-1])
+    for i, m in enumerate(shapes[:-1]):
+        fields = F.when(F.col("event_id") % 7 == i, as_map(m)).otherwise(fields)
+    lowered = F.transform_keys("f", lambda k, v: F.lower(k))
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", fields.alias("f")).select("event_id", event_kind(F.col("f"), lowered).alias("kind"))
+
+
+def csv_parse_route(spark, d):
+    """Trades written as CSV files, some lines with a comma too many, and read again."""
+    f, no = F.col("fields"), F.col("line_number")
+    rows = feed(spark, d, dirty=True).where("fields['event_type'] = 'TRADE'")
+    source = F.when(no % 23 == 0, F.concat(f["source"], F.lit(",more"))).when(no % 29 == 0, F.lit('"F, ""1"""')).otherwise(f["source"])
+    price = F.when(F.contains(f["price"], F.lit(",")), F.concat(F.lit('"'), f["price"], F.lit('"'))).otherwise(f["price"])
+    path = new_path(spark, "csv")
+    names = ("timestamp", "symbol", "price", "size", "side", "source")
+    cells = {n: f[n] for n in names} | {"price": price, "source": source}
+    # one column whose name is the header, so that lines are written as they are
+    rows.select(F.concat_ws(",", *[cells[n] for n in names]).alias(",".join(names))).write.options(header=True, sep="\x01", quote="").csv(path)
+    n = normalize(read_csv(spark, path))
+    return n.groupBy(F.coalesce("error_code", F.lit("")).alias("error_code"), F.when(F.col("error_code").isNull(), F.col("source")).otherwise("").alias("source")).agg(F.count("*").alias("n"))
+
+
+def price_jump_warnings(spark, d):
+    v = _validated(spark, d)[1].where(F.exists("diagnostics", lambda x: x["code"] == "WARN_LARGE_PRICE_JUMP"))
+    return _double(v.select(F.col("line_number").alias("event_no"), "symbol", "last_price", "price"), "last_price", "price")
+
+
+def diagnostics_listing(spark, d):
+    return validate.listing(_validated(spark, d)[1]).select(F.col("line_number").alias("event_no"), "status", "code")
+
+
+KEYS = ("event_type", "timestamp", "symbol", "source", "sequence_id", "price", "size", "side", "bid_price", "bid_size", "ask_price", "ask_size")
+
+
+def _as_files(rows, path):
+    """Raw records as JSON lines, in order of arrival."""
+    order = ["arrival", "line_number"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*[F.col("fields")[k].alias(k) for k in KEYS]).write.mode("append").json(path)
+
+
+def ingest_manifest(spark, d):
+    """The spoilt feed from JSON files to a new store, and what the manifests count."""
+    path = new_path(spark, "feed")
+    _as_files(feed(spark, d, dirty=True), path)
+    files = [r.f for r in spark.read.format("binaryFile").load(path).select(F.col("path").alias("f")).collect()]  # names only
+    m = ingest(spark, files, Store(spark, new_path(spark, "store")), Rules(lateness_ns=1 << 62), hint="jsonl")
+    total = lambda n: F.sum(n).cast("bigint").alias(n)
+    return m.agg(*[total(f"{n}_{k}") for n, k in (("total", "records"), ("trade", "count"), ("quote", "count"), ("quarantine", "count"))], F.min("min_timestamp_ns").alias("min_timestamp_ns"), F.max("max_timestamp_ns").alias("max_timestamp_ns"))
+
+
+def store_upsert(spark, d):
+    """Trades stored twice: what the store holds a day."""
+    store, t = Store(spark, new_path(spark, "store")), canonical(spark, d).where("event_type = 'TRADE'")
+    for _ in range(2):
+        store.put_trades(t)
+    return store.trades().groupBy("event_date").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
+
+
+def stored_report(spark, d):
+    store, e = Store(spark, new_path(spark, "store")), canonical(spark, d)
+    store.put_trades(e.where("event_type = 'TRADE'"))
+    store.put_quotes(e.where("event_type = 'QUOTE'"))
+    return market_report(store)["summary"]
+
+
+def stream_reorder(spark, d):
+    """The feed as files that arrive in two parts, streamed one after the other."""
+    rows = feed(spark, d)
+    half = rows.agg(F.percentile_approx("arrival", 0.5)).first()[0]
+    source, state = new_path(spark, "arriving"), new_path(spark, "stream")
+    s = FileStream(spark, source, Store(spark, f"{state}/store"), state, Rules(lateness_ns=LATENESS), hint="jsonl")
+    for part in (rows.where(F.col("arrival") < half), rows.where(F.col("arrival") >= half)):
+        _as_files(part, source)
+        s.start().awaitTermination()
+    s.flush()
+    w = W.partitionBy("symbol").orderBy("v", "flushed", *reorder.emission_key(F.col("line_number")))
+    return s.released().select("symbol", F.row_number().over(w).alias("position"), "event_id")
+
+
 def manifest_rollup(spark, d):
     e = canonical(spark, d)
     return e.groupBy("source").agg(F.count("*").alias("total_records"), F.count_if(F.col("event_type") == "TRADE").alias("trade_count"), F.count_if(F.col("event_type") == "QUOTE").alias("quote_count"), F.min("timestamp_ns").alias("min_timestamp_ns"), F.max("timestamp_ns").alias("max_timestamp_ns"), F.concat_ws(",", F.array_sort(F.collect_set("symbol"))).alias("symbols"))
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup)}
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -264,4 +361,13 @@ SQL = {
 SELECT s.* EXCLUDE (sp), CASE WHEN volume>0 THEN notional/volume ELSE 0.0::DOUBLE END AS vwap, CASE WHEN buy_volume+sell_volume>0 THEN (buy_volume-sell_volume)/(buy_volume+sell_volume) ELSE 0.0::DOUBLE END AS imbalance, CASE WHEN quote_count>0 THEN sp/quote_count ELSE 0.0::DOUBLE END AS mean_spread,
   coalesce(n_gaps,0) AS n_gaps, coalesce(gap_min,0) AS gap_min, coalesce(gap_max,0) AS gap_max, coalesce(gap_p50,0) AS gap_p50, coalesce(gap_p90,0) AS gap_p90, coalesce(gap_p99,0) AS gap_p99 FROM s LEFT JOIN pct USING (symbol)""",
     "manifest_rollup": f"WITH {_BASE} SELECT source, count(*) AS total_records, count(*) FILTER (is_trade) AS trade_count, count(*) FILTER (NOT is_trade) AS quote_count, min(timestamp_ns) AS min_timestamp_ns, max(timestamp_ns) AS max_timestamp_ns, string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols FROM ev GROUP BY 1",
+    "event_identity": f"WITH {_BASE} SELECT n AS event_no, event_id FROM ev",
+    "detect_event_type": "SELECT event_id, CASE WHEN event_id%7 IN (1, 3, 6) THEN 'QUOTE' ELSE 'TRADE' END AS kind FROM events",
+    "csv_parse_route": f"WITH {_DIRTY}, r AS (SELECT CASE WHEN n%23=0 THEN 'ERR_PARSE_FAILURE' ELSE coalesce(err, '') END AS error_code, CASE WHEN n%29=0 THEN 'F, \"1\"' ELSE source END AS s FROM norm WHERE is_trade) SELECT error_code, CASE WHEN error_code='' THEN s ELSE '' END AS source, count(*) AS n FROM r GROUP BY 1, 2",
+    "price_jump_warnings": f"WITH {_DIRTY} SELECT n AS event_no, symbol, CAST(last_p AS DOUBLE) AS last_price, CAST(p AS DOUBLE) AS price FROM st WHERE codes LIKE '%WARN_LARGE_PRICE_JUMP%'",
+    "diagnostics_listing": f"WITH {_DIRTY} SELECT n AS event_no, status, string_split(codes, ',')[1] AS code FROM st WHERE codes<>''",
+    "ingest_manifest": f"WITH {_DIRTY}, ok AS (SELECT * FROM st WHERE status<>'HARD_INVALID') SELECT (SELECT count(*) FROM events) AS total_records, count(*) FILTER (is_trade) AS trade_count, count(*) FILTER (NOT is_trade) AS quote_count, (SELECT count(*) FROM events)-count(*) AS quarantine_count, min(timestamp_ns) AS min_timestamp_ns, max(timestamp_ns) AS max_timestamp_ns FROM ok",
+    "store_upsert": f"WITH {_BASE} SELECT CAST(make_timestamp(timestamp_ns//1000) AS DATE) AS event_date, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev WHERE is_trade GROUP BY 1",
 }
+SQL["stored_report"] = SQL["symbol_summary"]
+SQL["stream_reorder"] = SQL["reorder_sequence"]
