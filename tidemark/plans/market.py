@@ -15,7 +15,7 @@ from ..operators.normalize import event_kind, normalize
 from ..sources.store import Store
 from ..sources.text import read_csv
 from ..streaming.ingest import FileStream
-from ..tables import new_path
+from ..tables import new_path, spread
 from .ingest import Rules, ingest
 from .report import market_report
 
@@ -29,7 +29,7 @@ def hour():
 
 def feed(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
     """RAW rows of `events`, in order of arrival (line_number)."""
-    e = spark.read.parquet(f"{d}/events.parquet")
+    e = spread(spark.read.parquet(f"{d}/events.parquet"))
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     k = F.get_json_object("props", "$.k").cast("bigint")
     price = F.col("value").cast("decimal(18,2)")

@@ -46,3 +46,10 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     system = root.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in system.listStatus(root)]
     return sorted(int(n[2:]) for n in names if n.startswith("v=") and exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer splits than there are cores, as costly parsing
+    of one small file would; larger inputs are left as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
