@@ -48,6 +48,16 @@ def test_repeats_against_brute_force(spark, hot):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [2, 2000])
+def test_equal_rows_are_one_document(spark, hot):
+    rng = np.random.default_rng(4)
+    long, other = (" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(60)) for _ in range(2))
+    rows = [(1, long, "s"), (1, long, "s"), (1, other, "s"), (None, other, "s"), (None, other, "s"), (2, long + " end", "s")]
+    got = sorted((r.doc_id or 0, bytes(r.kept).decode()) for r in sa_dedup.without_repeats(docs(spark, rows), hot=hot).collect())
+    # null ids come first, so they keep the other text and document 1 loses it
+    assert got == sorted([(0, other), (0, other), (1, long), (1, long), (1, ""), (2, " end")])
+
+
 def test_simhash_groups(spark):
     out = simhash.near_duplicates(docs(spark, ODD)).collect()
     assert sorted((r.doc_id or 0, r.component_id) for r in out) == [(0, 3), (1, 1), (2, 1), (3, 3), (3, 3), (4, 4)]

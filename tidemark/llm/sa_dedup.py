@@ -128,16 +128,19 @@ def _stretch_batch(m, s, doc, copy, pos, n) -> pa.RecordBatch:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """doc, copy, text (binary): copy tells texts of one doc_id apart."""
+    """doc, copy, text (binary), times: copy tells texts of one doc_id apart; equal rows are one
+    document, times says how many."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), utf8().alias("text"))
     if rows.groupBy("doc").count().where("count > 1").limit(1).count():
-        return rows.withColumn("copy", (F.dense_rank().over(W.partitionBy("doc").orderBy("text")) - 1).cast("int")).select("doc", "copy", "text")
-    return rows.select("doc", F.lit(0).alias("copy"), "text")
+        rows = rows.groupBy("doc", "text").agg(F.count("*").cast("int").alias("times"))
+        return rows.withColumn("copy", (F.row_number().over(W.partitionBy("doc").orderBy("text")) - 1).cast("int")).select("doc", "copy", "text", "times")
+    return rows.select("doc", F.lit(0).alias("copy"), "text", F.lit(1).alias("times"))
 
 
 def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 2_000, shard_bytes: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """(ranges, packed): doc, copy, pos, n - windows pos .. pos + n - 1 of a document repeat
-    earlier ones; doc, copy, z - the documents' bytes, compressed for shuffles."""
+    earlier ones; doc, copy, z, times - the documents' bytes, compressed for shuffles, and their
+    number of equal rows."""
     rows = _numbered(docs)
     most = PIECE + 2 * size
 
@@ -201,9 +204,9 @@ def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 2_000, sha
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([coder.compress(t) for t in batch.column(2).to_pylist()], pa.binary())], names=["doc", "copy", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([coder.compress(t) for t in batch.column(2).to_pylist()], pa.binary()), batch.column(3)], names=["doc", "copy", "z", "times"])
 
-    packed = rows.mapInArrow(pack, "doc bigint, copy int, z binary")
+    packed = rows.mapInArrow(pack, "doc bigint, copy int, z binary, times int")
     crowded = mixed.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("m", F.lit(True).alias("hot"))
     # the crowded anchors are at most 1 / hot of the stretches: none or few, else joined by a shuffle
     crowded = cut(crowded, "crowded")
@@ -234,7 +237,7 @@ def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 2_000, sha
             kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((m, hot_, doc, copy, pos, bits, hashes), kinds)], names=["m", "hot", "doc", "copy", "pos", "bytes", "hash"])
 
-    fetched = packed.join(asked, ["doc", "copy"]).mapInArrow(fetch, "m bigint, hot boolean, doc bigint, copy int, pos int, bytes binary, hash binary")
+    fetched = packed.drop("times").join(asked, ["doc", "copy"]).mapInArrow(fetch, "m bigint, hot boolean, doc bigint, copy int, pos int, bytes binary, hash binary")
     if n_crowded:
         fetched = cut(fetched, "fetched")
         windows = fetched.where("hot").select("hash", "doc", "copy", "pos")
@@ -328,10 +331,11 @@ def without_repeats(docs: DataFrame, size: int = 100, **options) -> DataFrame:
                 kept.append(b"".join([*parts, text[at:]]))
                 n.append(len(text))
                 spans.append([{"start": a, "end": b} for a, b in runs])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(spans, spans_type)], names=["doc_id", "kept", "n_bytes", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(spans, spans_type), batch.column(3)], names=["doc_id", "kept", "n_bytes", "spans", "times"])
 
-    joined = packed.join(per_doc, ["doc", "copy"], "left").select("doc", "z", "ranges")
-    return joined.mapInArrow(run, "doc_id bigint, kept binary, n_bytes bigint, spans array<struct<start:int,end:int>>")
+    joined = packed.join(per_doc, ["doc", "copy"], "left").select("doc", "z", "ranges", "times")
+    out = joined.mapInArrow(run, "doc_id bigint, kept binary, n_bytes bigint, spans array<struct<start:int,end:int>>, times int")
+    return out.withColumn("row", F.explode(F.sequence(F.lit(1), "times"))).drop("times", "row")
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
