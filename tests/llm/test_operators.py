@@ -82,6 +82,25 @@ def test_decontamination_finds_edits(spark):
     assert decontam.contaminated(docs(spark, rows), items.where("false")).count() == 0
 
 
+def test_decontamination_allows_a_tenth_of_edits():
+    rng = np.random.default_rng(5)
+    long, short = "".join(rng.choice(list("abcdefgh "), 233)).strip(), "mitochondria make energy"
+    spoilt, at = list(" ".join(long.split())), 0
+    for at in rng.choice(len(spoilt), int(0.1 * len(spoilt)), replace=False):
+        spoilt[at] = "z"
+    m = decontam.Matcher([(1, long), (2, short)], 0.1, 40)
+    assert [x[0] for x in m.find("so " + "".join(spoilt) + " it")] == [1]
+    assert [(x[0], x[3]) for x in m.find("we know, mitochondia make energy. yes")] == [(2, 1)]
+    assert m.find("mitochondria take synergy") == [] and m.find("submitochondria make energyless") == []
+    # every place that a plain search finds
+    items = ["".join(rng.choice(list("abc "), 24)).strip() for _ in range(20)]
+    m = decontam.Matcher(list(enumerate(items)), 0.1, 1)
+    for _ in range(60):
+        text = decontam.fold("".join(rng.choice(list("abc "), 60)) + items[rng.integers(20)][:22] + "".join(rng.choice(list("abc "), 30)))
+        want = {i for i, x in enumerate(items) for y in [decontam.fold(x)] if decontam.myers(y, text, int(0.1 * len(y)))[0] <= int(0.1 * len(y))}
+        assert {x[0] for x in m.find(text)} == want
+
+
 def test_myers_against_dynamic_programme():
     rng = np.random.default_rng(2)
     for _ in range(50):

@@ -1,15 +1,15 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-An item of n characters may be met with k = floor(rate * n) edits. Cut into k + 1 pieces, at
-least one piece of it survives any k edits untouched, so an Aho-Corasick automaton over the
-pieces finds every place worth checking; Myers' bit-parallel distance then verifies the whole
-item in the text around the hit, with its ends free. Both sides are lower-cased and their
-white space is read as one space first.
+An item of n characters may be met with k = floor(rate * n) edits. Cut into k + 2 pieces, at
+least two pieces of it survive any k edits untouched, shifted against each other by k at most,
+so an Aho-Corasick automaton over the pieces finds two of them at every place worth checking;
+Myers' bit-parallel distance then verifies the whole item in the text around the hits, with
+its ends free. Both sides are lower-cased and their white space is read as one space first.
 
 Items are dealt into groups of at most `group_chars` characters; each group is one automaton,
 whose size that bounds, and one pass over the documents, so a benchmark of any size is
-matched whole. Items shorter than `least` characters (after folding) are matched exactly, as
-whole words. Null or empty items match nothing; null or empty texts hold nothing; repeated
+matched whole. Items shorter than `least` characters (after folding) are matched as whole
+words: from an edge of a word to an edge of a word, with the same rate of edits. Null or empty items match nothing; null or empty texts hold nothing; repeated
 rows are matched each for itself; empty tables give no rows; extra columns are ignored.
 """
 
@@ -27,11 +27,32 @@ def fold(text: str) -> str:
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
-    """The item in k + 1 pieces of near-equal length, with their offsets."""
-    cuts = [len(item) * i // (k + 1) for i in range(k + 2)]
+    """The item in k + 2 pieces of near-equal length (one for k = 0), with their offsets."""
+    n = k + 2 if k else 1
+    cuts = [len(item) * i // n for i in range(n + 1)]
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def between_words(item: str, text: str, first: int, last: int, k: int) -> tuple[int, int, int] | None:
+    """The least edit distance up to k of the item to a stretch of the text that starts at first
+    to last and has no letter or digit next to it; its start and end."""
+    best = None
+    for a in range(max(0, first), min(last, len(text)) + 1):
+        if text[max(0, a - 1) : a].isalnum():
+            continue
+        part = text[a : a + len(item) + k]
+        row = list(range(len(item) + 1))
+        for j in range(len(part) + 1):
+            if j:
+                new, c = [j], part[j - 1]
+                for i, x in enumerate(item):
+                    new.append(min(row[i] + (x != c), row[i + 1] + 1, new[i] + 1))
+                row = new
+            if row[-1] <= k and not text[a + j : a + j + 1].isalnum() and (best is None or row[-1] < best[0]):
+                best = (row[-1], a, a + j)
+    return best
+
+
 def myers(pattern: str, text: str, k: int) -> tuple[int, int]:
     """The least edit distance of the pattern to any substring of the text, and where the
     first such substring ends; a distance over k is returned as k + 1, with end -1. One bit a
@@ -73,7 +94,7 @@ class Matcher:
             text = fold(text)
             if not text:
                 continue
-            k = int(rate * len(text)) if len(text) >= least else 0
+            k = int(rate * len(text))
             index = len(self.items)
             self.items.append((item_id, text, k))
             for offset, piece in pieces(text, k):
@@ -92,12 +113,25 @@ class Matcher:
         text = fold(text)
         checked: dict[int, list[tuple[int, int]]] = {}
         best: dict[int, tuple[int, int, int]] = {}
+        seen: dict[int, list[tuple[int, int]]] = {}  # an item's hits: place, offset of the piece
         for last, (size, where) in self.words.iter(text):
             hit = last + 1 - size
             for index, offset in where:
                 item_id, item, k = self.items[index]
                 if best.get(index, (k + 1,))[0] == 0:
                     continue
+                if k:
+                    hits = seen.setdefault(index, [])
+                    pair = False
+                    for h, o in reversed(hits):
+                        if h < hit - 2 * len(item):
+                            break  # hits come by their ends, so starts are in order but for a piece's length
+                        if o != offset and abs(h - o - hit + offset) <= k:
+                            pair = True
+                            break
+                    hits.append((hit, offset))
+                    if not pair:
+                        continue
                 a, b = max(0, hit - offset - k), hit - offset + len(item) + k
                 if any(x <= a and b <= y for x, y in checked.get(index, ())):
                     continue  # that stretch has been verified
@@ -109,10 +143,15 @@ class Matcher:
                     continue
                 a, b = max(0, a - k), b + k
                 checked.setdefault(index, []).append((a, b))
-                if text[a + (hit - offset - a) : hit - offset + len(item)] == item and hit >= offset:
+                if text[a + (hit - offset - a) : hit - offset + len(item)] == item and hit >= offset and len(item) >= self.least:
                     best[index] = (0, hit - offset, hit - offset + len(item))
                     continue
                 distance, end = myers(item, text[a:b], k)
+                if distance <= k and len(item) < self.least:
+                    got = between_words(item, text, hit - offset - 2 * k, hit - offset + 2 * k, k)
+                    if got and got[0] < best.get(index, (k + 1,))[0]:
+                        best[index] = got
+                    continue
                 if distance <= k and distance < best.get(index, (k + 1,))[0]:
                     best[index] = (distance, max(0, a + end - len(item)), a + end)
         return [(self.items[i][0], start, end, distance) for i, (distance, start, end) in best.items()]
@@ -131,7 +170,7 @@ def _groups(items: DataFrame, item_id: str, text: str, group_chars: int) -> Iter
         yield group
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.07, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, start, end (in the folded text), distance: a row for every document and
     item that occurs in it, at the item's best place."""
     schema = "doc_id bigint, item_id bigint, start int, end int, distance int"
