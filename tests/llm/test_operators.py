@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import ann, decontam, html_extract, mixing, quality_crf, sa_dedup, secrets, simhash, token_counts, toxicity
+from tidemark.llm import ann, decontam, html_extract, mixing, near_copies, quality_crf, sa_dedup, secrets, simhash, token_counts, toxicity
 from tidemark.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 DOCS = "doc_id bigint, text string, source string, blob string"
@@ -72,6 +72,19 @@ def test_simhash_crowd_is_linked_without_pairs(spark):
     assert sorted(map(tuple, few)) == sorted(map(tuple, all_pairs))
 
 
+@pytest.mark.parametrize("pair_limit", [2, 32])
+def test_pipeline_drops_near_copies_only(spark, pair_limit):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(5000)]
+    one, two, three = (list(rng.choice(words, 200)) for _ in range(3))
+    copies = [" ".join([*one[:at], "changed", *one[at + 1 :]]) for at in range(10, 190, 20)]  # Jaccard over 0.9 to the first
+    far = " ".join([f"other{i}" if i % 20 == 0 else w for i, w in enumerate(one)])  # about a quarter of the shingles differ
+    rows = [(5, " ".join(one), "s"), *[(10 + i, t, "s") for i, t in enumerate(copies)], (40, far, "s")]
+    rows += [(7, " ".join(two), "s"), (7, " ".join(three), "s"), (None, "a lone text without any id", "s"), (None, " ".join(two), "s")]
+    got = sorted((r.doc_id or 0, r.text) for r in near_copies.first_of_each(docs(spark, rows), pair_limit=pair_limit).collect())
+    assert got == sorted([(5, " ".join(one)), (40, far), (7, " ".join(two)), (7, " ".join(three)), (0, "a lone text without any id")])
+
+
 def test_decontamination_finds_edits(spark):
     item = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion at midnight"
     spoilt = item.replace("quick", "quikc").replace("seven", "sevn")
