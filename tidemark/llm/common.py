@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from ..tables import new_path
 
 #: Words are runs of anything but these six ASCII white-space bytes (fixed by the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: later plans start
     from files that outlive any executor."""
-    path = f"{scratch_dir(df.sparkSession)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
@@ -45,13 +36,30 @@ def utf8(column: str = "text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def running_sums(df: DataFrame, order: list, sums: dict) -> DataFrame:
+    """df with, for each name in sums, the sum of its column over the rows before it in order
+    (which must name a row). Rows are dealt by ranges; a task sums its own, and the totals of the
+    tasks, one row each, are scanned after it."""
+    names = {f"_o{i}": c for i, c in enumerate(order)} | {f"_v{i}": c for i, c in enumerate(sums.values())}
+    by = [f"_o{i}" for i in range(len(order))]
+    df = cut(df.withColumns(names).repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ordered")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    totals = df.groupBy("_part").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(sums))])
+    totals = totals.select("_part", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_t{i}") for i in range(len(sums))])
+    within = W.partitionBy("_part").orderBy(*by).rowsBetween(W.unboundedPreceding, -1)
+    df = df.withColumns({f"_s{i}": F.coalesce(F.sum(f"_v{i}").over(within), F.lit(0)) for i in range(len(sums))})
+    out = df.join(totals, "_part")
+    return out.withColumns({n: F.col(f"_s{i}") + F.col(f"_t{i}") for i, n in enumerate(sums)}).drop("_part", *names, *[f"_{x}{i}" for x in "st" for i in range(len(sums))])
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph with columns a, b (bigint).
 
     Returns node, root (the least node of its component) for every node with an edge to
     another. Alternating large-star and small-star steps; each round only needs the least
-    neighbour of every node, so hubs are pre-aggregated before the shuffle, and ends when a
-    round leaves the edges as they were. Self loops and repeated edges are harmless; no edges
+    neighbour of every node, which is pre-aggregated and written as a table of its own: a hub's
+    edges then meet it in a plain join, whose large side Spark splits. It ends when a round
+    leaves the edges as they were. Self loops and repeated edges are harmless; no edges
     give no rows.
     """
     edges = cut(
@@ -60,11 +68,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = cut(large.where("u <> v").distinct(), "large")
         # every u > v now: the small star links v and u itself to u's least neighbour
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .union(low.select("u", F.col("m").alias("v")))
@@ -72,7 +80,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         new = cut(small, "edges")
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        drop_cut(edges)
+        for done in (edges, least, large, low):
+            drop_cut(done)
         edges = new
         if state == before:
             break

@@ -1,4 +1,5 @@
-"""Suffix arrays by induced sorting, one bucket of first symbols at a time in numpy."""
+"""Suffix arrays by induced sorting: bytes one bucket of first symbols at a time in numpy, the
+shorter texts of names below them one suffix at a time."""
 
 from __future__ import annotations
 
@@ -21,6 +22,8 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     bucket induces in itself comes in waves, one a repeat of its symbol."""
     n = len(t)
     top = int(t.max()) + 1
+    if top > 256:
+        return _induce_names(t, small, seeds, top)
     first = t[seeds]
     by = np.argsort(first, kind="stable")
     cuts = np.searchsorted(first[by], np.arange(top + 1))
@@ -75,17 +78,49 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return np.concatenate([x for c in range(top) for x in (large[c], little[c])])
 
 
-def _words(t: np.ndarray) -> np.ndarray:
-    """Eight symbols from each place on, as one integer (zeros past the end)."""
+def _induce_names(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, top: int) -> np.ndarray:
+    """induce() for large alphabets, where most buckets hold a few suffixes."""
+    counts = np.bincount(t, minlength=top)
+    ends = np.cumsum(counts)
+    text, is_small, out = t.tolist(), small.tolist(), [-1] * len(t)
+    tail, head = ends.tolist(), (ends - counts).tolist()
+    for i in reversed(seeds.tolist()):
+        c = text[i]
+        tail[c] -= 1
+        out[tail[c]] = i
+    c = text[-1]
+    out[head[c]] = len(t) - 1
+    head[c] += 1
+    for i in out:  # grows ahead of the scan
+        if i > 0 and not is_small[i - 1]:
+            c = text[i - 1]
+            out[head[c]] = i - 1
+            head[c] += 1
+    tail = ends.tolist()
+    for at in range(len(t) - 1, -1, -1):
+        i = out[at]
+        if i > 0 and is_small[i - 1]:
+            c = text[i - 1]
+            tail[c] -= 1
+            out[tail[c]] = i - 1
+    return np.array(out)
+
+
+def _words(t: np.ndarray) -> tuple[np.ndarray, int]:
+    """Symbols from each place on as one integer (zeros past the end), and how many: eight bytes,
+    or one name."""
+    if t.dtype != np.uint8:
+        return t.astype(np.uint64), 1
     padded = np.concatenate([t.astype(np.uint64), np.zeros(8, np.uint64)])
     out = np.zeros(len(t), np.uint64)
     for i in range(8):
         out |= padded[i : i + len(t)] << np.uint64(8 * i)
-    return out
+    return out, 8
 
 
-def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """How many symbols (at most `most`) the suffixes at a and b share, eight at a step."""
+def common_prefix(t: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """How many symbols (at most `most`) the suffixes at a and b share, a word at a step."""
+    words, size = _words(t)
     n = len(words)
     out = np.zeros(len(a), np.int64)
     todo = np.arange(len(a))
@@ -95,14 +130,14 @@ def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) ->
         todo, i, j = todo[ok], i[ok], j[ok]
         x = words[i] ^ words[j]
         low = (x & (~x + np.uint64(1))).astype(np.float64)
-        same = np.where(x == 0, 8, (np.log2(np.maximum(low, 1)) // 8).astype(np.int64))
+        same = np.where(x == 0, size, (np.log2(np.maximum(low, 1)) // 8).astype(np.int64) if size > 1 else 0)
         out[todo] += np.minimum(same, n - np.maximum(i, j))
         todo = todo[x == 0]
     return np.minimum(out, most)
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Start places of the suffixes of t (symbols 0-255) in order."""
+    """Start places of the suffixes of t (bytes, or names from 0 on) in order."""
     n = len(t)
     if n < 2:
         return np.arange(n)
@@ -118,28 +153,26 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         length[starts] = np.diff(starts, append=n) + 1
         length[starts[-1]] = n + 2  # reaches the end: unlike any other
         a, b = order[:-1], order[1:]
-        alike = length[a] == length[b]
         same = np.zeros(len(a), bool)
-        at = np.flatnonzero(alike)
-        same[at] = common_prefix(_words(t), a[at], b[at], int(length[a[at]].max()) if len(at) else 0) >= length[a[at]]
+        at = np.flatnonzero(length[a] == length[b])
+        same[at] = common_prefix(t, a[at], b[at], int(length[a[at]].max()) if len(at) else 0) >= length[a[at]]
         name = np.zeros(n, np.int64)
         name[order] = np.r_[0, np.cumsum(~same)]
-        starts = starts[_sort_names(name[starts])]
+        # names that all differ give the order; else the shorter text of names is sorted the same way
+        starts = order if not same.any() else starts[_sorted_names(name[starts])]
     return induce(t, small, starts)
 
 
-def _sort_names(names: np.ndarray) -> np.ndarray:
-    """The suffixes of the shorter text of names in order: ranks of twice the length from
-    pairs of ranks, until all differ."""
-    n, step, rank = len(names), 1, names + 1
-    while True:
-        key = rank * (n + 2) + np.concatenate([rank[step:], np.zeros(min(step, n), np.int64)])[:n]
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.r_[1, 1 + np.cumsum(key[order][1:] != key[order][:-1])]
-        if new.max() == n or step >= n:
-            return order
-        rank, step = new, step * 2
+def _sorted_names(names: np.ndarray) -> np.ndarray:
+    """The suffixes of a text of names in order. A name that occurs once decides any comparison
+    that reaches it, so only names that repeat, and what follows them, are sorted."""
+    once = np.bincount(names)[names] == 1
+    kept = np.flatnonzero(~once | np.r_[False, ~once[:-1]])
+    dense = np.zeros(int(names.max()) + 1, np.int64)
+    dense[names[kept]] = 1
+    order = kept[suffix_array(np.cumsum(dense)[names[kept]] - 1)]
+    order = np.r_[order[~once[order]], np.flatnonzero(once)]
+    return order[np.argsort(names[order], kind="stable")]
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
@@ -157,6 +190,6 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.nda
     starts = np.flatnonzero(~reducible)
     known = np.zeros(n, np.int64)
     has = starts[prev[starts] >= 0]
-    known[has] = common_prefix(_words(t), has, prev[has], n)
+    known[has] = common_prefix(t, has, prev[has], n)
     at = np.maximum.accumulate(np.where(~reducible, i, 0))
     return np.minimum(np.maximum(known[at] - (i - at), 0), most)
