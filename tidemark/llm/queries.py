@@ -55,4 +55,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_toxicity, op5_secret_scan, op6_suffix_array_dedup, op7_token_counts, op8_source_mix, op9_nearest_neighbours, op10_quality)}
-SQL: dict[str, str] = {}
+
+
+def _sql_spans(rank: int, rule: secrets.Rule) -> str:
+    """rid, kind, rank, s, e of a rule's matches: each starts after the pieces and matches before it."""
+    p = rule.pattern.replace("'", "''")
+    length = lambda what: f"coalesce(list_sum(list_transform({what}, lambda x: length(x))), 0)"
+    return f"""SELECT rid, '{rule.kind}' AS kind, {rank} AS rank, s, s + length(m[i]) AS e FROM (
+      SELECT *, CAST({length("g[1:i]")} + {length("m[1:i-1]")} AS BIGINT) AS s FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+        SELECT rid, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {rule.group}) AS part, string_split_regex(t, '{p}') AS g FROM d))) WHERE length(part[i]) >= {rule.least}"""
+
+
+_BASE_KINDS = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
+_JOINED = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e)"
+
+SQL: dict[str, str] = {
+    "op5_secret_scan": f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+  spans AS ({" UNION ALL ".join(_sql_spans(i, r) for i, r in enumerate(secrets.RULES))}),
+  per AS (SELECT rid, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))}, {_JOINED} FILTER (kind IN ({_BASE_KINDS})) AS base, {_JOINED} AS spans FROM spans GROUP BY rid)
+  SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN per USING (rid)""",
+    # every 100-byte window as hex digits; a window is a repeat unless it is the first of its kind, and what repeats cover goes
+    "op6_suffix_array_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  w AS (SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d)),
+  r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS i FROM w) WHERE i > 1),
+  runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+    SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS new FROM r)) GROUP BY doc_id, run),
+  cuts AS (SELECT doc_id, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id),
+  kept AS (SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(range(1, n_spans + 2), lambda i: substr(h, CAST(2 * (CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END) + 1 AS BIGINT), CAST(2 * ((CASE WHEN i > n_spans THEN length(h) // 2 ELSE starts[i] END) - (CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END)) AS BIGINT))), '') END AS k
+    FROM d LEFT JOIN cuts USING (doc_id))
+  SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(k)) AS kept_sha256 FROM kept""",
+}
