@@ -9,10 +9,13 @@ largest class that all of these pages share is the root of the template, and ano
 nests in it if all its tokens lie in one gap between neighbouring root tokens. Text nodes of
 the template are constant; what lies between are the slots.
 
-A page's main text is read from the slots inside its article (or main) element, where nothing
-but sections that are never content (menus, headers, footers, asides, forms, notices, adverts,
-comments, scripts, styles) is left out; pages without such an element give the slots outside
-those sections. Hosts of fewer than `least_pages` pages have no template.
+A page's main text is read from the slots inside its article (or main) element, or from all
+slots if it has none; sections that are never content by their name (menus, headers, footers,
+asides, forms, notices, adverts, comments, scripts, styles) are then left out. Inside an article
+a text node is the template's only if the section around it, itself inside the article, is in
+its class: a box that each page repeats, not a sentence that pages share. Hosts whose articles
+would lose more than half of their text so hold copies of an article, and keep it; hosts of
+fewer than `least_pages` pages have no template.
 
 Null html is empty; an empty page or one without content has an empty text; null urls form a
 host of their own; repeated rows are extracted each for itself; no pages give no rows; extra
@@ -55,17 +58,19 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 
-def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
+def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str, tuple[str, str] | None]]:
     """Tokens of a page: kind ('tag', 'text'), value, whether it lies in a section that is
-    never content, whether it lies in an article, its path of sections."""
-    stack: list[str] = []
+    never content, whether it lies in an article, its path of sections, and the innermost of
+    them as a token (value and path)."""
+    stack: list[str] = []  # names
+    tokens: list[tuple[str, str]] = []
     path = ""
     never, depth = "", 0  # the section being left out, and how deep its name is nested
     inside = 0
     last = 0
     for m in MARKUP.finditer(page):
         if m.start() > last:
-            yield "text", page[last : m.start()], bool(never), inside > 0, path
+            yield "text", page[last : m.start()], bool(never), inside > 0, path, tokens[-1] if tokens else None
         last = m.end()
         name = m.group(3)
         if not name:
@@ -83,9 +88,10 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                 inside -= 1
             if name in SECTIONS and name in stack:
                 while stack.pop() != name:
-                    pass
-                path = "/".join(stack)
-            yield "tag", "/" + name, bool(never), inside > 0, path
+                    tokens.pop()
+                tokens.pop()
+                path = tokens[-1][1] if tokens else ""
+            yield "tag", "/" + name, bool(never), inside > 0, path, None
             continue
         if name in MAIN and never and not inside:
             never, depth = "", 0  # a section left open ends where the article begins
@@ -96,38 +102,51 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             never, depth = name, 1
         if name in MAIN and not bare:
             inside += 1
+        value = f"{name} {named}" if named else name
         if name in SECTIONS and not bare:
+            path = f"{path}/{value}"
             stack.append(name)
-            path = "/".join(stack)
-        yield "tag", f"{name} {named}" if named else name, bool(never), inside > 0, path
+            tokens.append((value, path))
+        yield "tag", value, bool(never), inside > 0, path, None
     if last < len(page):
-        yield "text", page[last:], bool(never), inside > 0, path
+        yield "text", page[last:], bool(never), inside > 0, path, tokens[-1] if tokens else None
 
 
 def token_key(kind: str, value: str, path: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\n{path}\n{value if kind == 'tag' else ' '.join(value.split())}".encode("utf-8", "surrogatepass"))
 
 
-def page_tokens(page: str) -> dict[int, tuple[int, int, bool]]:
-    """key: (count, place of the first, whether it is text) of a page's tokens outside the
-    article, where a template can decide anything, and of all tags."""
+def page_tokens(page: str) -> tuple[dict[int, list], int]:
+    """key: count, place of the first, whether it is text, the section's key (texts inside an
+    article only, else 0) and characters of a page's tokens; and the characters of its article.
+    Texts right below the article itself are no template's, so they are left out."""
     out: dict[int, list] = {}
-    for place, (kind, value, _, inside, path) in enumerate(walk(page)):
-        if kind == "text" and (inside or not value.strip()):
-            continue
+    article = 0
+    for place, (kind, value, _, inside, path, box) in enumerate(walk(page)):
+        around = 0
+        if kind == "text":
+            value = " ".join(value.split())
+            if not value:
+                continue
+            if inside:
+                article += len(value)
+                if not box or box[0].split(" ", 1)[0] in MAIN:
+                    continue
+                around = token_key("tag", *box)
         k = token_key(kind, value, path)
         if k in out:
             out[k][0] += 1
+            out[k][4] += len(value)
         else:
-            out[k] = [1, place, kind == "text"]
-    return {k: tuple(v) for k, v in out.items()}
+            out[k] = [1, place, kind == "text", around, len(value)]
+    return out, article
 
 
 def main_text(page: str, constant: frozenset[int] | set[int] = frozenset()) -> str:
     """The page's main text; constant: keys of the template's text nodes."""
     found = {True: [[]], False: [[]]}  # blocks inside an article, and elsewhere
     has_main = False
-    for kind, value, never, inside, path in walk(page):
+    for kind, value, never, inside, path, _ in walk(page):
         if kind == "tag":
             name = value.split(" ", 1)[0].lstrip("/")
             if inside:
@@ -136,7 +155,7 @@ def main_text(page: str, constant: frozenset[int] | set[int] = frozenset()) -> s
                 for side in found.values():
                     if side[-1]:
                         side.append([])
-        elif not never and (inside or not constant or token_key(kind, value, path) not in constant):
+        elif not never and not (constant and token_key(kind, value, path) in constant):
             found[inside][-1].append(value)
     blocks = (" ".join(entities.unescape("".join(b)).split()) for b in found[has_main])
     return "\n".join(b for b in blocks if b)
@@ -153,28 +172,37 @@ def template_tokens(pages: DataFrame, support: float = 0.5, least_pages: int = 3
         for batch in batches:
             sums: dict[tuple[str, int], list] = {}
             for page_id, host, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                whole = sums.setdefault((host, 0), [0, 0, 0, False])
+                found, article = page_tokens(page)
+                whole = sums.setdefault((host, 0), [0, 0, 0, 0, 0, False])
                 whole[1] += 1
-                for k, (count, place, is_text) in page_tokens(page).items():
-                    s = sums.setdefault((host, k), [0, 0, 0, is_text])
+                whole[3] += article
+                for k, (count, place, is_text, around, chars) in found.items():
+                    s = sums.setdefault((host, k), [0, 0, 0, 0, around, is_text])
                     s[0] += xxhash.xxh64_intdigest(f"{page_id}:{count}")
                     s[1] += 1
                     s[2] += place
-            keys = np.array([k for _, k in sums], np.uint64).view(np.int64)
-            sig = np.array([v[0] % (1 << 64) for v in sums.values()], np.uint64).view(np.int64)
+                    s[3] += chars
+            cols = list(zip(*sums.values())) or [[]] * 6
+            u64 = lambda c: pa.array(np.array(c, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in sums], pa.string()), pa.array(keys), pa.array(sig), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in (1, 2)), pa.array([v[3] for v in sums.values()], pa.bool_())],
-                names=["host", "key", "sig", "pages", "places", "is_text"],
+                [pa.array([h for h, _ in sums], pa.string()), u64([k for _, k in sums]), u64([x % (1 << 64) for x in cols[0]]), *(pa.array(list(c), pa.int64()) for c in cols[1:4]), u64(cols[4]), pa.array(list(cols[5]), pa.bool_())],
+                names=["host", "key", "sig", "pages", "places", "chars", "around", "is_text"],
             )
 
-    rows = pages.select("page_id", "host", "html").mapInArrow(run, "host string, key bigint, sig bigint, pages bigint, places bigint, is_text boolean")
+    rows = pages.select("page_id", "host", "html").mapInArrow(run, "host string, key bigint, sig bigint, pages bigint, places bigint, chars bigint, around bigint, is_text boolean")
     # the hash sums add up modulo 2**64: as two halves, which no sum here overflows
     low, high = F.col("sig").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("sig", 32)
-    t = rows.groupBy("host", "key").agg(F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("pages").alias("pages"), F.sum("places").alias("places"), F.max("is_text").alias("is_text"))
-    t = t.withColumn("vector", F.struct(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF)).alias("l"), (F.col("high") + F.shiftrightunsigned("low", 32)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("h")))
-    sizes = t.where("key = 0").select("host", F.col("pages").alias("n"))
+    total = [F.sum(n).alias(n) for n in ("pages", "places", "chars")]
+    t = rows.groupBy("host", "key").agg(F.sum(low).alias("low"), F.sum(high).alias("high"), *total, F.max("around").alias("around"), F.max("is_text").alias("is_text"))
+    vector = F.struct(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF)).alias("l"), (F.col("high") + F.shiftrightunsigned("low", 32)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
+    t = cut(t.withColumn("vector", vector).drop("low", "high"), "tokens")
+    sizes = t.where("key = 0").select("host", F.col("pages").alias("n"), F.col("chars").alias("article"))
     t = t.where("key <> 0").join(sizes.where(F.col("n") >= least_pages), "host").where(F.col("pages") >= F.col("n") * support)
     # from here on a host has at most 1 / support times the tokens of its pages' mean
+    boxes = t.where("not is_text").select("host", F.col("key").alias("around"), F.col("vector").alias("box"))
+    t = t.join(boxes, ["host", "around"], "left").where((F.col("around") == 0) | (F.col("box") == F.col("vector")))
+    lost = F.sum(F.when(F.col("around") != 0, F.col("chars")).otherwise(0)).over(W.partitionBy("host"))
+    t = t.withColumn("lost", lost).where((F.col("around") == 0) | (2 * F.col("lost") <= F.col("article")))
     of_class = W.partitionBy("host", "vector")
     t = t.withColumn("size", F.count("*").over(of_class)).where("size > 1").withColumn("place", F.col("places") / F.col("pages"))
     t = t.withColumn("root", F.max(F.struct("pages", "size", "vector")).over(W.partitionBy("host"))["vector"] == F.col("vector"))
