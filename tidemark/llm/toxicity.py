@@ -1,10 +1,16 @@
 """Toxicity scores of texts, restored by a noisy-channel decoder first.
 
-A character model (counts of four-character windows over all documents) and a channel of
-look-alike characters, stretched letters and spaced-out words make a lattice of readings for
-every odd token; Viterbi search takes the likeliest. Words that are plain letters have one
-reading and pass as they are. A logistic model over restored words and their beginnings
-scores the text.
+A character model (counts of four-character windows over all documents) and a channel make a
+lattice of readings for every odd token and every run of short words that has an unlikely one.
+In the lattice a look-alike stays itself (a break between words) or stands for a letter, a
+stretched letter is read once, twice or as it is, and a space or mark between characters stays or
+goes. Viterbi search takes the likeliest reading. The channel's chances are learned from the
+corpus: first every reading of a character is taken to be as likely as another, then all
+documents are decoded once and what the likeliest readings used is counted. Words that are plain
+letters pass as they are, and what the readings add never replaces them. A logistic model over
+words and their beginnings scores the text.
+
+Odd tokens and runs longer than `SPAN` characters are decoded in pieces of that length.
 
 The classifier is fitted on at most `max_rows` labelled rows, drawn by a hash of doc_id, and
 keeps at most `max_features` features; the character counts cover every document.
@@ -38,13 +44,15 @@ for _c in range(26):
     _CODE[ord("a") + _c] = _CODE[ord("A") + _c] = _c + 1
 _CODE[128:] = 27
 
-ODD = re.compile(r"[0-9@$!|+€(]")
+SEPARATORS = " .-_*~'"
+ODD = re.compile(r"[0-9@$!|+€(._*~'\-]")
+SYMBOL = re.compile(r"[@$!|+€(]")
 STRETCH = re.compile(r"(.)\1\1")
-SPACED = re.compile("1{4,}")  # in a row of ones for words of one character
+UNLIKELY = re.compile("[12]*2[12]*")  # over one mark a word: 0 long, 1 short, 2 short and rare
+SHORT, RARE, SPAN = 3, 2e-4, 64
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "«»¿¡“”„…–—"
 TAIL = "@$"
 PARTS = re.compile(r"[\W_]+")
-INNER = re.compile(r"(?<=\w)[.\-_*](?=\w)")
 
 
 def window_counts(texts: Iterable[bytes]) -> np.ndarray:
@@ -57,101 +65,187 @@ def window_counts(texts: Iterable[bytes]) -> np.ndarray:
 
 
 def character_counts(docs: DataFrame) -> DataFrame:
-    """win, n over every text: at most 28**4 rows, whatever the corpus."""
+    """win, n over every text: the windows, and from 28**4 on the single bytes; at most 28**4 +
+    256 rows, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SIZE**4, np.int64)
+        total, single = np.zeros(SIZE**4, np.int64), np.zeros(256, np.int64)
+
+        def add(group: list[bytes]) -> None:
+            nonlocal total, single
+            joined = b"   ".join(group)
+            total += window_counts([joined])
+            single += np.bincount(np.frombuffer(joined, np.uint8), minlength=256)
+
         for batch in batches:
             texts, group, size = batch.column(0).to_pylist(), [], 0
             for t in texts:  # a megabyte or so at a time
                 group.append(t)
                 size += len(t)
                 if size > 1 << 20:
-                    total += window_counts([b"   ".join(group)])
+                    add(group)
                     group, size = [], 0
-            total += window_counts([b"   ".join(group)])
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["win", "n"])
+            add(group)
+        both = np.concatenate([total, single])
+        at = np.flatnonzero(both)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(both[at])], names=["win", "n"])
 
     return docs.select(utf8().alias("text")).mapInArrow(run, "win int, n bigint").groupBy("win").agg(F.sum("n").alias("n"))
 
 
 class Decoder:
-    """Viterbi search over the readings of odd tokens."""
-
-    def __init__(self, win: np.ndarray, n: np.ndarray):
-        counts = np.full(SIZE**4, 0.01, np.float32)
-        counts[win] += n.astype(np.float32)
-        rows = counts.reshape(-1, SIZE)
-        self.logp = np.log(rows / rows.sum(1, keepdims=True)).astype(np.float32).reshape(-1)
-        self.known: dict[str, str] = {}
+    """Viterbi search over the readings of odd tokens and runs of short words.
+
+    used: how often each reading was taken (names as in _options); None before that is known."""
+
+    def __init__(self, win: np.ndarray, n: np.ndarray, used: dict[str, int] | None = None):
+        both = np.zeros(SIZE**4 + 256)
+        both[win] = n
+        windows, self.single = both[: SIZE**4], both[SIZE**4 :]
+        counts = (windows + 0.01).astype(np.float32).reshape(-1, SIZE)
+        self.logp = np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32).reshape(-1).tolist()
+        cube = windows.reshape((SIZE,) * 4)
+        self.letters = cube.sum((0, 1, 2))
+        self.words = max(1.0, cube[:, :, 1:, 0].sum())
+        self.ones, self.twos = cube[:, 0, :, 0].sum(0), cube[0, :, :, 0]
+        triple = cube[0, 1:, 1:, 1:] * np.divide(cube[1:, 1:, 1:, 0], np.maximum(cube[1:, 1:, 1:].sum(3), 1))
+        self.threes = triple
+        self.used = used
+        self.known: dict[str, tuple[str, tuple[str, ...]]] = {}
+        self.options: dict[str, list[tuple[str, float, str]]] = {}
+        self.marks: dict[str, str] = {}
+
+    def _chance(self, name: str, guess: float, of: float) -> float:
+        return log((guess if self.used is None else self.used.get(name, 0) + 1.0) / max(of, 1.0) + 1e-12)
+
+    def _options(self, c: str) -> list[tuple[str, float, str]]:
+        """Readings of a character: text, log chance, name to count it by."""
+        got = self.options.get(c)
+        if got is None:
+            seen = self.single[ord(c)] if ord(c) < 128 else 1.0
+            stays = self._chance(c + "=", seen / 2 + 1, self.letters[0])
+            if c.isalpha():
+                got = [(c, 0.0, "")]
+            elif c in SEPARATORS:
+                got = [(" ", stays, c + "="), ("", self._chance(c + "-", 1e-4 * self.letters[1:].sum(), self.letters[1:].sum()), c + "-")]
+            else:
+                reads = LOOKALIKES.get(c, "")
+                got = [(" ", stays, c + "=")] + [(x, self._chance(c + x, (seen / 2 + 1) / len(reads), self.letters[ord(x) - 96]), c + x) for x in reads]
+            self.options[c] = got
+        return got
 
-    def restore(self, token: str) -> str:
-        """The likeliest reading of a token (lower case)."""
+    def restore(self, token: str) -> tuple[str, tuple[str, ...]]:
+        """The likeliest reading of a token or run (lower case), and the names of what it used."""
         got = self.known.get(token)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            got = self.known[token] = self._search(token)
+            pieces = [self._search(token[a : a + SPAN]) for a in range(0, len(token), SPAN)]
+            got = self.known[token] = "".join(p for p, _ in pieces).strip(), tuple(x for _, names in pieces for x in names)
         return got
 
-    def _search(self, token: str) -> str:
-        cost = -2.0  # of reading a character as another, or of a stretch that stays
-        # a lattice of runs: each offers one or two copies of each character it may stand for
-        slots: list[list[tuple[str, float]]] = []
+    def _search(self, token: str) -> tuple[str, tuple[str, ...]]:
+        slots: list[list[tuple[str, float, str]]] = []
         at = 0
         while at < len(token):
             c, run = token[at], 1
             while at + run < len(token) and token[at + run] == c:
                 run += 1
-            letters = [(c, 0.0)] if c.isalpha() else [(x, cost / 2) for x in LOOKALIKES.get(c, "")] + ([] if c in LOOKALIKES else [(c, 0.0)])
-            if c in LOOKALIKES and not letters:
-                letters = [(c, 0.0)]
-            if run > 2:
-                slots.append([(x * k, p + (cost if k > 1 else 0.0)) for x, p in letters for k in (1, 2)])
+            options = self._options(c)
+            if run > 2 and c not in SEPARATORS:
+                once = self._chance("stretch", 1e-4 * self.letters[1:].sum(), self.letters[1:].sum())
+                slots.append([(x * k, p + once, name or "stretch") for x, p, name in options if x != " " for k in (1, 2)] + [((c if c.isalpha() else " ") * run, 0.0, "")])
             else:
-                slots += [letters] * run
+                slots += [options] * run
             at += run
-        states: dict[int, tuple[float, str]] = {0: (0.0, "")}  # the last three characters' codes
-        for slot in [*slots, [(" ", 0.0)]]:
-            after: dict[int, tuple[float, str]] = {}
-            for state, (p, text) in states.items():
-                for chars, q in slot:
+        logp = self.logp
+        states: dict[int, tuple[float, str, tuple[str, ...]]] = {0: (0.0, "", ())}  # by the last three characters' codes
+        for slot in [*slots, [(" ", 0.0, "")]]:
+            after: dict[int, tuple[float, str, tuple[str, ...]]] = {}
+            for state, (p, text, names) in states.items():
+                for chars, q, name in slot:
                     s, r = state, p + q
                     for c in chars:
                         code = ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
-                        r += self.logp[s * SIZE + code]
+                        r += logp[s * SIZE + code]
                         s = (s * SIZE + code) % SIZE**3
                     if s not in after or r > after[s][0]:
-                        after[s] = (r, text + chars)
+                        after[s] = r, text + chars, names + (name,) if name else names
             states = after
-        return max(states.values())[1].strip()
+        return max(states.values())[1:]
+
+    def mark(self, token: str) -> str:
+        """0 for a long word, 1 for a short one, 2 for a short one that is rare in the corpus."""
+        if len(token) > SHORT:
+            return "0"
+        got = self.marks.get(token)
+        if got is None:
+            t = token.strip(EDGES)
+            codes = [ord(c) - 96 if "a" <= c <= "z" else 27 for c in t]
+            if not t or not t.isalpha():
+                got = "1"
+            else:
+                n = self.ones[codes[0]] if len(t) == 1 else self.twos[tuple(codes)] if len(t) == 2 else self.threes[tuple(c - 1 for c in codes)]
+                got = "2" if n < RARE * self.words else "1"
+            self.marks[token] = got
+        return got
 
 
-def tokens(text: str, decoder: Decoder | None) -> set[str]:
-    """The words of a text with odd ones restored."""
+def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str]]:
+    """The plain words of a text, and what the decoder should read: odd tokens, stretched words
+    and runs of short words."""
     listed = text.lower().split()
     raw = set(listed)
     words = {t for t in raw if t.isalpha()}
+    spans: set[str] = set()
     for t in raw - words:
         t = t.strip(EDGES)
         if t.isalpha():
             words.add(t)
         elif t:
             words.update(p for p in PARTS.split(t) if p.isalpha())
-            if decoder and any(map(str.isalpha, t)):
-                joined = INNER.sub("", t.rstrip(TAIL))
-                words.add(decoder.restore(joined) if ODD.search(joined) else joined)
-    if decoder:
-        data = np.frombuffer("\n".join(words).encode("utf-32-le", "replace"), np.uint32)
-        if len(data) > 2 and ((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])).any():
-            words.update([decoder.restore(w) for w in words if STRETCH.search(w)])
-        single = "".join(["1" if len(t) == 1 else "0" for t in listed])
-        for m in SPACED.finditer(single):
-            words.add(decoder.restore("".join(listed[m.start() : m.end()])))
+            bare = t.rstrip(TAIL)
+            if bare.isalpha():
+                words.add(bare)
+            elif ODD.search(bare) and (any(map(str.isalpha, bare)) or SYMBOL.search(bare) and len(set(bare)) > 1):
+                spans.add(bare)
+    data = np.frombuffer("\n".join(words).encode("utf-32-le", "replace"), np.uint32)
+    if len(data) > 2 and ((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])).any():
+        spans.update(w for w in words if STRETCH.search(w))
+    mark = decoder.mark
+    marks = "".join([mark(t) if len(t) <= SHORT else "0" for t in listed])
+    if "2" in marks:
+        for m in UNLIKELY.finditer(marks):
+            if m.end() - m.start() > 1:
+                spans.add(" ".join(listed[m.start() : m.end()]))
+    return words, spans
+
+
+def tokens(text: str, decoder: Decoder) -> set[str]:
+    """The words of a text and those of the readings of its odd spans."""
+    words, spans = odd_spans(text, decoder)
+    for span in spans:
+        words.update(w for w in decoder.restore(span)[0].split() if w.isalpha())
     return words
 
 
+def channel_counts(docs: DataFrame, win: np.ndarray, n: np.ndarray) -> dict[str, int]:
+    """How often the likeliest readings of all documents used each reading of a character: a few
+    names, whatever the corpus."""
+    tables = docs.sparkSession.sparkContext.broadcast((win, n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder, used = Decoder(*tables.value), Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                for span in odd_spans(t or "", decoder)[1]:
+                    used.update(decoder.restore(span)[1])
+        yield pa.RecordBatch.from_arrays([pa.array(list(used), pa.string()), pa.array(list(used.values()), pa.int64())], names=["name", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+    return {r.name: r.n for r in rows.collect()}  # at most a few for each character that has readings
+
+
 STARTS = (4, 5, 6, 7)
 
 
@@ -199,8 +293,8 @@ class ToxicityModel:
     """The decoder's tables and the classifier's weights: bounded by the alphabet and by
     max_features."""
 
-    def __init__(self, win: np.ndarray, n: np.ndarray, weights: dict[str, float], bias: float):
-        self.win, self.n, self.weights, self.bias = win, n, weights, bias
+    def __init__(self, win: np.ndarray, n: np.ndarray, used: dict[str, int], weights: dict[str, float], bias: float):
+        self.win, self.n, self.used, self.weights, self.bias = win, n, used, weights, bias
         self._decoder = None
 
     def __getstate__(self):
@@ -209,7 +303,7 @@ class ToxicityModel:
     @property
     def decoder(self) -> Decoder:
         if self._decoder is None:
-            self._decoder = Decoder(self.win, self.n)
+            self._decoder = Decoder(self.win, self.n, self.used)
         return self._decoder
 
     def score(self, text: str) -> float:
@@ -228,10 +322,11 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 3000, min_docs: int = 4, min_share: float = 0.01) -> ToxicityModel:
-    chars = character_counts(docs).toPandas()  # at most 28**4 rows
+    chars = character_counts(docs).toPandas()  # at most 28**4 + 256 rows
     win, n = chars["win"].to_numpy(np.int64), chars["n"].to_numpy(np.int64)
-    empty = ToxicityModel(win, n, {}, -30.0)
-    tables = docs.sparkSession.sparkContext.broadcast((win, n))
+    used = channel_counts(docs, win, n)
+    empty = ToxicityModel(win, n, used, {}, -30.0)
+    tables = docs.sparkSession.sparkContext.broadcast((win, n, used))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(*tables.value)
@@ -263,7 +358,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     y[: len(got)] = [r.label for r in got]
     y[len(got) : len(got) + int(n_pos - y.sum())] = 1  # rows without any feature
     w, b = fit_logistic(rows, cols, n_rows, len(names), y)
-    return ToxicityModel(win, n, {f: float(x) for f, x in zip(names, w) if x > 1e-4}, float(b))
+    return ToxicityModel(win, n, used, {f: float(x) for f, x in zip(names, w) if x > 1e-4}, float(b))
 
 
 def scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
