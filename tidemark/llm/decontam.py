@@ -6,11 +6,14 @@ so an Aho-Corasick automaton over the pieces finds two of them at every place wo
 Myers' bit-parallel distance then verifies the whole item in the text around the hits, with
 its ends free. Both sides are lower-cased and their white space is read as one space first.
 
-Items are dealt into groups of at most `group_chars` characters; each group is one automaton,
-whose size that bounds, and one pass over the documents, so a benchmark of any size is
-matched whole. Items shorter than `least` characters (after folding) are matched as whole
-words: from an edge of a word to an edge of a word, with the same rate of edits. Null or empty items match nothing; null or empty texts hold nothing; repeated
-rows are matched each for itself; empty tables give no rows; extra columns are ignored.
+A benchmark of up to `group_chars` characters is one automaton, broadcast: its size is counted
+first. A larger one is dealt by a hash of the item into groups of about that size; documents and
+groups then meet in tasks, each of which reads one group of items and then its share of the
+documents. Items shorter than `least` characters (after folding) are matched as whole words: from
+an edge of a word to an edge of a word, with the same rate of edits. Null or empty items match
+nothing; null or empty texts hold nothing; repeated items are one, repeated rows of documents are
+matched each for itself; of places that are equally near the one that ends first counts; empty
+tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
+DOC, ITEM = 1, 0
+
+
 def fold(text: str) -> str:
     return " ".join(text.lower().split())
 
@@ -130,11 +138,13 @@ class Matcher:
                             pair = True
                             break
                     hits.append((hit, offset))
+                    if len(hits) > 64 and hits[0][0] < hit - 2 * len(item):
+                        seen[index] = [x for x in hits if x[0] >= hit - 2 * len(item)]
                     if not pair:
                         continue
                 a, b = max(0, hit - offset - k), hit - offset + len(item) + k
-                if any(x <= a and b <= y for x, y in checked.get(index, ())):
-                    continue  # that stretch has been verified
+                if any(x <= a and b <= y for x, y in checked.get(index, ())[-4:]):
+                    continue  # that stretch has been verified: hits come in order, so it is one of the last
                 if k == 0:
                     whole = hit + len(item)
                     if len(item) < self.least and (text[max(0, hit - 1) : hit].isalnum() or text[whole : whole + 1].isalnum()):
@@ -153,46 +163,70 @@ class Matcher:
                         best[index] = got
                     continue
                 if distance <= k and distance < best.get(index, (k + 1,))[0]:
-                    best[index] = (distance, max(0, a + end - len(item)), a + end)
+                    # where it starts: the same search backwards from its end
+                    back = myers(item[::-1], text[max(0, a + end - len(item) - k) : a + end][::-1], k)
+                    best[index] = (distance, a + end - back[1], a + end)
         return [(self.items[i][0], start, end, distance) for i, (distance, start, end) in best.items()]
 
 
-def _groups(items: DataFrame, item_id: str, text: str, group_chars: int) -> Iterator[list[tuple[int, str]]]:
-    group, size = [], 0
-    rows = items.where(F.length(F.trim(text)) > 0).select(item_id, text).distinct().orderBy(item_id, text)
-    for i, t in rows.toLocalIterator():
-        if group and size + len(t) > group_chars:
-            yield group
-            group, size = [], 0
-        group.append((i, t))
-        size += len(t)
-    if group:
-        yield group
-
-
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, item_id, start, end (in the folded text), distance: a row for every document and
-    item that occurs in it, at the item's best place."""
+    """doc_id, item_id, start, end (of the match in the folded text), distance: a row for every
+    document and item that occurs in it, at the item's best place."""
     schema = "doc_id bigint, item_id bigint, start int, end int, distance int"
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text")).where("text is not null")
-    out = None
-    for group in _groups(items.select(F.col(item_id).cast("bigint").alias(item_id), F.col(item_text).alias(item_text)), item_id, item_text, group_chars):
-        known = docs.sparkSession.sparkContext.broadcast(group)  # at most group_chars characters
+    wanted = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("item")).where(F.length(F.trim("item")) > 0).distinct()
+    chars = wanted.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
+
+    def found(matcher: Matcher, ids: list, texts: list) -> pa.RecordBatch:
+        rows = [(d, *m) for d, t in zip(ids, texts) for m in matcher.find(t)]
+        cols = list(zip(*rows)) or [[]] * 5
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "start", "end", "distance"])
 
-        def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+    if chars <= group_chars:
+        known = docs.sparkSession.sparkContext.broadcast([(r.item_id, r.item) for r in wanted.orderBy("item_id", "item").collect()])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(known.value, rate, least)
             for batch in batches:
-                rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for m in matcher.find(t)]
-                cols = list(zip(*rows)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "start", "end", "distance"])
-
-        found = texts.mapInArrow(run, schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+                yield found(matcher, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+        return texts.mapInArrow(run, schema)
+
+    # part = group + groups * share: every share of the documents meets every group
+    groups = -(-chars // group_chars)
+    shares = max(1, docs.sparkSession.sparkContext.defaultParallelism, texts.count() // 20_000)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n - 1))))
+    of = lambda group, share: (F.col(group) + F.lit(int(groups)) * F.col(share)).alias("part")
+    dealt_items = wanted.select("*", F.pmod(F.xxhash64("item_id", "item"), F.lit(int(groups))).alias("g"), numbers(shares).alias("s")).select(of("g", "s"), F.lit(ITEM).alias("kind"), F.col("item_id").alias("id"), F.col("item").alias("text"))
+    dealt_docs = texts.select("*", F.pmod(F.xxhash64("doc_id", "text"), F.lit(int(shares))).alias("s"), numbers(groups).alias("g")).select(of("g", "s"), F.lit(DOC).alias("kind"), F.col("doc_id").alias("id"), "text")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, group, matcher = None, [], None
+        for batch in batches:
+            ids, texts = [], []
+            for p, kind, i, t in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if p != part:
+                    if ids:
+                        yield found(matcher, ids, texts)
+                    part, group, matcher, ids, texts = p, [], None, [], []
+                if kind == ITEM:
+                    group.append((i, t))
+                elif group:
+                    matcher = matcher or Matcher(group, rate, least)
+                    ids.append(i)
+                    texts.append(t)
+            if ids:
+                yield found(matcher, ids, texts)
+
+    both = dealt_items.unionByName(dealt_docs).repartition(int(groups * shares), "part").sortWithinPartitions("part", "kind")
+    return both.mapInArrow(meet, schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that hold no item, with their columns."""
-    bad = contaminated(docs, items, **options).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents that hold no item, with their columns. Documents that share a doc_id, or have
+    none, are told apart by their texts."""
+    named = docs.withColumn("__doc", F.xxhash64("doc_id", "text"))
+    rows = named.select(F.col("__doc").alias("doc_id"), "text")
+    bad = cut(contaminated(rows, items, **options).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
+    return named.join(bad, "__doc", "left_anti").select(*docs.columns)
