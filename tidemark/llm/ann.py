@@ -4,8 +4,9 @@ Equal vectors are one node; a node keeps the ids of its `keep` least members, al
 fewer neighbours can return. The graph starts from random-hyperplane leaves (pairs inside a
 leaf; leaves of bounded size) and improves by NN-descent: every node introduces its neighbours
 and reverse neighbours to each other, and pairs that beat one side's worst neighbour enter its
-list. Guiding similarities use vectors rounded to bytes; what a search returns is ranked by
-cosines of the original vectors in double precision.
+list. Guiding similarities use unit vectors in single precision; all that a search holds when it
+ends is ranked by cosines of the original vectors in double precision. A node that very many
+others list introduces them in groups of about six times the list length.
 
 A query starts at its own node if it is indexed, and at the entry nodes otherwise, and keeps
 opening the nearest unopened nodes of its beam until the beam has none.
@@ -39,22 +40,19 @@ def valid(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & fine & F.exists("v", lambda x: x != 0))
 
 
-def _unit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, v -> id, b: the unit vector in signed bytes, led by its scale as a float."""
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, v -> id, b: the unit vector in single precision."""
     for batch in batches:
         out = []
         for v in batch.column(1).to_pylist():
             x = np.array(v)
             x /= np.abs(x).max()
-            x = np.round(x * 127)
-            out.append(np.float32(1 / np.sqrt((x * x).sum())).tobytes() + x.astype(np.int8).tobytes())
+            out.append((x / np.sqrt((x * x).sum())).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "b"])
 
 
 def _matrix(cells: list[bytes]) -> np.ndarray:
-    """Rows of bytes back to unit vectors (float32)."""
-    raw = np.frombuffer(b"".join(cells), np.uint8).reshape(len(cells), -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * raw[:, :4].copy().view(np.float32)
+    return np.frombuffer(b"".join(cells), np.float32).reshape(len(cells), -1)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.RecordBatch]:
@@ -121,7 +119,7 @@ def _leaves(packed: DataFrame, n: int, trees: int, leaf: int, seed: int) -> Data
 
 def build_graph(nodes_: DataFrame, k: int = 20, trees: int = 10, leaf: int = 120, rounds: int = 4, least_change: float = 0.01, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(graph, packed): id, nbrs, sims, fresh with up to k neighbours, nearest first; id, b."""
-    packed = cut(nodes_.select("id", "v").mapInArrow(_unit_bytes, "id bigint, b binary"), "packed")
+    packed = cut(nodes_.select("id", "v").mapInArrow(_units, "id bigint, b binary"), "packed")
     n = packed.count()
 
     def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,25 +182,30 @@ def _introduce(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
     flat = graph.select("id", F.explode(F.arrays_zip("nbrs", "sims", "fresh")).alias("e")).select("id", F.col("e.nbrs").alias("nbr"), F.col("e.sims").alias("sim"), F.col("e.fresh").alias("fresh"))
     meet = flat.select(F.col("id").alias("at"), F.col("nbr").alias("id"), "sim", "fresh").union(flat.select(F.col("nbr").alias("at"), "id", "sim", "fresh"))
     worst = graph.select("id", F.when(F.size("sims") >= k, F.element_at("sims", -1)).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    guests = meet.join(packed.join(worst, "id"), "id").select("at", "id", "sim", "fresh", "worst", "b")
+    # only where somebody is new there is anything to introduce; vectors go nowhere else
+    crowd = meet.groupBy("at").agg(F.count("*").alias("n"), F.max("fresh").alias("news")).where("news").select("at", F.ceil(F.col("n") / (6 * k)).alias("parts"))
+    crowd = cut(crowd, "crowd")  # a table of its own, so that a hub's rows are split in the join
+    meet = meet.join(crowd, "at").select(F.xxhash64("at", F.pmod(F.xxhash64("id", "at"), "parts")).alias("at"), "id", "sim", "fresh")
+    guests = meet.join(packed.join(worst, "id"), "id").select("at", "id", "fresh", "worst", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_groups(batches):
-            at, ids, sim, fresh, worst = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            cells = batch.column(5).to_pylist()
+            at, ids, fresh, worst = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            cells = batch.column(4).to_pylist()
             out = []
             for a, b in _runs(at):
-                rows = a + np.argsort(-sim[a:b], kind="stable")[: 3 * k]  # a hub introduces its nearest
-                _, one = np.unique(ids[rows], return_index=True)
-                rows = rows[one]
+                _, one = np.unique(ids[a:b], return_index=True)
+                rows = a + one
                 if len(rows) < 2 or not fresh[rows].any():
                     continue
-                x = _matrix([cells[i] for i in rows])
-                s = x @ x.T
-                better = (s > worst[rows][:, None]) & (fresh[rows][:, None] | fresh[rows][None, :])
-                np.fill_diagonal(better, False)
-                i, j = np.nonzero(better)
-                out.append((ids[rows[i]], ids[rows[j]], s[i, j]))
+                for size in {len(cells[i]) for i in rows}:
+                    own = rows[[len(cells[i]) == size for i in rows]]
+                    x = _matrix([cells[i] for i in own])
+                    s = x @ x.T
+                    better = (s > worst[own][:, None]) & (fresh[own][:, None] | fresh[own][None, :])
+                    np.fill_diagonal(better, False)
+                    i, j = np.nonzero(better)
+                    out.append((ids[own[i]], ids[own[j]], s[i, j]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(3)], names=["id", "nbr", "sim"])
 
@@ -213,14 +216,15 @@ def _introduce(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
 BEAM = "query bigint, q binary, beam array<struct<id:bigint,sim:float,open:boolean>>, going boolean"
 
 
-def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64, width: int = 12, entries: int = 32, most: int = 40, max_steps: int = 30) -> DataFrame:
+def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64, width: int = 12, entries: int = 32) -> DataFrame:
     """query, id: the nodes in each query's beam when its walk ended.
 
-    queries: query, q (unit bytes), node (its own node if indexed, else null). A step opens the
-    `width` nearest unopened nodes of the beam, reads their lists and keeps the `ef` nearest."""
-    starts = packed.orderBy(F.xxhash64("id"), "id").limit(entries).select("id", F.lit(1).alias("one"))
+    queries: query, q (unit vector), node (its own node if indexed, else null). A step opens the
+    `width` nearest unopened nodes of the beam, reads their lists and keeps the `ef` nearest; a
+    node that has left the beam never comes back, so the walk ends by itself."""
+    starts = [r.id for r in packed.select("id").orderBy(F.xxhash64("id"), "id").limit(entries).collect()]
     own = queries.where("node is not null").select("query", "q", F.col("node").alias("id"))
-    lost = queries.where("node is null").withColumn("one", F.lit(1)).join(F.broadcast(starts), "one").select("query", "q", "id")
+    lost = queries.where("node is null").select("query", "q", F.explode(F.array(*[F.lit(i).cast("bigint") for i in starts]).cast("array<bigint>")).alias("id"))
     arrow = pa.schema([("query", pa.int64()), ("q", pa.binary()), ("beam", pa.list_(pa.struct([("id", pa.int64()), ("sim", pa.float32()), ("open", pa.bool_())]))), ("going", pa.bool_())])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,9 +246,7 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64
     nothing = F.lit(None).cast("array<struct<id:bigint,sim:float,open:boolean>>")
     first = own.union(lost).join(packed, "id").select("query", "q", nothing.alias("beam"), "id", "b")
     state = cut(_by_node(first, merge, BEAM, "query"), "beam")
-    for _ in range(max_steps):
-        if not state.where("going").limit(1).count():
-            break
+    while state.where("going").limit(1).count():
         nearest = F.slice(F.filter("beam", lambda x: x["open"]), 1, width)
         frontier = state.where("going").select("query", "q", F.explode(nearest).alias("x")).select("query", "q", F.col("x.id").alias("id"))
         met = frontier.join(graph.select("id", "nbrs"), "id").select("query", "q", F.explode("nbrs").alias("id")).distinct()
@@ -256,7 +258,7 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64
         new = cut(_by_node(rows.unionByName(met), merge, BEAM, "query"), "beam")
         drop_cut(state)
         state = new
-    return state.select("query", F.explode(F.slice("beam", 1, most)).alias("x")).select("query", F.col("x.id").alias("id"))
+    return state.select("query", F.explode("beam").alias("x")).select("query", F.col("x.id").alias("id"))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, **options) -> DataFrame:
@@ -266,7 +268,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, **options) -> Da
     graph, packed = build_graph(known, **options)
     asked = valid(queries).distinct()
     asked = cut(asked.join(known.select(F.col("v"), F.col("id").alias("node")), "v", "left").select(F.col("vec_id").alias("query"), "v", "node"), "asked")
-    q = asked.select(F.col("query").alias("id"), "v").mapInArrow(_unit_bytes, "id bigint, b binary").withColumnsRenamed({"id": "query", "b": "q"})
+    q = asked.select(F.col("query").alias("id"), "v").mapInArrow(_units, "id bigint, b binary").withColumnsRenamed({"id": "query", "b": "q"})
     beams = search(q.join(asked.select("query", "node"), "query"), graph, packed)
     found = beams.join(known.withColumnRenamed("v", "w"), "id").join(asked.select("query", "v"), "query").select("query", "v", "w", "members")
 
