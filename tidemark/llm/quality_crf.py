@@ -5,14 +5,15 @@ and its neighbours (letters, capitals, digits, symbols, word lengths, repetition
 line and among the lines). Forward-backward gives each line's marginal of `good`; their mean,
 weighted by length, is the document's score.
 
-Lines take their document's label in training, on at most `max_rows` labelled rows drawn by a
-hash of doc_id; the weights are shared by all documents, so long texts need memory in
-proportion to their own lines only.
+Lines take their document's label in training, on at most `max_rows` labelled rows in the order
+of a hash of doc_id and at most `max_lines` lines of theirs. Features are made and scored a block
+of lines at a time, so that a text of very many lines needs a few numbers a line only.
 
 Null and empty texts have one empty line; null labels and ids without a document are not
-used; several labels of an id count as good if one is; without labels of both classes every
-score is the share of good ones (0 if none); no documents give no rows; repeated rows are
-scored each for itself.
+used; several labels of an id count as good if one is; of several documents with one id the one
+with the least hash is learned from; without labels of both classes every score is the share of
+good ones (0 if none); no documents give no rows; repeated rows are scored each for itself;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import cut, utf8
 from .toxicity import held_out, labelled
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _HIGH, _SYMBOL = range(6)
@@ -37,21 +38,19 @@ _PROSE = np.zeros(256, bool)
 _PROSE[[ord(c) for c in ".,;:'\"-?"]] = True
 OWN = 15  # features of a line; its neighbours' are added
 N_FEATURES = 1 + 3 * OWN + 2
+BLOCK = 4096  # lines
 
 
-def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """A row of features for every line, and the lines' lengths in bytes."""
-    lines = text.split(b"\n")
+def _own_features(lines: list[bytes], same: Counter, seen: set[bytes]) -> np.ndarray:
+    """The features of lines by themselves and by the lines before them (seen holds their words)."""
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    data = np.frombuffer(text + b"\n", np.uint8)
+    data = np.frombuffer(b"\n".join(lines) + b"\n", np.uint8)
     starts = np.cumsum(lengths + 1) - lengths - 1
     kinds = _CLASS[data]
     n = np.maximum(lengths, 1).astype(float)
     share = [np.add.reduceat(kinds == k, starts, dtype=np.int64) / n for k in range(6)]
     prose = np.add.reduceat(_PROSE[data], starts, dtype=np.int64) / n
-    same = Counter(lines)
     own = np.zeros((len(lines), OWN))
-    seen: set[bytes] = set()
     for i, line in enumerate(lines):
         words = line.split()
         if words:
@@ -73,31 +72,55 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     own[:, 6] = np.minimum(np.log1p(lengths) / 8, 2)
     own[:, 11] = np.fromiter((line.count(b"|") for line in lines), float, len(lines)) * 8 / n
     own[:, 12] = np.fromiter((line.rstrip()[-1:] in (b".", b"!", b"?") for line in lines), float, len(lines))
-    before, after = np.vstack([own[:1] * 0, own[:-1]]), np.vstack([own[1:], own[:1] * 0])
-    first, last = np.zeros((len(lines), 1)), np.zeros((len(lines), 1))
-    first[0], last[-1] = 1, 1
-    return np.hstack([np.ones((len(lines), 1)), own, before, after, first, last]), lengths
+    return own
 
 
-def marginals(scores: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """For one chain: node marginals (n, 2), summed edge marginals (2, 2) and log partition.
-    scores: (n, 2) of the nodes; trans: (2, 2)."""
+def feature_blocks(text: bytes, block: int = BLOCK) -> Iterator[np.ndarray]:
+    """The rows of features of a text's lines, a block of lines at a time."""
+    lines = text.split(b"\n")
+    same, seen = Counter(lines), set()
+    before, own = np.zeros((1, OWN)), _own_features(lines[:block], same, seen)
+    for at in range(0, len(lines), block):
+        following = _own_features(lines[at + block : at + 2 * block], same, seen) if at + block < len(lines) else None
+        after = np.zeros((1, OWN)) if following is None else following[:1]
+        m = len(own)
+        first, last = np.zeros((m, 1)), np.zeros((m, 1))
+        first[0], last[-1] = at == 0, following is None
+        yield np.hstack([np.ones((m, 1)), own, np.vstack([before, own[:-1]]), np.vstack([own[1:], after]), first, last])
+        before, own = own[-1:], following
+
+
+def line_features(text: bytes) -> np.ndarray:
+    """A row of features for every line."""
+    return np.vstack(list(feature_blocks(text)))
+
+
+def good_marginals(scores: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """The marginal of `good` of every node of one chain, by forward-backward sums that are scaled
+    at each node. scores: of good against bad; trans: (2, 2)."""
     n = len(scores)
-    alpha, beta = np.empty((n, 2)), np.zeros((n, 2))
-    alpha[0] = scores[0]
-    for i in range(1, n):
-        alpha[i] = scores[i] + np.logaddexp(alpha[i - 1, 0] + trans[0], alpha[i - 1, 1] + trans[1])
-    for i in range(n - 2, -1, -1):
-        nxt = scores[i + 1] + beta[i + 1]
-        beta[i] = np.logaddexp(trans[:, 0] + nxt[0], trans[:, 1] + nxt[1])
-    z = np.logaddexp(alpha[-1, 0], alpha[-1, 1])
-    node = np.exp(alpha + beta - z)
-    edge = np.exp(alpha[:-1, :, None] + trans + (scores + beta)[1:, None, :] - z).sum(0) if n > 1 else np.zeros((2, 2))
-    return node, edge, float(z)
+    grown = np.exp(np.clip(scores, -300, 300)).tolist()
+    (bb, bg), (gb, gg) = np.exp(trans - trans.max()).tolist()
+    ahead, back = np.empty(n), np.empty(n)  # shares of good
+    good = 0.0
+    for i, e in enumerate(grown):
+        g = e * (1.0 if i == 0 else (1 - good) * bg + good * gg)
+        b = 1.0 if i == 0 else (1 - good) * bb + good * gb
+        good = g / (g + b)
+        ahead[i] = good
+    good = 0.5
+    for i in range(n - 1, -1, -1):
+        back[i] = good
+        e = grown[i] * good
+        g, b = gb * (1 - good) + gg * e, bb * (1 - good) + bg * e
+        good = g / (g + b)
+    both = ahead * back
+    return both / (both + (1 - ahead) * (1 - back))
 
 
 def _batched(scores: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """marginals() of many chains padded to one length: scores (d, n, 2), mask (d, n)."""
+    """Node marginals (d, n, 2) and summed edge marginals (d, 2, 2) of many chains padded to one
+    length: scores (d, n, 2), mask (d, n), trans (2, 2)."""
     d, n, _ = scores.shape
     alpha, beta = np.zeros((d, n, 2)), np.zeros((d, n, 2))
     alpha[:, 0] = scores[:, 0]
@@ -155,12 +178,10 @@ class QualityModel:
 
     def lines(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The marginal of `good` and the length of every line."""
-        x, lengths = line_features(text)
+        lengths = np.fromiter(map(len, text.split(b"\n")), np.int64)
         if self.weights is None:
-            return np.full(len(x), self.share), lengths
-        scores = np.zeros((len(x), 2))
-        scores[:, 1] = x @ self.weights
-        return marginals(scores, self.trans)[0][:, 1], lengths
+            return np.full(len(lengths), self.share), lengths
+        return good_marginals(np.concatenate([x @ self.weights for x in feature_blocks(text)]), self.trans), lengths
 
     def score(self, text: bytes) -> float:
         good, lengths = self.lines(text)
@@ -170,25 +191,27 @@ class QualityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_lines: int = 200_000) -> QualityModel:
     """max_rows bounds the labelled rows, max_lines the lines of theirs that training reads
-    (whole documents, in the order of a hash of doc_id)."""
+    (whole documents, in the order of a hash of doc_id, those that would pass the bound left
+    out)."""
+    sample = cut(labelled(docs, labels, "quality", max_rows).select("doc_id", utf8().alias("text"), "label"), "labelled")
+    n_lines = F.length("text") - F.length(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit("")).cast("binary")) + 1
+    taken, n = {}, 0
+    for r in sample.select("doc_id", n_lines.alias("n"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").collect():  # max_rows rows
+        if n + r.n <= max_lines:
+            taken[r.doc_id] = len(taken)
+            n += r.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                x = [line_features(t)[0].astype(np.float32).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(x, pa.binary())], names=["doc_id", "label", "x"])
-
-    sample = labelled(docs, labels, "quality", max_rows).select("doc_id", utf8().alias("text"), "label")
-    got = sample.mapInArrow(run, "doc_id bigint, label int, x binary").toLocalIterator()
-    chains, ys, n = [], [], 0
-    for r in got:
-        x = np.frombuffer(bytes(r.x), np.float32).reshape(-1, N_FEATURES)
-        if n + len(x) <= max_lines:
-            chains.append(x)
-            ys.append(r.label)
-            n += len(x)
-    y = np.array(ys, float)
+            for i, text in enumerate(batch.column(1)):
+                x = line_features(text.as_py()).astype(np.float32).tobytes()
+                row = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([row.column(0), row.column(2), pa.array([x], pa.binary())], names=["doc_id", "label", "x"])
+
+    got = sample.where(F.col("doc_id").isin(list(taken))).mapInArrow(run, "doc_id bigint, label int, x binary").collect()  # max_lines lines
+    got.sort(key=lambda r: taken[r.doc_id])
+    chains = [np.frombuffer(bytes(r.x), np.float32).reshape(-1, N_FEATURES) for r in got]
+    y = np.array([r.label for r in got], float)
     if not len(y) or y.sum() in (0, len(y)):
         return QualityModel(None, None, float(y.mean()) if len(y) else 0.0)
     return QualityModel(*fit_weights(chains, y), float(y.mean()))
