@@ -16,7 +16,8 @@ The classifier is fitted on at most `max_rows` labelled rows, drawn by a hash of
 keeps at most `max_features` features; the character counts cover every document.
 
 Null and empty texts get the score of a text without evidence; labels that are null, or of
-ids that have no document, are not used; several labels of an id count as toxic if one is;
+ids that have no document, are not used; several labels of an id count as toxic if one is; of
+several documents with one id the one with the least hash is learned from;
 without usable labels of both classes every score is the share of toxic ones (0 if none);
 no documents give no rows; repeated rows are scored each for itself.
 """
@@ -279,10 +280,12 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int, y
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """doc_id, text, label of the rows to learn from: crc32(doc_id) mod 5 is not 0, at most
-    max_rows of them by a hash of doc_id."""
+    max_rows of them by a hash of doc_id, of several documents with one id that with the least
+    hash. The labels are broadcast, as max_rows bounds them: the documents stay where they are."""
     marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     marks = marks.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    met = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(marks), "doc_id")
+    return met.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("r")).select("doc_id", "r.text", "r.label")
 
 
 def held_out(doc_id):
