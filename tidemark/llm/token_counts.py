@@ -7,7 +7,8 @@ scan over the blocks' summaries (tokens since the last separator, separators so
 the ends together. The scan runs in two steps, within runs of `span` blocks and over the runs,
 so no file is scanned in one task.
 
-Files may be empty; tokens after the last separator of a file are a document of their own; a
+Documents are written as they come: null and empty texts have no tokens, repeated ids and rows are
+documents of their own, extra columns are ignored, no documents give no rows. Files may be empty; tokens after the last separator of a file are a document of their own; a
 document may have no tokens; block rows that are null or empty add nothing; repeated block
 rows are not allowed (they would be two places of one file).
 """
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.files import opened
 from .common import cut
 
 #: The word pattern of the public byte-level vocabulary, as its publisher states it.
@@ -71,12 +73,27 @@ def write_token_blocks(docs: DataFrame, vocabulary: str = VOCABULARY, separator:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def read_token_files(spark: SparkSession, path: str, block: int = 65536, width: int = 2) -> DataFrame:
-    """Blocks of existing flat files (each below Spark's limit of a binary value): file (its
-    path), block_no, ids."""
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
+def read_token_files(spark: SparkSession, path: str, block: int = 65536, width: int = 2, blocks_a_task: int = 256) -> DataFrame:
+    """Blocks of existing flat files of any size: file (its path), block_no, ids. Files are listed
+    by Spark, cut into ranges of blocks, and the ranges dealt to tasks, which read no more of a
+    file than theirs."""
     size = block * width
-    return files.select(F.col("path").alias("file"), F.posexplode(F.transform(F.sequence(F.lit(0), ((F.col("length") - 1) / size).cast("int")), lambda i: F.substring("content", i * size + 1, F.lit(size)))).alias("block_no", "ids")).select("file", F.col("block_no").cast("bigint").alias("block_no"), "ids")
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select(F.col("path").alias("file"), "length")  # the content is not read
+    last = F.floor((F.col("length") - 1) / size)
+    ranges = files.select("file", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(blocks_a_task).cast("bigint"))).alias("first"))
+    tasks = max(spark.sparkContext.defaultParallelism, ranges.count())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with opened(file, anywhere=True) as stream:
+                    stream.seek(first * size)
+                    for no in range(first, first + blocks_a_task):
+                        if not (raw := stream.read(size)):
+                            break
+                        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([no], pa.int64()), pa.array([bytes(raw)], pa.binary())], names=["file", "block_no", "ids"])
+
+    return ranges.repartition(min(tasks, 100_000), "file", "first").mapInArrow(read, "file string, block_no bigint, ids binary")
 
 
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2, span: int = 1024) -> DataFrame:
