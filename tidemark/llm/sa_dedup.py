@@ -41,6 +41,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 NO_ID = -(1 << 63)
 
 STRETCH = "m bigint, s bigint, z bigint, doc bigint, copy int, pos int, n int"
+COMMON = 20_000  # repeated stretches that a task remembers; others meet later
 BUCKETS = 4096  # that the texts of one doc_id are numbered by
 
 
@@ -155,6 +156,8 @@ def _posted(rows: DataFrame, size: int, k: int) -> DataFrame:
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(2 * most)
+        common: dict[tuple[int, int], tuple[int, int, int]] = {}  # where this task posted them first
+        halves = np.zeros(0, np.uint64)
         for batch in batches:
             for x, what in _pieces(batch, size):
                 doc, copy, place, length = (np.array(c) for c in zip(*what))
@@ -167,6 +170,16 @@ def _posted(rows: DataFrame, size: int, k: int) -> DataFrame:
                 d, c, pos, number, m, s, z = (v[order] for v in (d, c, pos, number, m, s, z))
                 # of stretches that are equal already here all but the earliest are repeats
                 again = np.r_[False, (m[1:] == m[:-1]) & (s[1:] == s[:-1]) & (z[1:] == z[:-1])]
+                # and of those that a buffer of this task has repeated, all but the earliest so far
+                for i in np.flatnonzero(~again & (np.isin(s, halves) | np.r_[again[1:], False])).tolist():
+                    key, place = (int(s[i]), int(z[i])), (int(d[i]), int(c[i]), int(pos[i]))
+                    first = common.get(key)
+                    if first and first <= place:
+                        again[i] = True
+                    elif first or len(common) < COMMON:
+                        common[key] = place
+                if len(halves) < len(common):
+                    halves = np.array([k for k, _ in common], np.uint64)
                 yield _stretch_batch(*(v[~again] for v in (m, s, z, d, c, pos, number)))
                 if again.any():
                     yield _gone(d[again], c[again], pos[again], number[again])
@@ -216,7 +229,7 @@ def _met(posted: DataFrame) -> DataFrame:
     return cut(posted.repartition("m").sortWithinPartitions("m", "s", "z", "doc", "copy", "pos").mapInArrow(meet, STRETCH), "met")
 
 
-def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 2_000, shard_bytes: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, size: int = 100, k: int = 32, hot: int = 500, shard_bytes: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """(ranges, packed): doc, copy, pos, n - windows pos .. pos + n - 1 of a document repeat
     earlier ones; doc, copy, z, times - the documents' bytes, compressed for shuffles, and their
     number of equal rows."""
