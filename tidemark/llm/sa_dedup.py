@@ -285,15 +285,15 @@ def _sorted(stretches_: DataFrame, size: int, shard_bytes: int) -> DataFrame:
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .ann import _whole_groups
 
-        held, count = [], 0
         for batch in _whole_groups(batches):
-            held.append(batch)
-            count += batch.nbytes
-            if count > shard_bytes:
-                yield from shard_repeats(pa.concat_batches(held), size)
-                held, count = [], 0
-        if held:
-            yield from shard_repeats(pa.concat_batches(held), size)
+            m = batch.column(0).to_numpy()
+            ends = np.r_[np.flatnonzero(m[1:] != m[:-1]) + 1, len(m)]  # of anchors
+            upto = pa.compute.binary_length(batch.column(4)).to_numpy().cumsum()[ends - 1]
+            at = done = 0
+            while at < len(m):
+                last = max(int(np.searchsorted(upto, done + shard_bytes, "right")) - 1, int(np.searchsorted(ends, at, "right")))
+                yield from shard_repeats(batch.slice(at, int(ends[last]) - at), size)
+                at, done = int(ends[last]), int(upto[last])
 
     return stretches_.select("m", "doc", "copy", "pos", "bytes").repartition("m").sortWithinPartitions("m").mapInArrow(sort, "doc bigint, copy int, pos int, n int")
 
