@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -93,9 +93,11 @@ def summary(with_series: DataFrame) -> DataFrame:
     return out.drop("__spread", "__bps").join(gaps, "symbol", "left").na.fill(0, ["n_gaps", "gap_min", "gap_max", "gap_p50", "gap_p90", "gap_p99"])
 
 
-def down_sample(rows: DataFrame, keys: list[str], order: list[str], most: int = 350) -> DataFrame:
-    """At most `most` evenly spread rows a key, and the last again: rows floor(i * n / most)."""
-    placed = rows.withColumn("__i", F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1).withColumn("__n", F.count("*").over(W.partitionBy(*keys)))
+def down_sample(rows: DataFrame, keys: list[str], order: list[str], most: int = 350, bucket: Column | None = None) -> DataFrame:
+    """At most `most` evenly spread rows a key, and the last again: rows floor(i * n / most).
+    bucket (rising with the order) ranks a busy key in two steps; its rows are then read twice."""
+    placed = prefix_scans(rows, keys, order, bucket, {"__i": Running(F.lit(1), "count")}).withColumn("__i", F.col("__i") - 1)
+    placed = placed.join(rows.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
     step = F.col("__n") / F.lit(float(most))
     first = F.ceil(F.col("__i") / step).cast("int")
     # i is taken if some j < most has floor(j * step) = i; rounding may move that j by one

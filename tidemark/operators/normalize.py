@@ -32,10 +32,8 @@ ALIASES = {
 
 def pick(fields: Column, names: list[str]) -> Column:
     """The value of the first name whose key is present, null values included."""
-    out = None
-    for n in names:
-        out = F.when(F.map_contains_key(fields, n), fields[n]) if out is None else out.when(F.map_contains_key(fields, n), fields[n])
-    return out
+    present = F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.map_contains_key(fields, n))
+    return F.element_at(fields, F.get(present, F.lit(0)))
 
 
 def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -50,7 +48,7 @@ def event_kind(fields: Column, lowered: Column, aliases: dict[str, dict[str, lis
     quotes = aliases["quote"]
     quoted = F.lit(False)
     for names in (quotes["bid_price"], quotes["ask_price"], ["bid"], ["ask"]):
-        quoted = quoted | pick(lowered, names).isNotNull()
+        quoted = quoted | F.coalesce(pick(lowered, names).isNotNull(), F.lit(False))
     return (
         F.when(said.contains("TRADE") | said.isin("T", "TRD"), "TRADE")
         .when(said.contains("QUOTE") | said.isin("Q", "BBO", "NBBO"), "QUOTE")

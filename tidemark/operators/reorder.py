@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import parse_timestamp_ns
 from ..prefix import Running, prefix_scans
 
+LAST_NS = (1 << 63) - 1
+
 
 def priority() -> Column:
     return F.when(F.col("event_type") == "TRADE", F.lit(1)).otherwise(F.lit(2))
@@ -41,16 +44,25 @@ def not_stored(events: DataFrame, stored: DataFrame) -> DataFrame:
     return dedup(events).join(stored.select("event_id"), "event_id", "left_anti")
 
 
-def replay(trades: DataFrame, quotes: DataFrame, symbol: str | None = None, start_ns: int = 0, end_ns: int = (1 << 63) - 1, event_types: tuple[str, ...] = ("TRADE", "QUOTE"), ordered: bool = True) -> DataFrame:
-    """Both kinds in replay order for a symbol and a window, both ends included."""
-    if start_ns > end_ns:
+def bound_ns(at: int | str | None, otherwise: int) -> Column:
+    """A bound of a window: nanoseconds, a time as text in any form that a feed may use, or open."""
+    if at is None or isinstance(at, str) and not at.strip():
+        return F.lit(otherwise).cast("bigint")
+    return F.lit(at).cast("bigint") if isinstance(at, int) else F.coalesce(parse_timestamp_ns(F.lit(at)), F.raise_error(F.lit(f"no time: {at}")).cast("bigint"))
+
+
+def replay(trades: DataFrame, quotes: DataFrame, symbol: str | None = None, start_ns: int | str | None = 0, end_ns: int | str | None = None, event_types: tuple[str, ...] = ("TRADE", "QUOTE"), ordered: bool = True, limit: int | None = None) -> DataFrame:
+    """Both kinds in replay order for a symbol and a window, both ends included; with a limit the
+    first so many of that order."""
+    if isinstance(start_ns, int) and isinstance(end_ns, int) and start_ns > end_ns:
         raise ValueError("the window ends before it starts")
     both = trades.withColumn("event_type", F.lit("TRADE")).unionByName(quotes.withColumn("event_type", F.lit("QUOTE")), allowMissingColumns=True)
-    both = both.where(F.col("timestamp_ns").between(start_ns, end_ns) & F.col("event_type").isin(*[t.strip().upper() for t in event_types]))
+    both = both.where(F.col("timestamp_ns").between(bound_ns(start_ns, 0), bound_ns(end_ns, LAST_NS)) & F.col("event_type").isin(*[t.strip().upper() for t in event_types]))
     if symbol is not None:
         both = both.where(F.col("symbol") == symbol.strip().upper())
     both = both.withColumn("event_type_priority", priority())
-    return both.orderBy(*REPLAY_ORDER) if ordered else both
+    both = both.orderBy(*REPLAY_ORDER) if ordered or limit is not None else both
+    return both if limit is None else both.limit(limit)
 
 
 def replay_many(events: DataFrame, requests: DataFrame) -> DataFrame:

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import scalars as S
-from ..operators import metrics, reorder, validate
-from ..operators.normalize import event_kind, normalize
-from ..sources.store import Store
-from ..sources.text import read_csv
+from ..operators import manifest, metrics, quarantine, reorder, validate
+from ..operators.normalize import ALIASES, event_kind, normalize
+from ..sources.store import Store, write_replay
+from ..sources.text import read_csv, read_json_array, read_json_lines
 from ..streaming.ingest import FileStream
-from ..tables import new_path, spread
+from ..tables import new_path, spread, staged_table
 from .ingest import Rules, ingest
-from .report import market_report
+from .report import display, market_report
 
 LATENESS = 600_000_000_000
 TRADES = ("purchase", "error", "signup")
@@ -51,8 +51,11 @@ def feed(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
     return e.select(F.lit("").alias("source_file"), F.col("event_id").alias("line_number"), arrival.alias("arrival"), F.col("props").alias("raw_text"), F.when(trade, as_map(trades)).otherwise(as_map(quotes)).alias("fields"), F.lit(None).cast("string").alias("parse_error"))
 
 
-def canonical(spark: SparkSession, d: str) -> DataFrame:
-    return normalize(feed(spark, d)).where("error_code is null").withColumn("event_type_priority", reorder.priority())
+def canonical(spark: SparkSession, d: str, once: bool = True) -> DataFrame:
+    """The feed's events. Parsing is what costs: queries that scan them more than once read them
+    from a table that is written once."""
+    e = normalize(feed(spark, d)).where("error_code is null").withColumn("event_type_priority", reorder.priority())
+    return staged_table(e.drop("raw_text", "fields", "parse_error", "error_code", "error_field", "error_message", "severity"), "canonical") if once else e
 
 
 def _double(df: DataFrame, *names: str) -> DataFrame:
@@ -60,12 +63,12 @@ def _double(df: DataFrame, *names: str) -> DataFrame:
 
 
 def canonical_trades(spark, d):
-    t = canonical(spark, d).where("event_type = 'TRADE'")
+    t = canonical(spark, d, once=False).where("event_type = 'TRADE'")
     return _double(t.select("event_id", "symbol", "timestamp_ns", "price", "size", "price_text", "size_text", "side", "source", "sequence_id"), "price", "size")
 
 
 def canonical_quotes(spark, d):
-    q = canonical(spark, d).where("event_type = 'QUOTE'")
+    q = canonical(spark, d, once=False).where("event_type = 'QUOTE'")
     return q.select("event_id", "symbol", "timestamp_ns", "bid_price_text", "bid_size_text", "ask_price_text", "ask_size_text", "source", "sequence_id")
 
 
@@ -95,7 +98,7 @@ def side_normalize(spark, d):
 
 
 def _validated(spark, d):
-    n = normalize(feed(spark, d, dirty=True))
+    n = staged_table(normalize(feed(spark, d, dirty=True)), "normalised")
     return n.where("error_code is not null"), validate.validate(n.where("error_code is null"), ["arrival", "line_number"], bucket=hour())
 
 
@@ -112,13 +115,18 @@ def validation_report(spark, d):
     return validate.report(good.select("status").unionByName(bad.select(F.lit("REJECTED").alias("status"))).withColumn("feed", F.lit("events")), ["feed"])
 
 
-def quarantine_union(spark, d):
+def _rejects(spark, d):
+    """Rows that fail normalising, hard-invalid ones and late ones, as the quarantine takes them."""
     bad, good = _validated(spark, d)
+    good = staged_table(good, "validated")
     timed = reorder.with_watermark(good.where("status <> 'HARD_INVALID'").withColumn("feed", F.lit("events")), ["feed"], ["arrival", "line_number"], LATENESS, hour())
-    first = F.get("diagnostics", F.lit(0))["code"]
-    return bad.select(F.col("line_number").alias("event_no"), "error_code", F.lit(0).cast("bigint").alias("timestamp_ns")).unionByName(good.where("status = 'HARD_INVALID'").select(F.col("line_number").alias("event_no"), first.alias("error_code"), "timestamp_ns")).unionByName(
-        timed.where("late").select(F.col("line_number").alias("event_no"), F.lit("ERR_EXCESSIVE_LATENESS").alias("error_code"), "timestamp_ns")
-    )
+    return quarantine.from_normalising(bad), quarantine.from_rules(good), quarantine.from_lateness(timed)
+
+
+def quarantine_union(spark, d):
+    parts = _rejects(spark, d)
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("error_code", "severity", F.coalesce("field_name", F.lit("")).alias("field_name"), "timestamp_ns").agg(F.count("*").alias("n"), F.count_distinct("quarantine_id").alias("n_ids"))
 
 
 def _timed(spark, d):
@@ -160,8 +168,9 @@ def monotonicity_audit(spark, d):
     return reorder.monotonicity(canonical(spark, d), ["symbol"], ["arrival", "line_number"], hour())
 
 
-def _series(spark, d):
-    return metrics.series(canonical(spark, d))
+def _series(spark, d, once: bool = False):
+    s = metrics.series(canonical(spark, d))
+    return staged_table(s, "series") if once else s
 
 
 def running_vwap(spark, d):
@@ -181,11 +190,11 @@ def inter_arrival(spark, d):
 
 
 def jitter_percentiles(spark, d):
-    return metrics.gap_percentiles(_series(spark, d))
+    return metrics.gap_percentiles(_series(spark, d, once=True))
 
 
 def jitter_histogram(spark, d):
-    return metrics.gap_histogram(_series(spark, d))
+    return metrics.gap_histogram(_series(spark, d, once=True))
 
 
 def downsample_series(spark, d):
@@ -194,11 +203,11 @@ def downsample_series(spark, d):
 
 
 def symbol_summary(spark, d):
-    return metrics.summary(_series(spark, d))
+    return metrics.summary(_series(spark, d, once=True))
 
 
 def event_identity(spark, d):
-    return canonical(spark, d).select(F.col("line_number").alias("event_no"), "event_id")
+    return canonical(spark, d, once=False).select(F.col("line_number").alias("event_no"), "event_id")
 
 
 def detect_event_type(spark, d):
@@ -285,11 +294,156 @@ def stream_reorder(spark, d):
 
 
 def manifest_rollup(spark, d):
+    """Manifest counts a venue over the shipped operator."""
+    e = canonical(spark, d).withColumn("route", F.lit("stored"))
+    out = manifest.counts(e, ["source"])
+    return out.select("source", "total_records", "trade_count", "quote_count", "min_timestamp_ns", "max_timestamp_ns", F.concat_ws(",", "symbols").alias("symbols"))
+
+
+def _spoilt_quotes(spark, d):
+    """The quotes with sides below zero, zero sizes and zero bids among them."""
+    q, n = canonical(spark, d).where("event_type = 'QUOTE'"), F.col("line_number")
+    bad = {"bid_price": (7, -1), "ask_price": (11, -1), "bid_size": (13, 0), "ask_size": (17, 0)}
+    return q.withColumns({c: F.when(n % k == 0, F.lit(v)).otherwise(F.when(n % 19 == 0, F.lit(0)).otherwise(F.col(c)) if c == "bid_price" else F.col(c)).cast(dict(q.dtypes)[c]) for c, (k, v) in bad.items()})
+
+
+def quote_rules(spark, d):
+    """Hard and soft rules of quotes, every code in order."""
+    return validate.validate(_spoilt_quotes(spark, d), ["line_number"], []).select(F.col("line_number").alias("event_no"), "status", F.concat_ws(",", "diagnostics.code").alias("codes"))
+
+
+def crossed_policy(spark, d):
+    """Crossed quotes as errors instead of warnings."""
+    v = validate.validate(canonical(spark, d).where("event_type = 'QUOTE'"), ["line_number"], [], allow_crossed=False)
+    return v.groupBy("status", F.concat_ws(",", "diagnostics.code").alias("codes")).agg(F.count("*").alias("n"))
+
+
+def quarantine_normalising(spark, d):
+    return _rejects(spark, d)[0].select("quarantine_id", "timestamp_ns", "source", "raw_record", "error_code", "severity", "field_name")
+
+
+def quarantine_rules(spark, d):
+    return _rejects(spark, d)[1].select("quarantine_id", "timestamp_ns", "source", "raw_record", "error_code", "severity", "field_name")
+
+
+def quarantine_lateness(spark, d):
+    return _rejects(spark, d)[2].select("quarantine_id", "timestamp_ns", "source", "raw_record", "error_code", "error_message", "severity", "field_name")
+
+
+def quarantine_log(spark, d):
+    """The rejects to a log of JSON lines and back."""
+    path = new_path(spark, "log")
+    for part in _rejects(spark, d):
+        quarantine.write_log(part, path)
+    return quarantine.read_log(spark, path).groupBy("error_code").agg(F.count("*").alias("n"), F.count_distinct("quarantine_id").alias("n_ids"), F.max("timestamp_ns").alias("last_ns"))
+
+
+def quarantine_store(spark, d):
+    """The rejects stored twice: the store holds each once."""
+    store = Store(spark, new_path(spark, "store"))
+    for _ in range(2):
+        for part in _rejects(spark, d)[:2]:
+            store.put_quarantine(part)
+    return store.quarantine().groupBy("error_code", "source").agg(F.count("*").alias("n"))
+
+
+def own_aliases(spark, d):
+    """A feed whose price is called amt, read by aliases of its own."""
+    rows = feed(spark, d).withColumn("fields", F.transform_keys("fields", lambda k, v: F.when(k == "price", "amt").otherwise(k)))
+    aliases = ALIASES | {"trade": ALIASES["trade"] | {"price": ["amt"]}}
+    n = normalize(rows, aliases)
+    return _double(n.where("event_type = 'TRADE'").select(F.col("line_number").alias("event_no"), "price", F.coalesce("error_code", F.lit("")).alias("error_code")), "price")
+
+
+def replay_json(spark, d):
+    """The replay as JSON lines, read again as a feed."""
+    path = new_path(spark, "replay")
+    store = canonical(spark, d)
+    write_replay(reorder.replay(store.where("event_type = 'TRADE'"), store.where("event_type = 'QUOTE'"), ordered=False), path)
+    n = normalize(read_json_lines(spark, path))
+    return n.select("event_type", "event_id", "symbol", "timestamp_ns")
+
+
+def replay_limited(spark, d):
+    """The first 100 events of a replay between two times given as text."""
     e = canonical(spark, d)
-    return e.groupBy("source").agg(F.count("*").alias("total_records"), F.count_if(F.col("event_type") == "TRADE").alias("trade_count"), F.count_if(F.col("event_type") == "QUOTE").alias("quote_count"), F.min("timestamp_ns").alias("min_timestamp_ns"), F.max("timestamp_ns").alias("max_timestamp_ns"), F.concat_ws(",", F.array_sort(F.collect_set("symbol"))).alias("symbols"))
+    low, high = e.agg(F.min("timestamp_ns").cast("string"), S.format_timestamp_ns(F.max("timestamp_ns"))).first()
+    out = reorder.replay(e.where("event_type = 'TRADE'"), e.where("event_type = 'QUOTE'"), None, low, high, limit=100)
+    return out.select("event_id", "symbol", "timestamp_ns")
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder)}
+def json_array_read(spark, d):
+    """Each hour of the feed as one JSON array, read again."""
+    path = new_path(spark, "arrays")
+    rows = feed(spark, d).groupBy(hour().alias("h")).agg(F.collect_list("fields").alias("a"))
+    rows.select(F.to_json("a").alias("value"), "h").repartition("h").write.partitionBy("h").text(path)
+    n = normalize(read_json_array(spark, path))
+    return n.groupBy("event_type", F.coalesce("error_code", F.lit("")).alias("error_code")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
+
+
+def report_display(spark, d):
+    return display(metrics.summary(_series(spark, d, once=True)))
+
+
+def run_differences(spark, d):
+    """Two runs of which the second lacks every seventh event and repeats every eleventh."""
+    one = canonical(spark, d).select("event_id", "symbol", "timestamp_ns", "line_number")
+    other = one.where("line_number % 7 <> 0").unionByName(one.where("line_number % 11 = 0"))
+    return manifest.differences(one, other).groupBy("only_in").agg(F.count("*").alias("n"))
+
+
+def manifest_verify(spark, d):
+    """Checksums of written files hold, and fail for one that is not there."""
+    path = new_path(spark, "feed")
+    _as_files(feed(spark, d), path)
+    rows = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source_file"))
+    rows = manifest.with_checksum(rows.unionByName(rows.withColumn("source_file", F.concat("source_file", F.lit(".gone"))))).select(F.col("source_file").alias("dataset_id"), "source_file", F.coalesce("sha256", F.lit("x")).alias("sha256_checksum"))
+    good = manifest.verify(rows)
+    return good.agg((F.count_if("valid") > 0).alias("some_valid"), (F.count_if(F.endswith("source_file", F.lit(".gone")) == F.col("valid")) == 0).alias("only_those_there"))
+
+
+def stream_dedup(spark, d):
+    """A stream whose second part repeats the first: each event is released once."""
+    rows = feed(spark, d)
+    source, state = new_path(spark, "arriving"), new_path(spark, "stream")
+    s = FileStream(spark, source, Store(spark, f"{state}/store"), state, Rules(lateness_ns=1 << 62), hint="jsonl")
+    for _ in range(2):
+        _as_files(rows, source)
+        s.start().awaitTermination()
+    s.flush()
+    out = s.store
+    return out.trades().select("event_id", "symbol").unionByName(out.quotes().select("event_id", "symbol")).groupBy("symbol").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
+
+
+def _orders(spark, d):
+    """lineitem as trades: an order's lines tie in time, and one supplier in three is one symbol."""
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    ns = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint") * 86_400_000_000_000
+    symbol = F.when(F.col("l_suppkey") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("decimal(18,6)")
+    key = F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    trade = {"event_type": F.lit("TRADE"), "event_id": key, "symbol": symbol, "timestamp_ns": ns, "price": price, "size": F.col("l_quantity").cast("decimal(18,6)"), "side": F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY")}
+    return li.select(*[c.alias(n) for n, c in trade.items()], F.lit(1).alias("event_type_priority"), *[F.lit(None).cast("decimal(18,6)").alias(n) for n in ("bid_price", "ask_price")])
+
+
+def lineitem_series(spark, d):
+    """Positions and running volume where thousands of trades tie in time and one symbol is a third."""
+    s = metrics.series(_orders(spark, d), bucket_ns=24 * metrics.HOUR_NS)
+    return _double(s.select("event_id", "symbol", "position", "cum_volume"), "cum_volume")
+
+
+def lineitem_summary(spark, d):
+    s = metrics.summary(staged_table(metrics.series(_orders(spark, d), bucket_ns=24 * metrics.HOUR_NS), "series"))
+    return s.select("symbol", "trade_count", "volume", "min_price", "max_price", "last_price", "buy_volume", "sell_volume", "n_gaps", "gap_p50", "gap_max")
+
+
+def lineitem_downsample(spark, d):
+    """At most 50 points a symbol, ranked in two steps so that the hot symbol is no one task's."""
+    rows = _orders(spark, d).select("symbol", *reorder.REPLAY_ORDER)
+    return metrics.down_sample(rows, ["symbol"], reorder.REPLAY_ORDER, 50, bucket=F.expr(f"timestamp_ns div {24 * metrics.HOUR_NS}")).select("symbol", "event_id", "point")
+
+
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, lineitem_series, lineitem_summary, lineitem_downsample)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -369,5 +523,53 @@ SELECT s.* EXCLUDE (sp), CASE WHEN volume>0 THEN notional/volume ELSE 0.0::DOUBL
     "ingest_manifest": f"WITH {_DIRTY}, ok AS (SELECT * FROM st WHERE status<>'HARD_INVALID') SELECT (SELECT count(*) FROM events) AS total_records, count(*) FILTER (is_trade) AS trade_count, count(*) FILTER (NOT is_trade) AS quote_count, (SELECT count(*) FROM events)-count(*) AS quarantine_count, min(timestamp_ns) AS min_timestamp_ns, max(timestamp_ns) AS max_timestamp_ns FROM ok",
     "store_upsert": f"WITH {_BASE} SELECT CAST(make_timestamp(timestamp_ns//1000) AS DATE) AS event_date, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev WHERE is_trade GROUP BY 1",
 }
+_REJ = (
+    _DIRTY
+    + """,
+wm AS (SELECT *, """
+    + _WM
+    + """ AS w FROM st WHERE status<>'HARD_INVALID'),
+ids AS (SELECT *, CASE WHEN is_trade THEN sha256('TRADE|'||symbol||'|'||timestamp_ns||'|'||p||'|'||(k+1)||'|'||side||'|'||source||'|'||coalesce(CAST(sequence_id AS VARCHAR),'NONE'))
+  ELSE sha256('QUOTE|'||symbol||'|'||timestamp_ns||'|'||px||'|'||(k+1)||'|'||ask||'|'||(k+2)||'|'||source||'|'||coalesce(CAST(sequence_id AS VARCHAR),'NONE')) END AS id FROM wm WHERE w>0 AND timestamp_ns<w),
+rej0 AS (SELECT 'parse' AS kind, n, err AS error_code, CASE err WHEN 'ERR_MISSING_SYMBOL' THEN 'symbol' WHEN 'ERR_INVALID_TIMESTAMP' THEN 'timestamp' ELSE 'price' END AS field_name, CAST(0 AS BIGINT) AS timestamp_ns, 'UNKNOWN' AS source, 'QUAR-'||n AS head, '' AS error_message FROM norm WHERE err IS NOT NULL
+  UNION ALL SELECT 'invalid', n, string_split(codes, ',')[1], CASE string_split(codes, ',')[1] WHEN 'ERR_NEGATIVE_ASK_PRICE' THEN 'ask_price' ELSE 'price' END, timestamp_ns, 'UNKNOWN', 'QUAR-'||n, '' FROM st WHERE status='HARD_INVALID'
+  UNION ALL SELECT 'late', n, 'ERR_EXCESSIVE_LATENESS', 'timestamp_ns', timestamp_ns, source, 'QUAR-LATE-'||substr(id, 1, 8), 'time '||timestamp_ns||' is '||(w-timestamp_ns)||' ns behind the watermark '||w FROM ids),
+rej AS (SELECT r.*, head||'-'||substr(sha256('|'||n||'|'||error_code), 1, 16) AS quarantine_id, 'HARD_INVALID' AS severity, e.props AS raw_record FROM rej0 r JOIN events e ON e.event_id = n)"""
+)
+_QUARANTINE = "quarantine_id, timestamp_ns, source, raw_record, error_code, severity, field_name"
+_ORDERS = """
+ev AS (SELECT CASE WHEN l_suppkey%3=0 THEN 'HOT' ELSE 'S'||l_suppkey END AS symbol, CAST(epoch_us(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)) AS BIGINT)*1000 AS timestamp_ns, CAST(l_extendedprice AS DECIMAL(18,2)) AS px,
+  CAST(l_quantity AS DECIMAL(18,2)) AS q, l_returnflag='R' AS sold, lpad(CAST(l_orderkey AS VARCHAR), 12, '0')||'-'||lpad(CAST(l_linenumber AS VARCHAR), 2, '0')||'-'||l_partkey||'-'||l_suppkey AS event_id FROM lineitem),
+ser AS (SELECT *, row_number() OVER w AS position, CAST(sum(q) OVER w AS DOUBLE) AS cum_volume, timestamp_ns - lag(timestamp_ns) OVER w AS gap_ns FROM ev WINDOW w AS (PARTITION BY symbol ORDER BY timestamp_ns, event_id ROWS UNBOUNDED PRECEDING))"""
+_POINTS = "{0} AS (SELECT symbol, event_id, row_number() OVER (PARTITION BY symbol ORDER BY timestamp_ns, event_id)-1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM ev)"
+
+SQL |= {
+    "quarantine_union": f"WITH {_REJ} SELECT error_code, severity, field_name, timestamp_ns, count(*) AS n, count(DISTINCT quarantine_id) AS n_ids FROM rej GROUP BY ALL",
+    "quarantine_normalising": f"WITH {_REJ} SELECT {_QUARANTINE} FROM rej WHERE kind='parse'",
+    "quarantine_rules": f"WITH {_REJ} SELECT {_QUARANTINE} FROM rej WHERE kind='invalid'",
+    "quarantine_lateness": f"WITH {_REJ} SELECT {_QUARANTINE}, error_message FROM rej WHERE kind='late'",
+    "quarantine_log": f"WITH {_REJ} SELECT error_code, count(*) AS n, count(DISTINCT quarantine_id) AS n_ids, max(timestamp_ns) AS last_ns FROM rej GROUP BY 1",
+    "quarantine_store": f"WITH {_REJ} SELECT error_code, source, count(*) AS n FROM rej WHERE kind<>'late' GROUP BY 1, 2",
+    "quote_rules": f"""WITH {_BASE}, q AS (SELECT n, CASE WHEN n%7=0 THEN -1 WHEN n%19=0 THEN 0 ELSE px END AS b, CASE WHEN n%11=0 THEN -1 ELSE ask END AS a, CASE WHEN n%13=0 THEN 0 ELSE k+1 END AS bs, CASE WHEN n%17=0 THEN 0 ELSE k+2 END AS sz FROM ev WHERE NOT is_trade),
+  c AS (SELECT n, concat_ws(',', CASE WHEN b<0 THEN 'ERR_NEGATIVE_BID_PRICE' END, CASE WHEN a<0 THEN 'ERR_NEGATIVE_ASK_PRICE' END, CASE WHEN bs<=0 THEN 'ERR_NON_POSITIVE_BID_SIZE' END, CASE WHEN sz<=0 THEN 'ERR_NON_POSITIVE_ASK_SIZE' END,
+    CASE WHEN b=0 THEN 'WARN_ZERO_BID_PRICE' END, CASE WHEN a=b THEN 'WARN_LOCKED_MARKET' END, CASE WHEN a<b THEN 'WARN_CROSSED_MARKET' END) AS codes FROM q)
+  SELECT n AS event_no, CASE WHEN codes LIKE '%ERR_%' THEN 'HARD_INVALID' WHEN codes<>'' THEN 'SOFT_WARNING' ELSE 'ACCEPTED' END AS status, codes FROM c""",
+    "crossed_policy": f"WITH {_BASE}, c AS (SELECT concat_ws(',', CASE WHEN ask<0 THEN 'ERR_NEGATIVE_ASK_PRICE' END, CASE WHEN px=0 THEN 'WARN_ZERO_BID_PRICE' END, CASE WHEN ask=px THEN 'WARN_LOCKED_MARKET' END, CASE WHEN ask<px THEN 'ERR_CROSSED_MARKET' END) AS codes FROM ev WHERE NOT is_trade) SELECT CASE WHEN codes LIKE '%ERR_%' THEN 'HARD_INVALID' WHEN codes<>'' THEN 'SOFT_WARNING' ELSE 'ACCEPTED' END AS status, codes, count(*) AS n FROM c GROUP BY 1, 2",
+    "own_aliases": f"WITH {_BASE} SELECT n AS event_no, CAST(px AS DOUBLE) AS price, '' AS error_code FROM ev WHERE is_trade",
+    "replay_json": f"WITH {_BASE} SELECT CASE WHEN is_trade THEN 'TRADE' ELSE 'QUOTE' END AS event_type, event_id, symbol, timestamp_ns FROM ev",
+    "replay_limited": f"WITH {_BASE} SELECT event_id, symbol, timestamp_ns FROM ev ORDER BY timestamp_ns, prio, event_id LIMIT 100",
+    "json_array_read": f"WITH {_BASE} SELECT CASE WHEN is_trade THEN 'TRADE' ELSE 'QUOTE' END AS event_type, '' AS error_code, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev GROUP BY 1",
+    "report_display": f"WITH full_summary AS ({SQL['symbol_summary']}) SELECT symbol, total_events, volume, round(vwap, 4) AS vwap, round(imbalance*100, 2) AS imbalance_pct, round(mean_spread_bps, 2) AS mean_spread_bps, {', '.join(f'round(gap_{p}/1000.0::DOUBLE, 1) AS gap_{p}_us' for p in ('min', 'p50', 'p90', 'p99', 'max'))} FROM full_summary",
+    "run_differences": f"WITH {_BASE} SELECT CASE WHEN n%7=0 THEN 'first' ELSE 'second' END AS only_in, count(*) AS n FROM ev WHERE (n%7=0) <> (n%11=0) GROUP BY 1",
+    "manifest_verify": "SELECT count(*) > 0 AS some_valid, count(*) > 0 AS only_those_there FROM events",
+    "stream_dedup": f"WITH {_BASE} SELECT symbol, count(DISTINCT event_id) AS n, count(DISTINCT event_id) AS n_ids FROM ev GROUP BY 1",
+    "lineitem_series": f"WITH {_ORDERS} SELECT event_id, symbol, position, cum_volume FROM ser",
+    "lineitem_summary": f"""WITH {_ORDERS}, rk AS (SELECT symbol, gap_ns, row_number() OVER (PARTITION BY symbol ORDER BY gap_ns)-1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM ser WHERE gap_ns IS NOT NULL),
+  pct AS (SELECT symbol, max(n) AS n_gaps, max(gap_ns) AS gap_max, min(CASE WHEN i = least(n-1, CAST(floor(n*0.5::DOUBLE) AS BIGINT)) THEN gap_ns END) AS gap_p50 FROM rk GROUP BY symbol),
+  s AS (SELECT symbol, count(*) AS trade_count, CAST(sum(q) AS DOUBLE) AS volume, CAST(min(px) AS DOUBLE) AS min_price, CAST(max(px) AS DOUBLE) AS max_price, CAST(last(px ORDER BY timestamp_ns, event_id) AS DOUBLE) AS last_price,
+    coalesce(CAST(sum(q) FILTER (NOT sold) AS DOUBLE), 0) AS buy_volume, coalesce(CAST(sum(q) FILTER (sold) AS DOUBLE), 0) AS sell_volume FROM ev GROUP BY 1)
+  SELECT s.*, coalesce(n_gaps, 0) AS n_gaps, coalesce(gap_p50, 0) AS gap_p50, coalesce(gap_max, 0) AS gap_max FROM s LEFT JOIN pct USING (symbol)""",
+    "lineitem_downsample": f"WITH {_ORDERS}, {_POINTS.format('t')}, pick AS (SELECT symbol, event_id FROM t WHERE n<=50 UNION ALL SELECT symbol, event_id FROM t WHERE n>50 AND i=n-1 UNION ALL SELECT t.symbol, event_id FROM t JOIN (SELECT unnest(range(50)) AS j) r ON n>50 AND CAST(floor(j*(n/50.0::DOUBLE)) AS BIGINT)=i) SELECT symbol, event_id, CAST(row_number() OVER (PARTITION BY symbol, event_id) AS INTEGER) AS point FROM pick",
+}
 SQL["stored_report"] = SQL["symbol_summary"]
 SQL["stream_reorder"] = SQL["reorder_sequence"]
