@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 
 from tidemark.llm import ann, decontam, html_extract, mixing, near_copies, quality_crf, sa_dedup, secrets, simhash, token_counts, toxicity
 from tidemark.llm.suffix_array import permuted_common_prefixes, suffix_array
+from tidemark.tables import new_path
 
 DOCS = "doc_id bigint, text string, source string, blob string"
 
@@ -26,7 +28,9 @@ def test_suffix_array_against_sorting():
         assert sa.tolist() == sorted(range(len(b)), key=lambda i: b[i:])
         shared = permuted_common_prefixes(t, sa, 1000)
         for x, y in zip(sa[1:], sa):
-            assert b[x : x + shared[x]] == b[y : y + shared[x]] and b[x + shared[x] : x + shared[x] + 1] != b[y + shared[x] : y + shared[x] + 1] or x + shared[x] == len(b) or y + shared[x] == len(b)
+            n = shared[x]
+            assert b[x : x + n] == b[y : y + n]
+            assert b[x + n : x + n + 1] != b[y + n : y + n + 1] or x + n == len(b) or y + n == len(b)
 
 
 @pytest.mark.parametrize("hot", [2, 2000])
@@ -136,9 +140,24 @@ def test_secrets(spark):
     want = f"assign:{a.start()}:{a.end()},access:{k.start()}:{k.end()},hex:{h.start()}:{h.end()}"
     assert out[9].spans == want and out[9].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert (out[1].n_assign, out[1].spans) == (0, "")
-    fresh, _ = secrets.scan_blobs(docs(spark, [(9, text, "s")]))
-    again, _ = secrets.scan_blobs(docs(spark, [(10, text, "s")]), fresh)
-    assert fresh.count() == len(secrets.RULES) and again.count() == 0
+    # a ledger of two versions of one path, a clean one among them: a second run scans nothing, a
+    # new rule only scans its own pairs
+    ledger = new_path(spark, "ledger")
+    versions = docs(spark, [(9, text, "s"), (9, "clean", "s"), (10, text, "s")])
+    assert secrets.scan(versions, ledger, secrets.BASE_RULES).count() == 2 * len(secrets.BASE_RULES)
+    known = spark.read.parquet(ledger)
+    assert secrets.scan_blobs(versions, known, secrets.BASE_RULES).count() == 0
+    assert secrets.scan_blobs(versions, known, secrets.RULES).count() == 2 * len(secrets.MORE_RULES)
+    found = secrets.findings_by_path(secrets.addressed(versions), known.union(known), secrets.BASE_RULES).collect()
+    assert sorted((r.path, len(r.found)) for r in found) == [(9, 0), (9, 3), (10, 3)]
+
+
+def test_secrets_of_a_text_with_many_matches(spark):
+    one = "é deadbeefdeadbeef password: abcdefghijkl\n"
+    row = secrets.secret_digest(docs(spark, [(1, one * 3000, "s")])).first()
+    assert (row.n_hex, row.n_assign) == (3000, 3000) and row.spans.endswith(f"assign:{len(one) * 2999 + 19}:{len(one) * 2999 + 41}")
+    clean = secrets.redact(docs(spark, [(1, one * 50, "s"), (2, None, "s"), (3, "password=token=abcdefghijklm", "s")])).collect()
+    assert {r.doc_id: r.text for r in clean} == {1: "é [SECRET] [SECRET]\n" * 50, 2: None, 3: "[SECRET]"}
 
 
 def test_mix(spark):
@@ -150,10 +169,29 @@ def test_mix(spark):
     assert len(mixing.mix_digest(docs(spark, ODD)).collect()) == len(ODD)
 
 
+def test_small_sources_reach_their_targets(spark):
+    sizes = {"a": 10, "b": 70, "c": 3000, "d": 20, None: 40}
+    rows, no = [], 0
+    for source, n in sizes.items():
+        while n:
+            rows.append((no, " ".join(["w"] * min(n, 37)), source))
+            n, no = n - min(n, 37), no + 1
+    out = mixing.mix_digest(docs(spark, rows)).collect()
+    assert all(r.taken <= 3 * r["size"] for r in out)
+    level, weights = 2720.0, [5, 2, 1, 5, 2]  # c alone is not at three times its size
+    for (source, n), w in zip(sizes.items(), weights):
+        own = [r for r in out if r.source_size == n]
+        assert own[0].target == (level if source == "c" else 3 * n) and sum(r.taken for r in own) == own[0].target
+    kept = mixing.mixed_documents(docs(spark, [*rows, rows[0]])).collect()
+    assert {r.doc_id for r in kept} <= {r[0] for r in rows} and all(r.taken > 0 and r.text for r in kept)
+
+
 def test_permutation():
     for n in (1, 2, 7, 100):
         got = mixing.permute(np.arange(n), np.full(n, n), np.full(n, 12345, np.uint64))
         assert sorted(got) == list(range(n))
+        back = mixing.permute(got, np.full(n, n), np.full(n, 12345, np.uint64), back=True)
+        assert back.tolist() == list(range(n))
 
 
 def test_token_counts_across_blocks(spark):
@@ -181,10 +219,25 @@ def test_neighbours_ties_and_odd_vectors(spark):
     assert [r.vec_id for r in got] == [300, 301, 302, 303, 304]
 
 
-def test_decoder_and_models(spark):
-    win = toxicity.window_counts([b" the idiot said the idiot is an idiot " * 50])
-    d = toxicity.Decoder(np.flatnonzero(win), win[np.flatnonzero(win)])
+def test_decoder_against_enumeration():
+    text = b" the idiot said the idiot is an idiot and a clown " * 50
+    win = toxicity.window_counts([text])
+    at = np.flatnonzero(win)
+    d = toxicity.Decoder(np.r_[at, toxicity.SIZE**4 + np.arange(256)], np.r_[win[at], np.bincount(np.frombuffer(text, np.uint8), minlength=256)])
+    for token in ("1d10t", "i d", "a.n", "cl0wn", "1 s"):
+        best = None
+        for reads in itertools.product(*[d._options(c) for c in token]):
+            chars, cost, state = "".join(r[0] for r in reads), sum(r[1] for r in reads), 0
+            for c in chars + " ":
+                code = ord(c) - 96 if "a" <= c <= "z" else 0
+                cost, state = cost + d.logp[state * toxicity.SIZE + code], (state * toxicity.SIZE + code) % toxicity.SIZE**3
+            best = max(best or (cost, chars), (cost, chars))
+        assert d.restore(token)[0] == best[1].strip()
     assert "idiot" in toxicity.tokens("you 1d10t", d) and "idiot" in toxicity.tokens("an i d i o t here", d) and "idiot" in toxicity.tokens("idiooot", d)
+    assert "an idiot" in d.restore("an i d i o t i d i o t")[0] and len(d.restore("1" * 100_000)[0]) <= 200_000
+
+
+def test_models(spark):
     rows = [(i, "you are an idiot now" if i % 3 == 0 else f"good text {i} here", "s") for i in range(60)] + [(100, None, "s")]
     labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i % 3 == 0)) for i in range(60)] + [(None, 1, 1), (7, None, None)], "doc_id bigint, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.toxicity_digest(docs(spark, rows), labels).collect()}
@@ -192,3 +245,63 @@ def test_decoder_and_models(spark):
     good = quality_crf.quality_digest(docs(spark, rows), labels).collect()
     assert len(good) == 61 and all(0 <= r.score <= 1 for r in good)
     assert toxicity.toxicity_digest(docs(spark, rows), labels.where("false")).count() == 61
+
+
+def test_marginals_against_enumeration():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 6):
+        u, trans = rng.standard_normal(n) * 3, rng.standard_normal((2, 2))
+        total, good = 0.0, np.zeros(n)
+        for y in itertools.product((0, 1), repeat=n):
+            p = np.exp(sum(a * b for a, b in zip(u, y)) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+            total, good = total + p, good + p * np.array(y)
+        assert np.allclose(good / total, quality_crf.good_marginals(u, trans))
+        node, _ = quality_crf._batched(np.stack([np.zeros(n), u], 1)[None], np.ones((1, n), bool), trans)
+        assert np.allclose(node[0, :, 1], good / total)
+    text = b"a b c\n\nd|e.\nX" * 300
+    assert np.allclose(quality_crf.line_features(text), np.vstack(list(quality_crf.feature_blocks(text, 7))))
+
+
+def test_template_boxes_inside_articles(spark):
+    page = "<article><h1>T{0}</h1><p>Body {0} with words that only this page has {0}</p><p>Shared sentence.</p><div class='x7'>Subscribe now!</div><p>end {0}</p></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(6)] + [(100 + i, "http://c.example/", "<article><div class='b'><p>One article</p></div></article>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    with_template, without = ({r.page_id: r.text for r in html_extract.extract(pages, support=s).collect()} for s in (0.5, 2.0))
+    assert with_template[0] == "T0\nBody 0 with words that only this page has 0\nShared sentence.\nend 0" and "Subscribe" in without[0]
+    assert with_template[100] == "One article"  # a host of copies keeps its text
+    assert html_extract.extract(pages.where("false")).count() == 0
+
+
+def test_large_benchmarks_are_dealt(spark):
+    rng = np.random.default_rng(8)
+    items = [" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(12)) for _ in range(12)]
+    table = spark.createDataFrame([*enumerate(items), (0, items[0])], "item_id bigint, text string")
+    rows = [(i, f"x {items[i % 12]} y", "s") for i in range(30)] + ODD
+    one, many = (sorted(map(tuple, decontam.contaminated(docs(spark, rows), table, group_chars=n).collect())) for n in (1 << 20, 200))
+    assert one == many and [(d, i) for d, i, *_ in one] == [(i, i % 12) for i in range(30)]
+    assert all(b - a == len(items[i]) for _, i, a, b, _ in one)
+    assert decontam.decontaminate(docs(spark, rows), table).count() == len(ODD)
+
+
+def test_neighbours_recall_in_a_dense_group(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal(16) + 0.001 * rng.standard_normal((400, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(1000, [1.0, 2.0])], "vec_id bigint, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id % 50 = 0")).collect()
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = 0
+    for q in range(0, 400, 50):
+        sims = u @ u[q]
+        sims[q] = -2
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-sims)[:5].tolist()))
+    assert hits >= 0.9 * 40
+    assert ann.nearest(df.where("false"), df.where("false")).count() == 0
+
+
+def test_token_files_are_read_by_ranges(spark, tmp_path):
+    ids = np.random.default_rng(10).integers(0, 40, 5001).astype("<u2")
+    (tmp_path / "f.bin").write_bytes(ids.tobytes())
+    got = token_counts.count_tokens(token_counts.read_token_files(spark, f"file://{tmp_path}", block=100, blocks_a_task=8), separator=7, span=5).collect()
+    at = np.flatnonzero(ids == 7)
+    want = [*(np.diff(at, prepend=-1) - 1).tolist(), len(ids) - at[-1] - 1]
+    assert [r.n_tokens for r in sorted(got, key=lambda r: r.ordinal)] == (want if want[-1] else want[:-1])
