@@ -57,31 +57,30 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Returns node, root (the least node of its component) for every node with an edge to
     another. Alternating large-star and small-star steps; each round only needs the least
-    neighbour of every node, which is pre-aggregated and written as a table of its own: a hub's
-    edges then meet it in a plain join, whose large side Spark splits. It ends when a round
-    leaves the edges as they were. Self loops and repeated edges are harmless; no edges
+    neighbour of every node, which is aggregated before the shuffle; a hub's own edges still meet
+    it in one task. It ends when a round leaves the edges as they were. Self loops and repeated edges are harmless; no edges
     give no rows.
     """
     edges = cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    before = None
+    state_of = lambda t: t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = state_of(edges)
     for _ in range(max_rounds):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.where("u <> v").distinct(), "large")
+        large = large.where("u <> v").distinct()
         # every u > v now: the small star links v and u itself to u's least neighbour
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
         new = cut(small, "edges")
-        state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        for done in (edges, least, large, low):
-            drop_cut(done)
+        state = state_of(new)
+        drop_cut(edges)
         edges = new
         if state == before:
             break
