@@ -89,6 +89,24 @@ def test_pipeline_drops_near_copies_only(spark, pair_limit):
     assert got == sorted([(5, " ".join(one)), (40, far), (7, " ".join(two)), (7, " ".join(three)), (0, "a lone text without any id")])
 
 
+@pytest.mark.parametrize(("pair_limit", "stars"), [(2, 1), (2, 3), (10_000, 3)])
+def test_near_copies_of_crowded_keys_against_brute_force(spark, pair_limit, stars):
+    rng = np.random.default_rng(8)
+    rows = []
+    for chain in range(4):  # texts that drift: neighbours are copies, ends are not
+        words = [f"c{chain}w{i}" for i in rng.permutation(200)]
+        for step in range(20):
+            words[step * 9], words[step * 9 + 5] = f"new{chain}.{step}", f"more{chain}.{step}"
+            rows.append((len(rows), " ".join(words), "s"))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(196)} for _, t, _ in rows]
+    root = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    got = near_copies.first_of_each(docs(spark, rows), pair_limit=pair_limit, stars=stars)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))
+
+
 def test_decontamination_finds_edits(spark):
     item = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion at midnight"
     spoilt = item.replace("quick", "quikc").replace("seven", "sevn")
