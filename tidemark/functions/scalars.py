@@ -24,6 +24,15 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: The characters that count as white space at a text's ends.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def in_range(ns: Column) -> Column:
     return let(ns, lambda v: F.when((v >= 0) & (v <= _big(LAST_SECOND * NS)), v))
 
@@ -73,7 +82,7 @@ def _iso_to_ns(text: Column) -> Column:
 
 def parse_timestamp_ns(value: Column) -> Column:
     """Text of either kind to nanoseconds; null if neither."""
-    return let(F.trim(value), lambda t: F.when(t.rlike(r"^-?[0-9]+$"), epoch_to_ns(t)).otherwise(iso_to_ns(t)))
+    return let(strip(value), lambda t: F.when(t.rlike(r"^-?[0-9]+$"), epoch_to_ns(t)).otherwise(iso_to_ns(t)))
 
 
 def format_timestamp_ns(ns: Column) -> Column:
@@ -90,7 +99,7 @@ def lexeme(value: Column) -> Column:
     no finite number, longer than 64 characters, or scaled by more than 50 powers of ten."""
     said = lambda c: F.regexp_extract(c, r"[eE]([+-]?[0-9]+)$", 1)
     power = lambda c: F.when(said(c) == "", 0).otherwise(F.coalesce(F.abs(said(c).try_cast("int")), F.lit(999)))
-    cleaned = F.when(F.length(F.trim(value)) <= 64, F.trim(F.translate(F.trim(value), ",$€£", "")))
+    cleaned = F.when(F.length(strip(value)) <= 64, strip(F.translate(strip(value), ",$€£", "")))
     return let(cleaned, lambda c: F.when(c.rlike(NUMBER) & (power(c) <= 50), c))
 
 
@@ -124,7 +133,7 @@ def to_decimal(canonical: Column, spec: DecimalSpec = SPEC) -> Column:
 
 
 def side(value: Column) -> Column:
-    return let(F.upper(F.trim(F.coalesce(value, F.lit("")))), lambda s: F.when(s.isin(*BUY), "BUY").when(s.isin(*SELL), "SELL").otherwise("UNKNOWN"))
+    return let(F.upper(strip(F.coalesce(value, F.lit("")))), lambda s: F.when(s.isin(*BUY), "BUY").when(s.isin(*SELL), "SELL").otherwise("UNKNOWN"))
 
 
 def _identity(*parts: Column) -> Column:

@@ -44,7 +44,7 @@ def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def event_kind(fields: Column, lowered: Column, aliases: dict[str, dict[str, list[str]]] = ALIASES) -> Column:
     said = F.coalesce(*[F.when(fields[k] != "", fields[k]) for k in ("event_type", "type", "record_type")])
-    said = F.upper(F.trim(F.coalesce(said, F.lit(""))))
+    said = F.upper(S.strip(F.coalesce(said, F.lit(""))))
     quotes = aliases["quote"]
     quoted = F.lit(False)
     for names in (quotes["bid_price"], quotes["ask_price"], ["bid"], ["ask"]):
@@ -63,7 +63,7 @@ def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES
     error_message, severity of the first check that failed."""
     spare = F.coalesce("fields", F.expr("map()").cast("map<string,string>"))
     df = raw.withColumn("__f", spare)
-    df = staged(df, {"__l": F.transform_keys("__f", lambda k, v: F.lower(F.trim(k)))})
+    df = staged(df, {"__l": F.transform_keys("__f", lambda k, v: F.lower(S.strip(k)))})
     f, low = F.col("__f"), F.col("__l")
     df = staged(df, {"event_type": event_kind(f, low, aliases)})
     trade = F.col("event_type") == "TRADE"
@@ -77,9 +77,9 @@ def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES
     amounts = ["price", "size", *QUOTE_SIDES]
     own = {n: trade if n in ("price", "size") else ~trade for n in amounts}
     texts = {f"{n}_text": F.when(own[n], S.format_decimal(S.lexeme(F.col(f"__{n}")))) for n in amounts}
-    df = staged(df, {"symbol": F.upper(F.trim("__symbol")), "timestamp_ns": S.parse_timestamp_ns(F.col("__timestamp")), **texts})
+    df = staged(df, {"symbol": F.upper(S.strip(F.col("__symbol"))), "timestamp_ns": S.parse_timestamp_ns(F.col("__timestamp")), **texts})
     df = staged(df, {n: S.to_decimal(F.col(f"{n}_text"), spec) for n in amounts})
-    missing = lambda c: c.isNull() | (F.trim(c) == "")
+    missing = lambda c: c.isNull() | (S.strip(c) == "")
     checks: list[tuple[Column, str, str]] = [
         (missing(F.col("__symbol")), "ERR_MISSING_SYMBOL", "symbol"),
         (missing(F.col("__timestamp")), "ERR_MISSING_TIMESTAMP", "timestamp"),
@@ -96,7 +96,7 @@ def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES
     df = df.withColumn("error_message", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", F.col("parse_error")).when(F.col("error_code").isNotNull(), F.concat(F.lit("field "), F.col("error_field"), F.lit(" is missing or invalid"))))
     df = df.withColumn("severity", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", "FATAL_SYNTAX").when(F.col("error_code").isNotNull(), "HARD_INVALID"))
     df = df.withColumn("side", F.when(trade, S.side(F.col("__side"))))
-    df = df.withColumn("source", F.coalesce(F.when(F.trim("__source") != "", F.trim("__source")), F.when(F.col("source_file") != "", F.col("source_file")), F.lit("DEFAULT")))
+    df = df.withColumn("source", F.coalesce(F.when(S.strip(F.col("__source")) != "", S.strip(F.col("__source"))), F.when(F.col("source_file") != "", F.col("source_file")), F.lit("DEFAULT")))
     seq = F.when(F.map_contains_key(f, "sequence_id"), f["sequence_id"]).otherwise(f["seq"])
     df = df.withColumn("sequence_id", F.when(seq.rlike("^[0-9]+$"), seq.try_cast("bigint")))
     c = F.col

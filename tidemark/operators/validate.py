@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import strip
 from ..prefix import Running, prefix_scans
 
 JUMP = 0.20
@@ -15,7 +16,7 @@ def _finding(when: Column, code: str, field: str, severity: str) -> Column:
 
 
 def _no_symbol() -> Column:
-    return F.coalesce(F.trim("symbol"), F.lit("")) == ""
+    return F.coalesce(strip(F.col("symbol")), F.lit("")) == ""
 
 
 def _no_time() -> Column:
