@@ -125,7 +125,7 @@ def segmentations(word, known):
             yield from (head + rest for rest in segmentations(word[k:], known))
 
 
-def test_forward_and_expected_counts_by_enumeration():
+def test_forward_and_expected_counts_by_enumeration(monkeypatch):
     rng = np.random.default_rng(2)
     names = ["▁", "a", "b", "▁a", "ab", "ba", "aba", "bab", "▁ab", "aa"]
     known = {n: i for i, n in enumerate(names, 256)}
@@ -146,9 +146,12 @@ def test_forward_and_expected_counts_by_enumeration():
                 for x in way:
                     for y in x if isinstance(x, tuple) else (x,):
                         counts[y, 0] += share * (i + 1)
-        into = np.zeros(trie.none + 1)
-        langid.expected(langid.lattice(some, trie), logp[:, [1]], np.arange(1.0, len(some) + 1), into)
-        assert np.allclose(into, counts[:, 0])
+        for short in (16, 1):  # in plain numbers and in logarithms
+            into = np.zeros(trie.none + 1)
+            monkeypatch.setattr(langid, "RESCALE", short)
+            langid.expected(langid.lattice(some, trie), logp[:, [1]], np.arange(1.0, len(some) + 1), into)
+            assert np.allclose(into, counts[:, 0])
+            assert np.allclose(langid.forward(langid.lattice(some, trie), logp), got)
 
 
 def test_text_score_is_the_product_of_its_words():

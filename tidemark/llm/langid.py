@@ -44,6 +44,7 @@ UNDETERMINED = "und"
 #: Least log probability of a code point that is no piece.
 FLOOR = -30.0
 NONE = -1e30
+RESCALE = 16
 GROUP_BYTES = 4 << 20
 CACHED_NUMBERS = 1 << 22
 
@@ -79,6 +80,7 @@ class Lattice:
 
     ids: np.ndarray  # words, places, lengths up to the longest: row of the table of probabilities
     spare: list[tuple[int, int, bytes]]  # word, place, bytes of a code point that is no piece
+    none: int  # the row of no piece
 
 
 def lattice(words: list[str], trie: Trie) -> Lattice:
@@ -98,7 +100,7 @@ def lattice(words: list[str], trie: Trie) -> Lattice:
         on = start + k + 1 < n
         word, start, node = word[on], start[on], node[on]
     spare = [(i, j, words[i][j].encode("utf-8", "surrogatepass")) for i, j in np.argwhere(ids[:, :, 0] == trie.none).tolist()]
-    return Lattice(ids, spare)
+    return Lattice(ids, spare, trie.none)
 
 
 def spare_edges(found: Lattice, logp: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -116,31 +118,93 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
 
 
-def forward(found: Lattice, logp: np.ndarray, keep: bool = False) -> np.ndarray:
-    """Log probability of each word in each language, summed over its segmentations; with keep
-    that of each beginning of the word too (words, places + 1, languages). logp has a row a piece
-    and a last one for none."""
+def _edges(found: Lattice) -> tuple[np.ndarray, ...]:
+    """word, end, length less one and piece of all pieces in the lattice, by end and word."""
+    m, n, longest = found.ids.shape
+    none = found.none
+    ids = found.ids
+    if found.spare:  # an edge for each, whose probability is put in place by the caller
+        ids = ids.copy()
+        at = np.array([(i, j) for i, j, _ in found.spare])
+        ids[at[:, 0], at[:, 1], 0] = -1
+    end, word, back = np.nonzero(ids.transpose(1, 0, 2) != none)
+    return word, end, back, ids[word, end, back]
+
+
+def forward(found: Lattice, logp: np.ndarray) -> np.ndarray:
+    """Log probability of each word in each language, summed over its segmentations. logp has a row
+    a piece and a last one for none.
+
+    Sums run over the pieces that are there, in plain numbers; every RESCALE places those still
+    needed are divided by the last, so that words of any length stay in range."""
+    m, n, longest = found.ids.shape
+    word, end, back, piece = _edges(found)
+    p = np.exp(logp[piece])
+    if found.spare:
+        p[piece == -1] = np.exp([np.maximum(logp[list(raw)].sum(0), FLOOR) for _, _, raw in sorted(found.spare, key=lambda x: (x[1], x[0]))])
+    first = np.flatnonzero(np.diff(end * m + word, prepend=-1))  # every word has a piece at every end
+    parts = np.searchsorted(end[first], np.arange(n + 1))
+    sums, scale = np.zeros((n + 1, m, logp.shape[1])), np.zeros((m, logp.shape[1]))
+    sums[0] = 1.0
+    bounds = np.append(first, len(end))[parts].tolist()
+    for j in range(n):
+        a, b = bounds[j], bounds[j + 1]
+        sums[j + 1] = np.add.reduceat(sums[j - back[a:b], word[a:b]] * p[a:b], first[parts[j] : parts[j + 1]] - a, axis=0)
+        if (j + 1) % RESCALE == 0:
+            last = sums[j + 1].copy()
+            sums[max(0, j + 2 - longest) : j + 2] /= last
+            scale += np.log(last)
+    return scale + np.log(sums[n])
+
+
+def beginnings(found: Lattice, logp: np.ndarray) -> np.ndarray:
+    """Log probability of each beginning of each word in one language: words, places + 1."""
     m, n, longest = found.ids.shape
     spare = spare_edges(found, logp)
-    window = np.full((m, longest, logp.shape[1]), NONE)  # of the last places, nearest first
-    window[:, 0] = 0.0
-    all_ = [window[:, 0].copy()] if keep else []
+    out = np.full((m, n + 1), NONE)
+    out[:, 0] = 0.0
     for j in range(n):
-        edges = logp[found.ids[:, j]]
+        k = np.arange(min(longest, j + 1))
+        edges = logp[found.ids[:, j, k], 0]
         if j in spare:
-            edges[spare[j][0], 0] = spare[j][1]
-        now = _log_sum(window + edges, 1)
-        window[:, 1:] = window[:, :-1].copy()
-        window[:, 0] = now
-        if keep:
-            all_.append(now)
-    return np.stack(all_, 1) if keep else window[:, 0].copy()
+            edges[spare[j][0], 0] = spare[j][1][:, 0]
+        out[:, j + 1] = _log_sum(out[:, j - k] + edges, 1)
+    return out
+
+
+def _expected_short(found: Lattice, logp: np.ndarray, weights: np.ndarray, into: np.ndarray) -> None:
+    """expected() for words so short that plain numbers do."""
+    m, n, _ = found.ids.shape
+    word, end, back, piece = _edges(found)
+    p, spare = np.exp(logp[piece, 0]), sorted(found.spare, key=lambda x: (x[1], x[0]))
+    if spare:
+        p[piece == -1] = np.exp([max(logp[list(raw), 0].sum(), FLOOR) for _, _, raw in spare])
+    start = end - back
+    before, after = np.ones((n + 1, m)), np.ones((n + 1, m))
+    # every word has a piece that ends, and one that starts, at every place
+    first, by_start = np.flatnonzero(np.diff(end * m + word, prepend=-1)), np.argsort(start * m + word, kind="stable")
+    last = np.flatnonzero(np.diff((start * m + word)[by_start], prepend=-1))
+    ends, starts = np.append(first, len(end)), np.append(last, len(end))
+    for j in range(n):
+        at = slice(ends[j * m], ends[(j + 1) * m])
+        before[j + 1] = np.add.reduceat(before[start[at], word[at]] * p[at], first[j * m : (j + 1) * m] - ends[j * m])
+    for j in range(n - 1, -1, -1):
+        at = by_start[starts[j * m] : starts[(j + 1) * m]]
+        after[j] = np.add.reduceat(after[end[at] + 1, word[at]] * p[at], last[j * m : (j + 1) * m] - starts[j * m])
+    share = before[start, word] * p * after[end + 1, word] / before[n, word] * weights[word]
+    known = piece >= 0
+    into += np.bincount(piece[known], share[known], len(into))
+    for (_, _, raw), x in zip(spare, share[~known]):
+        np.add.at(into, list(raw), x)
 
 
 def expected(found: Lattice, logp: np.ndarray, weights: np.ndarray, into: np.ndarray) -> None:
     """Adds the expected counts of the pieces of words in one language (logp has one column)."""
+    if found.ids.shape[1] <= RESCALE:
+        _expected_short(found, logp, weights, into)
+        return
     m, n, longest = found.ids.shape
-    before = forward(found, logp, keep=True)[:, :, 0]
+    before = beginnings(found, logp)
     spare = spare_edges(found, logp)
     after = np.full((m, n + 1), NONE)
     after[:, n] = 0.0
@@ -203,7 +267,10 @@ class Model:
         out = np.zeros((len(words), len(self.languages)))
         marked = [MARK + w for w in words]
         for some in _by_length(marked, self.trie.longest, len(self.languages)):
-            out[some] = forward(lattice([marked[i] for i in some], self.trie), self.logp)
+            found = lattice([marked[i] for i in some], self.trie)
+            step = max(1, (1 << 23) // (len(some) * (found.ids.shape[1] + 1)))  # languages at a time
+            for g in range(0, len(self.languages), step):
+                out[some, g : g + step] = forward(found, self.logp[:, g : g + step])
         return out
 
 
@@ -252,26 +319,37 @@ def fit(docs: DataFrame, rounds: int = 3, vocabulary: str = VOCABULARY, most_lan
     return Model(trie, languages, _table(counts), prior)
 
 
-#: Scores of words by model, kept by a worker from task to task.
-_scores: dict[str, dict[str, np.ndarray]] = {}
+class Scores:
+    """A model's word scores, kept by a worker from task to task, up to a number of words."""
+
+    def __init__(self, model: Model):
+        self.name, self.most = model.name, max(1, CACHED_NUMBERS // max(1, len(model.languages)))
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((0, len(model.languages)))
+
+    def add(self, words: set[str], model: Model) -> None:
+        fresh = [w for w in words if w not in self.at]
+        if fresh and len(self.at) + len(fresh) > self.most:
+            self.at, self.rows, fresh = {}, self.rows[:0], list(words)
+        if fresh:
+            self.at.update(zip(fresh, range(len(self.rows), len(self.rows) + len(fresh))))
+            self.rows = np.concatenate([self.rows, model.word_scores(fresh)])
+
+
+_scores: Scores | None = None
 
 
 def text_scores(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Log probability of each text in each language, and whether it has a letter."""
-    if model.name not in _scores:
-        _scores.clear()
-        _scores[model.name] = {}
-    cache = _scores[model.name]
+    global _scores
+    if _scores is None or _scores.name != model.name:
+        _scores = Scores(model)
     counts = [Counter(WORDS.findall(t.lower())) if t else Counter() for t in texts]
-    fresh = list({w for c in counts for w in c if w not in cache})
-    if (len(cache) + len(fresh)) * len(model.languages) > CACHED_NUMBERS:
-        cache.clear()
-        fresh = list({w for c in counts for w in c})
-    cache.update(zip(fresh, model.word_scores(fresh)))
+    _scores.add(set().union(*counts), model)
     out = np.zeros((len(texts), len(model.languages)))
     for i, c in enumerate(counts):
         if c:
-            out[i] = np.fromiter(c.values(), float, len(c)) @ np.array([cache[w] for w in c])
+            out[i] = np.fromiter(c.values(), float, len(c)) @ _scores.rows[list(map(_scores.at.__getitem__, c))]
     return out, np.fromiter(map(bool, counts), bool, len(texts))
 
 
