@@ -14,8 +14,10 @@ from ..operators import manifest, metrics, quarantine, reorder, validate
 from ..operators.normalize import ALIASES, event_kind, normalize
 from ..sources.store import Store, write_replay
 from ..sources.text import read_csv, read_json_array, read_json_lines
+from ..streaming import ingest as streaming
+from ..streaming import stateful
 from ..streaming.ingest import FileStream
-from ..tables import new_path, spread, staged_table
+from ..tables import exists, new_path, spread, staged_table
 from .ingest import Rules, ingest
 from .report import display, market_report
 
@@ -373,14 +375,75 @@ def replay_limited(spark, d):
 
 
 def json_array_read(spark, d):
-    """Each hour of the feed as one JSON array, read again."""
+    """Each day of the feed as one JSON array, read again in pieces."""
     path = new_path(spark, "arrays")
-    rows = feed(spark, d).groupBy(hour().alias("h")).agg(F.collect_list("fields").alias("a"))
-    rows.select(F.to_json("a").alias("value"), "h").repartition("h").write.partitionBy("h").text(path)
+    day, at = F.expr("arrival div 86400000000").alias("day"), F.struct("arrival", "line_number")
+    rows = feed(spark, d).select(day, at.alias("at"), F.to_json("fields").alias("value"))
+    firsts = rows.groupBy("day").agg(F.min("at").alias("first"))
+    rows = rows.join(firsts, "day").select("day", F.lit(1).alias("part"), "at", F.when(F.col("at") == F.col("first"), F.col("value")).otherwise(F.concat(F.lit(","), F.col("value"))).alias("value"))
+    ends = firsts.select("day", F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.col("first").alias("at"), F.lit(x).alias("value")) for i, x in ((0, "["), (2, "]"))])))
+    rows.unionByName(ends).repartition("day").sortWithinPartitions("day", "part", "at").select("day", "value").write.partitionBy("day").text(path)
     n = normalize(read_json_array(spark, path))
     return n.groupBy("event_type", F.coalesce("error_code", F.lit("")).alias("error_code")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
 
 
+def _two_parts(spark, rows, source):
+    """Writes the feed in two parts of equal size, arriving one after the other."""
+    half = rows.agg(F.percentile_approx("arrival", 0.5)).first()[0]
+    for part in (rows.where(F.col("arrival") < half), rows.where(F.col("arrival") >= half)):
+        _as_files(part, source)
+        yield
+
+
+def stream_timers(spark, d):
+    """The feed in two parts through keyed state; what is held at the end is released by timers."""
+    rows, source, out = feed(spark, d), new_path(spark, "arriving"), new_path(spark, "released")
+    for _ in _two_parts(spark, rows, source):
+        # the first run stops while rows are held: the second goes on from its state
+        released = stateful.reorder_stream(stateful.stream_json_lines(spark, source).withColumn("feed", F.lit("events")), LATENESS, salts=8, quiet_ms=3000)
+        if not exists(spark, f"{out}/checkpoint"):
+            stateful.run_batches(released, f"{out}/events", f"{out}/checkpoint", 1)
+    stateful.run_until_quiet(released, f"{out}/events", f"{out}/checkpoint", 3000)
+    got = spark.read.schema(stateful.RELEASED).parquet(f"{out}/events").where("route = 'stored'")
+    order = ["round", "flushed", *reorder.emission_key(F.col("arrival"))]
+    w = W.partitionBy("symbol").orderBy(*order)
+    return got.select("symbol", F.row_number().over(w).alias("position"), "event_id")
+
+
+def stream_lateness(spark, d):
+    """Late rows of the feed as a stream finds them, with the watermark they missed."""
+    rows, source, out = feed(spark, d), new_path(spark, "arriving"), new_path(spark, "released")
+    for _ in _two_parts(spark, rows, source):
+        released = stateful.reorder_stream(stateful.stream_json_lines(spark, source).withColumn("feed", F.lit("events")), LATENESS, salts=8)
+        stateful.run_batches(released, f"{out}/events", f"{out}/checkpoint", 1)
+    return spark.read.schema(stateful.RELEASED).parquet(f"{out}/events").where("route = 'late'").select("event_id", "timestamp_ns", "watermark_ns")
+
+
+def stream_price_jumps(spark, d):
+    """Price jumps of the spoilt feed, streamed in two parts."""
+    rows, source, out = feed(spark, d, dirty=True), new_path(spark, "arriving"), new_path(spark, "jumps")
+    for _ in _two_parts(spark, rows, source):
+        jumps = stateful.price_jumps(stateful.stream_json_lines(spark, source), salts=8)
+        stateful.to_table(jumps, f"{out}/events", f"{out}/checkpoint").awaitTermination()
+    got = spark.read.schema(stateful.JUMPS).parquet(f"{out}/events")
+    return _double(got.select("symbol", "last_price", "price", "event_id"), "last_price", "price")
+
+
+def stream_repeats(spark, d):
+    """Events that come again within five seconds and, after the bound has passed, a year later:
+    the former go, the latter are new to a state that has forgotten them."""
+    source, out, year = new_path(spark, "arriving"), new_path(spark, "distinct"), 365 * 86_400_000_000_000
+    e = canonical(spark, d).select("event_id", "symbol", "timestamp_ns")
+    later = lambda ns: e.withColumn("timestamp_ns", F.col("timestamp_ns") + ns)
+    mark = later(year // 2).limit(1).withColumn("event_id", F.lit("mark"))  # moves the bound past all
+    for part in (e.unionByName(later(2_000_000_000)), mark, later(year).unionByName(later(year + 2_000_000_000)).unionByName(e)):
+        part.write.mode("append").parquet(source)
+        stream = streaming.drop_repeats(spark.readStream.schema(e.schema).parquet(source), "5 seconds")
+        stateful.to_table(stream.drop("event_ts"), f"{out}/events", f"{out}/checkpoint").awaitTermination()
+    got = spark.read.schema(e.schema).parquet(f"{out}/events").where("event_id <> 'mark'")
+    return got.groupBy("event_id").agg(F.count("*").alias("n"), (F.max("timestamp_ns") - F.min("timestamp_ns")).alias("apart"))
+
+
 def report_display(spark, d):
     return display(metrics.summary(_series(spark, d, once=True)))
 
@@ -443,7 +506,7 @@ def lineitem_downsample(spark, d):
     return metrics.down_sample(rows, ["symbol"], reorder.REPLAY_ORDER, 50, bucket=F.expr(f"timestamp_ns div {24 * metrics.HOUR_NS}")).select("symbol", "event_id", "point")
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, lineitem_series, lineitem_summary, lineitem_downsample)}
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -573,3 +636,8 @@ SQL |= {
 }
 SQL["stored_report"] = SQL["symbol_summary"]
 SQL["stream_reorder"] = SQL["reorder_sequence"]
+SQL["stream_timers"] = SQL["reorder_sequence"]
+SQL["stream_lateness"] = f"WITH {_BASE}, wm AS (SELECT event_id, timestamp_ns, {_WM} AS watermark_ns FROM ev) SELECT * FROM wm WHERE watermark_ns>0 AND timestamp_ns<watermark_ns"
+SQL["stream_price_jumps"] = f"""WITH {_DIRTY} SELECT symbol, CAST(last_p AS DOUBLE) AS last_price, CAST(p AS DOUBLE) AS price,
+  sha256('TRADE|'||symbol||'|'||timestamp_ns||'|'||p||'|'||(k+1)||'|'||side||'|'||source||'|'||coalesce(CAST(sequence_id AS VARCHAR),'NONE')) AS event_id FROM st WHERE codes LIKE '%WARN_LARGE_PRICE_JUMP%'"""
+SQL["stream_repeats"] = f"WITH {_BASE} SELECT event_id, CAST(2 AS BIGINT) AS n, 365*86400000000000 AS apart FROM ev GROUP BY event_id"
