@@ -17,6 +17,17 @@ def one(spark, column, value):
         ("1789552800123456789", 1789552800123456789),
         ("1789552800123", 1789552800123000000),
         ("1789552800", 1789552800000000000),
+        ("20260916T100000", 1789552800000000000),
+        ("20260916T1000", 1789552800000000000),
+        ("20260916T113000.123456789+0130", 1789552800123456000),
+        ("2026-09-16T10", 1789552800000000000),
+        ("2026-09-16T10:00:00,5Z", 1789552800500000000),
+        ("2026-W38-3T10:00:00Z", 1789552800000000000),
+        ("2026W383T100000", 1789552800000000000),
+        ("2026-W38", 1789344000000000000),
+        ("2026-W54-1", None),
+        ("20261316T100000", None),
+        ("\t2026-09-16T10:00:00Z\u00a0", 1789552800000000000),
         ("", None),
         ("INVALID_DATE_STRING", None),
         ("-100", None),

@@ -80,9 +80,31 @@ def _iso_to_ns(text: Column) -> Column:
     return in_range(F.when(text.rlike(ISO) & (number(6) < 60), ns))
 
 
+BASIC = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?$"
+WEEK = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?(?:[T ](.*))?$"
+
+
+def _extended(text: Column) -> Column:
+    """Times in ISO's basic format, with hours alone, a decimal comma or a week's day, written as
+    ISO extended; any other text as it is."""
+    part = lambda p, i: F.regexp_extract(text, p, i)
+    two = lambda i: F.when(part(BASIC, i) == "", F.lit("00")).otherwise(part(BASIC, i))
+    basic = F.concat(part(BASIC, 1), F.lit("-"), part(BASIC, 2), F.lit("-"), part(BASIC, 3), F.lit("T"), two(4), F.lit(":"), two(5), F.lit(":"), two(6), F.when(part(BASIC, 7) == "", F.lit("")).otherwise(F.concat(F.lit("."), part(BASIC, 7))), part(BASIC, 8))
+    year, week = part(WEEK, 1).try_cast("int"), part(WEEK, 2).try_cast("int")
+    first = lambda y: F.trunc(F.make_date(y, F.lit(1), F.lit(4)), "week")
+    day = F.date_add(first(year), (week - 1) * 7 + F.coalesce(part(WEEK, 3).try_cast("int"), F.lit(1)) - 1)
+    real = (week >= 1) & (day < first(year + 1))
+    rest = F.when(part(WEEK, 4) == "", F.lit("")).otherwise(F.concat(F.lit("T"), part(WEEK, 4)))
+    weekly = F.when(real, F.concat(day.cast("string"), rest))
+    return F.when(text.rlike(WEEK), weekly).when(text.rlike(BASIC), basic).otherwise(text)
+
+
 def parse_timestamp_ns(value: Column) -> Column:
-    """Text of either kind to nanoseconds; null if neither."""
-    return let(strip(value), lambda t: F.when(t.rlike(r"^-?[0-9]+$"), epoch_to_ns(t)).otherwise(iso_to_ns(t)))
+    """Text of either kind to nanoseconds; null if neither. What is no plain ISO time is tried in
+    ISO's other formats, whose fractions are cut to microseconds."""
+    other = lambda t: let(_extended(t), lambda x: let(F.when(x.rlike(ISO), x).otherwise(_extended(x)), iso_to_ns))
+    kinds = lambda t: F.when(t.rlike(r"^-?[0-9]+$"), epoch_to_ns(t)).when(t.rlike(ISO), iso_to_ns(t)).otherwise(other(t))
+    return let(strip(value), kinds)
 
 
 def format_timestamp_ns(ns: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import scalars as S
 from ..prefix import Running, prefix_scans
+from ..tables import staged_table
 from .reorder import REPLAY_ORDER
 
 HOUR_NS = 3_600_000_000_000
@@ -47,15 +48,44 @@ def series(events: DataFrame, bucket_ns: int | None = HOUR_NS) -> DataFrame:
     )
 
 
+def order_statistics(counts: DataFrame, keys: list[str], value: str, points: dict[str, float], rounds: int = 2, parts: int = 1024) -> DataFrame:
+    """keys, total and, for each name, sorted[min(total - 1, floor(total * point))] of the integer
+    values of a key that counts (keys, value, n) gives.
+
+    Values are counted by buckets of equal width between the least and the greatest one, the
+    bucket that holds a rank is found among at most `parts` of them and cut again; a window only
+    ever sees one key's buckets, or the values of a last bucket, however many values a key has."""
+    total = counts.groupBy(*keys).agg(F.sum("n").alias("total"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(name).alias("point"), F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(float(p)))).alias("rank")) for name, p in points.items()])).alias("r")
+    total = staged_table(total, "totals")
+    wanted = total.select(*keys, "__lo", "__hi", ranks).select(*keys, "__lo", "__hi", "r.*")
+    same = [*keys, "__lo", "__hi"]
+    for _ in range(rounds):
+        # decimals: a range of values times the parts is no bigint
+        bucket = F.expr(f"CAST((CAST({value} - __lo AS DECIMAL(20,0)) * {parts}) DIV (CAST(__hi - __lo AS DECIMAL(20,0)) + 1) AS INT)")
+        ranges = wanted.select(*same).distinct()
+        inside = counts.join(ranges, keys).where(F.col(value).between(F.col("__lo"), F.col("__hi")))
+        by = inside.groupBy(*same, bucket.alias("__b")).agg(F.sum("n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        upto = F.sum("n").over(W.partitionBy(*same).orderBy("__b"))
+        by = by.withColumn("upto", upto)
+        hit = wanted.join(by, same).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+        wanted = staged_table(hit.select(*keys, F.col("low").alias("__lo"), F.col("high").alias("__hi"), "point", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")), "ranks")
+    ranges = wanted.select(*same).distinct()
+    last = counts.join(ranges, keys).where(F.col(value).between(F.col("__lo"), F.col("__hi")))
+    last = last.withColumn("upto", F.sum("n").over(W.partitionBy(*same).orderBy(value)))
+    found = wanted.join(last, same).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+    named = [F.max(F.when(F.col("point") == name, F.col(value))).alias(name) for name in points]
+    return found.groupBy(*keys).agg(*named).join(total.drop("__lo", "__hi"), keys)
+
+
 def gap_percentiles(events_with_gaps: DataFrame, points: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
     """symbol, n_gaps, gap_min, gap_max and sorted[min(n - 1, floor(n * p))] for each point.
-    Gaps are counted by value first, so a symbol's sort is over its different gaps."""
-    counts = events_with_gaps.where("gap_ns is not null").groupBy("symbol", "gap_ns").agg(F.count("*").alias("n"))
-    over = W.partitionBy("symbol").orderBy("gap_ns").rowsBetween(W.unboundedPreceding, 0)
-    counts = counts.withColumn("upto", F.sum("n").over(over)).withColumn("total", F.sum("n").over(W.partitionBy("symbol")))
-    at = lambda p: F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(float(p))))
-    named = [F.min(F.when(F.col("upto") > at(p), F.col("gap_ns"))).alias(f"gap_p{round(p * 100)}") for p in points]
-    return counts.groupBy("symbol").agg(F.sum("n").alias("n_gaps"), F.min("gap_ns").alias("gap_min"), F.max("gap_ns").alias("gap_max"), *named)
+    Gaps are counted by value first, then the ranks are looked for in ever smaller buckets."""
+    counts = staged_table(events_with_gaps.where("gap_ns is not null").groupBy("symbol", "gap_ns").agg(F.count("*").alias("n")), "gaps")
+    names = {f"gap_p{round(p * 100)}": p for p in points}
+    ends = counts.groupBy("symbol").agg(F.min("gap_ns").alias("gap_min"), F.max("gap_ns").alias("gap_max"))
+    found = order_statistics(counts, ["symbol"], "gap_ns", names)
+    return found.join(ends, "symbol").select("symbol", F.col("total").alias("n_gaps"), "gap_min", "gap_max", *names)
 
 
 def gap_histogram(events_with_gaps: DataFrame, bins: int = 24) -> DataFrame:

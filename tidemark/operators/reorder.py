@@ -65,11 +65,48 @@ def replay(trades: DataFrame, quotes: DataFrame, symbol: str | None = None, star
     return both if limit is None else both.limit(limit)
 
 
-def replay_many(events: DataFrame, requests: DataFrame) -> DataFrame:
-    """request_id with the events of its symbol and window; requests: request_id, symbol, start_ns, end_ns."""
-    r = requests.withColumnRenamed("symbol", "__symbol")
-    joined = events.join(r, (F.col("symbol") == F.col("__symbol")) & F.col("timestamp_ns").between(F.col("start_ns"), F.col("end_ns")))
-    return joined.drop("__symbol")
+#: Cuts of a request's windows by time: their span by so many bins at least.
+SPAN_BINS = 64
+#: Rows of requests and bins up to which they go to every task.
+BROADCAST_ROWS = 100_000
+
+
+def replay_many(events: DataFrame, requests: DataFrame, salts: int = 8) -> DataFrame:
+    """request_id with the events of its symbol and window; requests: request_id, symbol, start_ns,
+    end_ns (both included; a window that ends before it starts is empty).
+
+    Both sides meet by symbol and bin of time. Bins are as wide as the mean window, or a part of
+    the requests' span if that is less, so windows fall into at most SPAN_BINS + 2 bins on average.
+    Few requests go to every task; many are dealt by symbol, bin and a salt of the events, so that
+    no task has all events or all requests of a busy symbol."""
+    r = requests.select("request_id", F.col("symbol").alias("__symbol"), "start_ns", "end_ns").where("start_ns <= end_ns")
+    length = F.col("end_ns").cast("decimal(38,0)") - F.col("start_ns")
+    at = r.agg(F.avg(length), F.min("start_ns"), F.max("end_ns"), F.count("*")).first()
+    if not at[3]:
+        return events.join(r, F.lit(False)).drop("__symbol")
+    width = max(1, min(int(at[0]) + 1, (at[2] - at[1]) // SPAN_BINS + 1))
+    bin_ = lambda ns: F.floor(ns / F.lit(width).cast("decimal(20,0)")).cast("bigint")
+    low, high = F.greatest("start_ns", F.lit(at[1])), F.least("end_ns", F.lit(at[2]))
+    r = r.withColumn("__bin", F.explode(F.sequence(bin_(low), bin_(high))))
+    n = int(at[3] * (float(at[0]) / width + 2))
+    e = events.withColumn("__at", bin_(F.col("timestamp_ns")))
+    same = (F.col("symbol") == F.col("__symbol")) & (F.col("__at") == F.col("__bin"))
+    if n <= BROADCAST_ROWS:
+        r = F.broadcast(r)
+    else:
+        r = r.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        e = e.withColumn("__salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int"))
+        same = same & (F.col("__salt") == F.col("__r"))
+    joined = e.join(r, same & F.col("timestamp_ns").between(F.col("start_ns"), F.col("end_ns")))
+    return joined.drop("__symbol", "__bin", "__at", "__salt", "__r")
+
+
+def positions(events: DataFrame, keys: list[str], order: list[Column], bucket: Column, name: str = "position") -> DataFrame:
+    """events with their place (from 1) in the order of their key. bucket (rising with the order)
+    splits a busy key: places are counted in buckets, and carried over them."""
+    at = {f"__by{i}": c for i, c in enumerate(order)}
+    placed = prefix_scans(events.withColumns(at), keys, list(at), bucket, {name: Running(F.lit(1), "count")})
+    return placed.drop(*at)
 
 
 def monotonicity(stream: DataFrame, keys: list[str], order: list[str], bucket: Column | None = None) -> DataFrame:

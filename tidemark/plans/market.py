@@ -29,6 +29,10 @@ def hour():
     return F.expr("arrival div 3600000000")
 
 
+def _of_hour():
+    return F.floor(F.col("timestamp_ns") / metrics.HOUR_NS)
+
+
 def feed(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
     """RAW rows of `events`, in order of arrival (line_number)."""
     e = spread(spark.read.parquet(f"{d}/events.parquet"))
@@ -141,8 +145,8 @@ def late_split(spark, d):
 
 
 def reorder_sequence(spark, d):
-    w = W.partitionBy("symbol").orderBy(*reorder.emission_key(F.col("arrival")))
-    return _timed(spark, d).where("not late").select("symbol", F.row_number().over(w).alias("position"), "event_id")
+    kept = staged_table(_timed(spark, d).where("not late"), "timed")
+    return reorder.positions(kept, ["symbol"], reorder.emission_key(F.col("arrival")), _of_hour()).select("symbol", F.col("position").cast("int").alias("position"), "event_id")
 
 
 def dedup_events(spark, d):
@@ -155,7 +159,8 @@ def replay_window(spark, d):
     at = e.agg(F.min("timestamp_ns"), F.max("timestamp_ns")).first()
     span = (at[1] - at[0]) // 4
     out = reorder.replay(e.where("event_type = 'TRADE'"), e.where("event_type = 'QUOTE'"), None, at[0] + span, at[1] - span, ordered=False)
-    return out.select("symbol", F.row_number().over(W.partitionBy("symbol").orderBy(*reorder.REPLAY_ORDER)).alias("position"), "event_id", "timestamp_ns")
+    out = reorder.positions(out, ["symbol"], [F.col(c) for c in reorder.REPLAY_ORDER], _of_hour())
+    return out.select("symbol", F.col("position").cast("int").alias("position"), "event_id", "timestamp_ns")
 
 
 def replay_many_windows(spark, d):
@@ -201,7 +206,7 @@ def jitter_histogram(spark, d):
 
 def downsample_series(spark, d):
     t = _series(spark, d).where("event_type = 'TRADE'")
-    return metrics.down_sample(t.select("symbol", "event_id", *reorder.REPLAY_ORDER[:2]), ["symbol"], reorder.REPLAY_ORDER, 20).select("symbol", "event_id", "point")
+    return metrics.down_sample(t.select("symbol", "event_id", *reorder.REPLAY_ORDER[:2]), ["symbol"], reorder.REPLAY_ORDER, 20, _of_hour()).select("symbol", "event_id", "point")
 
 
 def symbol_summary(spark, d):
@@ -291,8 +296,10 @@ def stream_reorder(spark, d):
         _as_files(part, source)
         s.start().awaitTermination()
     s.flush()
-    w = W.partitionBy("symbol").orderBy("v", "flushed", *reorder.emission_key(F.col("line_number")))
-    return s.released().select("symbol", F.row_number().over(w).alias("position"), "event_id")
+    out = s.released().withColumn("rounds", F.col("v") * 2 + F.col("flushed").cast("int"))
+    # releases of a later batch are later in time too, so hours are buckets of that order as well
+    out = reorder.positions(out, ["symbol"], [F.col("rounds"), *reorder.emission_key(F.col("line_number"))], F.struct("rounds", _of_hour().alias("hour")))
+    return out.select("symbol", F.col("position").cast("int").alias("position"), "event_id")
 
 
 def manifest_rollup(spark, d):
@@ -344,7 +351,7 @@ def quarantine_store(spark, d):
     """The rejects stored twice: the store holds each once."""
     store = Store(spark, new_path(spark, "store"))
     for _ in range(2):
-        for part in _rejects(spark, d)[:2]:
+        for part in _rejects(spark, d):
             store.put_quarantine(part)
     return store.quarantine().groupBy("error_code", "source").agg(F.count("*").alias("n"))
 
@@ -405,9 +412,9 @@ def stream_timers(spark, d):
             stateful.run_batches(released, f"{out}/events", f"{out}/checkpoint", 1)
     stateful.run_until_quiet(released, f"{out}/events", f"{out}/checkpoint", 3000)
     got = spark.read.schema(stateful.RELEASED).parquet(f"{out}/events").where("route = 'stored'")
-    order = ["round", "flushed", *reorder.emission_key(F.col("arrival"))]
-    w = W.partitionBy("symbol").orderBy(*order)
-    return got.select("symbol", F.row_number().over(w).alias("position"), "event_id")
+    got = got.withColumn("rounds", F.col("round") * 2 + F.col("flushed").cast("int"))
+    got = reorder.positions(got, ["symbol"], [F.col("rounds"), *reorder.emission_key(F.col("arrival"))], F.struct("rounds", _of_hour().alias("hour")))
+    return got.select("symbol", F.col("position").cast("int").alias("position"), "event_id")
 
 
 def stream_lateness(spark, d):
@@ -465,6 +472,44 @@ def manifest_verify(spark, d):
     return good.agg((F.count_if("valid") > 0).alias("some_valid"), (F.count_if(F.endswith("source_file", F.lit(".gone")) == F.col("valid")) == 0).alias("only_those_there"))
 
 
+def run_sequences(spark, d):
+    """Two runs that have the same events, in the second of which some change places."""
+    one = canonical(spark, d)
+    at = F.col("timestamp_ns") + F.when(F.col("line_number") % 50 == 0, 1_000_000_000_000).otherwise(0)
+    same = manifest.same_sequence(one, one.withColumn("timestamp_ns", at), ["symbol"], [F.col(c) for c in reorder.REPLAY_ORDER], _of_hour(), ["event_id"])
+    return same
+
+
+def manifest_checksums(spark, d):
+    """Files of two runs, one an hour of the day: those of the second whose bytes are
+    others do not verify."""
+    e = canonical(spark, d).select(F.expr("timestamp_ns div 3600000000000 % 24").cast("int").alias("hour"), "event_id", "line_number")
+    paths = [new_path(spark, "run") for _ in range(2)]
+    changed = F.when(F.col("hour") % 5 == 0, F.concat("event_id", F.lit("!"))).otherwise(F.col("event_id"))
+    for path, value in zip(paths, (F.col("event_id"), changed)):
+        e.select("hour", value.alias("value")).repartition("hour").sortWithinPartitions("hour", "value").write.partitionBy("hour").text(path)
+    files = [spark.read.format("binaryFile").load(p).select("hour", F.col("path").alias("source_file")) for p in paths]  # names only
+    first = manifest.with_checksum(files[0])
+    rows = first.select("hour", F.col("sha256").alias("sha256_checksum")).join(files[1], "hour").select(F.col("hour").cast("string").alias("dataset_id"), "source_file", "sha256_checksum")
+    rows = staged_table(rows, "checksums")
+    return rows.join(manifest.verify(rows), ["dataset_id", "source_file"]).select("dataset_id", "sha256_checksum", "valid")
+
+
+def lineitem_many_windows(spark, d):
+    """A request for every fifth line of the orders, most of them for one busy symbol: how many
+    trades a week around it."""
+    e, week = staged_table(_orders(spark, d), "orders"), 7 * 24 * metrics.HOUR_NS
+    r = e.where(F.substring("event_id", 1, 12).cast("bigint") % 5 == 0).select(F.col("event_id").alias("request_id"), "symbol", (F.col("timestamp_ns") - week).alias("start_ns"), (F.col("timestamp_ns") + week).alias("end_ns"))
+    return reorder.replay_many(e, r).groupBy(F.year(F.timestamp_seconds(F.expr("start_ns div 1000000000"))).alias("year")).agg(F.count("*").alias("n"), F.count_distinct("request_id").alias("n_requests"))
+
+
+def lineitem_gaps(spark, d):
+    """Percentiles of a figure of the orders with hundreds of thousands of values, a third of them
+    of one symbol."""
+    rows = _orders(spark, d).select("symbol", F.expr("CAST(price * 1000 AS BIGINT) + CAST(size AS BIGINT)").alias("gap_ns"))
+    return metrics.gap_percentiles(rows, (0.01, 0.5, 0.9, 0.999))
+
+
 def stream_dedup(spark, d):
     """A stream whose second part repeats the first: each event is released once."""
     rows = feed(spark, d)
@@ -506,7 +551,7 @@ def lineitem_downsample(spark, d):
     return metrics.down_sample(rows, ["symbol"], reorder.REPLAY_ORDER, 50, bucket=F.expr(f"timestamp_ns div {24 * metrics.HOUR_NS}")).select("symbol", "event_id", "point")
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample)}
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample, lineitem_many_windows, lineitem_gaps, run_sequences, manifest_checksums)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -612,7 +657,7 @@ SQL |= {
     "quarantine_rules": f"WITH {_REJ} SELECT {_QUARANTINE} FROM rej WHERE kind='invalid'",
     "quarantine_lateness": f"WITH {_REJ} SELECT {_QUARANTINE}, error_message FROM rej WHERE kind='late'",
     "quarantine_log": f"WITH {_REJ} SELECT error_code, count(*) AS n, count(DISTINCT quarantine_id) AS n_ids, max(timestamp_ns) AS last_ns FROM rej GROUP BY 1",
-    "quarantine_store": f"WITH {_REJ} SELECT error_code, source, count(*) AS n FROM rej WHERE kind<>'late' GROUP BY 1, 2",
+    "quarantine_store": f"WITH {_REJ} SELECT error_code, source, count(DISTINCT quarantine_id) AS n FROM rej GROUP BY 1, 2",
     "quote_rules": f"""WITH {_BASE}, q AS (SELECT n, CASE WHEN n%7=0 THEN -1 WHEN n%19=0 THEN 0 ELSE px END AS b, CASE WHEN n%11=0 THEN -1 ELSE ask END AS a, CASE WHEN n%13=0 THEN 0 ELSE k+1 END AS bs, CASE WHEN n%17=0 THEN 0 ELSE k+2 END AS sz FROM ev WHERE NOT is_trade),
   c AS (SELECT n, concat_ws(',', CASE WHEN b<0 THEN 'ERR_NEGATIVE_BID_PRICE' END, CASE WHEN a<0 THEN 'ERR_NEGATIVE_ASK_PRICE' END, CASE WHEN bs<=0 THEN 'ERR_NON_POSITIVE_BID_SIZE' END, CASE WHEN sz<=0 THEN 'ERR_NON_POSITIVE_ASK_SIZE' END,
     CASE WHEN b=0 THEN 'WARN_ZERO_BID_PRICE' END, CASE WHEN a=b THEN 'WARN_LOCKED_MARKET' END, CASE WHEN a<b THEN 'WARN_CROSSED_MARKET' END) AS codes FROM q)
@@ -641,3 +686,10 @@ SQL["stream_lateness"] = f"WITH {_BASE}, wm AS (SELECT event_id, timestamp_ns, {
 SQL["stream_price_jumps"] = f"""WITH {_DIRTY} SELECT symbol, CAST(last_p AS DOUBLE) AS last_price, CAST(p AS DOUBLE) AS price,
   sha256('TRADE|'||symbol||'|'||timestamp_ns||'|'||p||'|'||(k+1)||'|'||side||'|'||source||'|'||coalesce(CAST(sequence_id AS VARCHAR),'NONE')) AS event_id FROM st WHERE codes LIKE '%WARN_LARGE_PRICE_JUMP%'"""
 SQL["stream_repeats"] = f"WITH {_BASE} SELECT event_id, CAST(2 AS BIGINT) AS n, 365*86400000000000 AS apart FROM ev GROUP BY event_id"
+SQL["run_sequences"] = f"""WITH {_BASE}, one AS (SELECT symbol, string_agg(event_id, ',' ORDER BY timestamp_ns, prio, event_id) AS s FROM ev GROUP BY 1),
+  other AS (SELECT symbol, string_agg(event_id, ',' ORDER BY timestamp_ns + CASE WHEN n%50=0 THEN 1000000000000 ELSE 0 END, prio, event_id) AS s FROM ev GROUP BY 1) SELECT symbol, one.s = other.s AS same FROM one JOIN other USING (symbol)"""
+SQL["manifest_checksums"] = f"WITH {_BASE} SELECT CAST(timestamp_ns // 3600000000000 % 24 AS VARCHAR) AS dataset_id, sha256(string_agg(event_id, chr(10) ORDER BY event_id) || chr(10)) AS sha256_checksum, timestamp_ns // 3600000000000 % 24 % 5 <> 0 AS valid FROM ev GROUP BY timestamp_ns // 3600000000000 % 24"
+SQL["lineitem_gaps"] = f"""WITH {_ORDERS}, g AS (SELECT symbol, CAST(px * 1000 AS BIGINT) + CAST(q AS BIGINT) AS gap FROM ev), rk AS (SELECT symbol, gap, row_number() OVER (PARTITION BY symbol ORDER BY gap)-1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM g)
+  SELECT symbol, max(n) AS n_gaps, min(gap) AS gap_min, max(gap) AS gap_max, {", ".join(f"min(CASE WHEN i = least(n-1, CAST(floor(n*{p}::DOUBLE) AS BIGINT)) THEN gap END) AS gap_p{round(p * 100)}" for p in (0.01, 0.5, 0.9, 0.999))} FROM rk GROUP BY symbol"""
+SQL["lineitem_many_windows"] = f"""WITH {_ORDERS}, r AS (SELECT event_id AS request_id, symbol, timestamp_ns - 604800000000000 AS a, timestamp_ns + 604800000000000 AS b FROM ev WHERE CAST(substr(event_id, 1, 12) AS BIGINT) % 5 = 0)
+  SELECT CAST(year(make_timestamp(a // 1000)) AS INTEGER) AS year, count(*) AS n, count(DISTINCT request_id) AS n_requests FROM r JOIN ev ON ev.symbol = r.symbol AND ev.timestamp_ns BETWEEN a AND b GROUP BY 1"""

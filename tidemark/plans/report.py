@@ -24,7 +24,7 @@ def market_report(store: Store, symbol: str | None = None, start_ns: int = 0, en
     events = store.replay(symbol, start_ns, end_ns, event_types, ordered=False)
     s = staged_table(metrics.series(events), "series")
     trades, quotes = s.where("event_type = 'TRADE'"), s.where("event_type = 'QUOTE'")
-    few = lambda rows, *cols: metrics.down_sample(rows.select("symbol", *reorder.REPLAY_ORDER, *cols), ["symbol"], reorder.REPLAY_ORDER, POINTS)
+    few = lambda rows, *cols: metrics.down_sample(rows.select("symbol", *reorder.REPLAY_ORDER, *cols), ["symbol"], reorder.REPLAY_ORDER, POINTS, F.floor(F.col("timestamp_ns") / metrics.HOUR_NS))
     summary = metrics.summary(s)
     return {
         "summary": summary,
