@@ -261,6 +261,13 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64
     return state.select("query", F.explode("beam").alias("x")).select("query", F.col("x.id").alias("id"))
 
 
+def _in_range(v: list[float]) -> np.ndarray:
+    """v times a power of two, so that squares neither overflow nor vanish; cosines are the same
+    to the last bit."""
+    x = np.array(v, float)
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, **options) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of queries (vec_id, embedding) its k nearest
     rows of vectors, a row with the query's own id left out."""
@@ -277,7 +284,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, **options) -> Da
             out = []
             for query, v, w, members in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if len(v) == len(w):
-                    a, b = np.array(v), np.array(w)
+                    a, b = _in_range(v), _in_range(w)
                     s = float(np.dot(a, b) / (np.sqrt(np.dot(a, a)) * np.sqrt(np.dot(b, b))))
                     out += [(query, m, s) for m in members if m != query]
             cols = list(zip(*out)) or [[]] * 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -36,6 +38,29 @@ def utf8(column: str = "text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def sets_aside(*own: str):
+    """For functions of documents that return them with their columns: all columns but own ones
+    have other names meanwhile, so that none meets a name that the function makes for itself."""
+
+    def wrap(function):
+        @wraps(function)
+        def call(docs: DataFrame, *args, **options) -> DataFrame:
+            aside = {f"__column{i}": c for i, c in enumerate(docs.columns) if c not in own}
+            back = {c: name for name, c in aside.items()}
+            out = function(docs.toDF(*[back.get(c, c) for c in docs.columns]), *args, **options)
+            return out.toDF(*[aside.get(c, c) for c in out.columns])
+
+        return call
+
+    return wrap
+
+
+def row_hash(docs: DataFrame):
+    """128 bits of all columns of a row, of any types."""
+    cells = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema]
+    return F.struct(F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit("b"), *cells).alias("b"))
+
+
 def running_sums(df: DataFrame, order: list, sums: dict) -> DataFrame:
     """df with, for each name in sums, the sum of its column over the rows before it in order
     (which must name a row). Rows are dealt by ranges; a task sums its own, and the totals of the
@@ -53,7 +78,7 @@ def running_sums(df: DataFrame, order: list, sums: dict) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of an undirected graph with columns a, b (bigint).
+    """Connected components of an undirected graph with columns a, b (of any type with an order).
 
     Returns node, root (the least node of its component) for every node with an edge to
     another. Alternating large-star and small-star steps; each round only needs the least

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, sets_aside
 
 DOC, ITEM = 1, 0
 
@@ -169,18 +169,24 @@ class Matcher:
         return [(self.items[i][0], start, end, distance) for i, (distance, start, end) in best.items()]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """doc_id, item_id, start, end (of the match in the folded text), distance: a row for every
-    document and item that occurs in it, at the item's best place."""
-    schema = "doc_id bigint, item_id bigint, start int, end int, distance int"
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text")).where("text is not null")
+    document and item that occurs in it, at the item's best place. Options are those of matches()."""
+    return matches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items, **options)
+
+
+def matches(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: int = 40, group_chars: int = 4_000_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """contaminated() with a doc_id of any type."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id bigint, start int, end int, distance int"
+    id_type = pa.int64() if schema.startswith("doc_id bigint") else pa.string()
+    texts = docs.select("doc_id", "text").where("text is not null")
     wanted = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("item")).where(F.length(F.trim("item")) > 0).distinct()
     chars = wanted.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
 
     def found(matcher: Matcher, ids: list, texts: list) -> pa.RecordBatch:
         rows = [(d, *m) for d, t in zip(ids, texts) for m in matcher.find(t)]
         cols = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        kinds = [id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "start", "end", "distance"])
 
     if chars <= group_chars:
@@ -223,10 +229,10 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, least: in
     return both.mapInArrow(meet, schema)
 
 
+@sets_aside("doc_id", "text")
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no item, with their columns. Documents that share a doc_id, or have
     none, are told apart by their texts."""
-    named = docs.withColumn("__doc", F.xxhash64("doc_id", "text"))
-    rows = named.select(F.col("__doc").alias("doc_id"), "text")
-    bad = cut(contaminated(rows, items, **options).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
-    return named.join(bad, "__doc", "left_anti").select(*docs.columns)
+    named = docs.withColumn("_doc", F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").cast("binary"), 256))
+    bad = cut(matches(named.select(F.col("_doc").alias("doc_id"), "text"), items, **options).select(F.col("doc_id").alias("_doc")).distinct(), "contaminated")
+    return named.join(bad, "_doc", "left_anti").select(*docs.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..prefix import Running, prefix_scans
-from .common import WORD, cut, running_sums
+from .common import WORD, cut, running_sums, sets_aside
 
 #: Weights of the sources in order, repeating (fixed by the contract).
 WEIGHTS = (5, 2, 1)
@@ -211,6 +211,7 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
     return mix.taken.join(mix.targets.select("src", "source_size", "target"), "src").select("doc_id", "size", "source_size", "target", "taken")
 
 
+@sets_aside("doc_id", "text", "source", "size", "target", "taken")
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mixture takes words of: the columns of docs, then size, target (its
     source's) and taken. Rows alike in doc_id, source and text share their takes in any order."""

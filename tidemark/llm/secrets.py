@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import let
 from ..tables import new_path, read_table
-from .common import cut
+from .common import cut, sets_aside
 
 
 @dataclass(frozen=True)
@@ -180,6 +180,7 @@ def secret_digest(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     )
 
 
+@sets_aside("doc_id", "text", "n_chars")
 def redact(docs: DataFrame, marker: str = "[SECRET]", ledger_path: str | None = None) -> DataFrame:
     """docs with every secret's span replaced by the marker; all columns kept, n_chars
     recomputed where present. Spans that overlap are replaced as one; null text stays null."""
