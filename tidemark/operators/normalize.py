@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,53 +61,70 @@ def event_kind(fields: Column, lowered: Column, aliases: dict[str, dict[str, lis
     )
 
 
-def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES, spec: DecimalSpec = SPEC) -> DataFrame:
-    """raw (source_file, line_number, raw_text, fields, parse_error) with event_type, the
-    canonical columns of both kinds (null on the other), and error_code, error_field,
-    error_message, severity of the first check that failed."""
-    spare = F.coalesce("fields", F.expr("map()").cast("map<string,string>"))
-    df = raw.withColumn("__f", spare)
-    df = staged(df, {"__l": F.transform_keys("__f", lambda k, v: F.lower(S.strip(k)))})
-    f, low = F.col("__f"), F.col("__l")
-    df = staged(df, {"event_type": event_kind(f, low, aliases)})
-    trade = F.col("event_type") == "TRADE"
-    fields = {**aliases["trade"], **aliases["quote"]}
+@lru_cache(maxsize=16)
+def _steps(aliases_text: str, spec: DecimalSpec, context: int) -> tuple[list[dict[str, Column]], dict[str, Column]]:
+    """The columns that normalize() adds, step by step, and those at its end. They are the same for
+    every input, and building them takes thousands of calls of the engine: once a context."""
+    aliases = json.loads(aliases_text)
+    f, low, c = F.col("__f"), F.col("__l"), F.col
+    trade = c("event_type") == "TRADE"
+    fields = list({**aliases["trade"], **aliases["quote"]})
     picked = {}
     for name in fields:
         by = [aliases[kind].get(name) for kind in ("trade", "quote")]
         values = [pick(low, names) if names else F.lit(None).cast("string") for names in by]
         picked[f"__{name}"] = F.when(trade, values[0]).otherwise(values[1])
-    df = staged(df, picked)
     amounts = ["price", "size", *QUOTE_SIDES]
     own = {n: trade if n in ("price", "size") else ~trade for n in amounts}
-    texts = {f"{n}_text": F.when(own[n], S.format_decimal(S.lexeme(F.col(f"__{n}")))) for n in amounts}
-    df = staged(df, {"symbol": F.upper(S.strip(F.col("__symbol"))), "timestamp_ns": S.parse_timestamp_ns(F.col("__timestamp")), **texts})
-    df = staged(df, {n: S.to_decimal(F.col(f"{n}_text"), spec) for n in amounts})
-    missing = lambda c: c.isNull() | (S.strip(c) == "")
+    written = F.array(*[F.when(own[n], c(f"__{n}")) for n in amounts])
+    steps = [
+        {"__l": F.transform_keys("__f", lambda k, v: F.lower(S.strip(k)))},
+        {"event_type": event_kind(f, low, aliases)},
+        picked,
+        {"symbol": F.upper(S.strip(c("__symbol"))), "timestamp_ns": S.parse_timestamp_ns(c("__timestamp")), "__texts": F.transform(written, lambda x: S.format_decimal(S.lexeme(x)))},
+        {f"{n}_text": F.get("__texts", F.lit(i)) for i, n in enumerate(amounts)} | {"__numbers": F.transform("__texts", lambda x: S.to_decimal(x, spec))},
+        {n: F.get("__numbers", F.lit(i)) for i, n in enumerate(amounts)},
+    ]
+    missing = lambda x: x.isNull() | (S.strip(x) == "")
     checks: list[tuple[Column, str, str]] = [
-        (missing(F.col("__symbol")), "ERR_MISSING_SYMBOL", "symbol"),
-        (missing(F.col("__timestamp")), "ERR_MISSING_TIMESTAMP", "timestamp"),
-        (F.col("timestamp_ns").isNull(), "ERR_INVALID_TIMESTAMP", "timestamp"),
+        (missing(c("__symbol")), "ERR_MISSING_SYMBOL", "symbol"),
+        (missing(c("__timestamp")), "ERR_MISSING_TIMESTAMP", "timestamp"),
+        (c("timestamp_ns").isNull(), "ERR_INVALID_TIMESTAMP", "timestamp"),
     ]
     for n in amounts:
-        checks += [(own[n] & missing(F.col(f"__{n}")), f"ERR_MISSING_{n.upper()}", n), (own[n] & F.col(f"{n}_text").isNull(), f"ERR_INVALID_{n.upper()}", n)]
-    checks += [(own[n] & F.col(n).isNull(), "ERR_DECIMAL_RANGE", n) for n in amounts]
-    code = F.when(F.col("parse_error").isNotNull(), F.struct(F.lit("ERR_PARSE_FAILURE").alias("code"), F.lit("").alias("field")))
+        checks += [(own[n] & missing(c(f"__{n}")), f"ERR_MISSING_{n.upper()}", n), (own[n] & c(f"{n}_text").isNull(), f"ERR_INVALID_{n.upper()}", n)]
+    checks += [(own[n] & c(n).isNull(), "ERR_DECIMAL_RANGE", n) for n in amounts]
+    code = F.when(c("parse_error").isNotNull(), F.struct(F.lit("ERR_PARSE_FAILURE").alias("code"), F.lit("").alias("field")))
     for when, name, field in checks:
         code = code.when(when, F.struct(F.lit(name).alias("code"), F.lit(field).alias("field")))
-    df = staged(df, {"__failed": code})
-    df = df.withColumn("error_code", F.col("__failed.code")).withColumn("error_field", F.nullif(F.col("__failed.field"), F.lit("")))
-    df = df.withColumn("error_message", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", F.col("parse_error")).when(F.col("error_code").isNotNull(), F.concat(F.lit("field "), F.col("error_field"), F.lit(" is missing or invalid"))))
-    df = df.withColumn("severity", F.when(F.col("error_code") == "ERR_PARSE_FAILURE", "FATAL_SYNTAX").when(F.col("error_code").isNotNull(), "HARD_INVALID"))
-    df = df.withColumn("side", F.when(trade, S.side(F.col("__side"))))
-    df = df.withColumn("source", F.coalesce(F.when(S.strip(F.col("__source")) != "", S.strip(F.col("__source"))), F.when(F.col("source_file") != "", F.col("source_file")), F.lit("DEFAULT")))
     seq = F.when(F.map_contains_key(f, "sequence_id"), f["sequence_id"]).otherwise(f["seq"])
-    df = df.withColumn("sequence_id", F.when(seq.rlike("^[0-9]+$"), seq.try_cast("bigint")))
-    c = F.col
-    df = df.withColumn(
-        "event_id",
-        F.when(trade, S.trade_id(c("symbol"), c("timestamp_ns"), c("price_text"), c("size_text"), c("side"), c("source"), c("sequence_id"))).otherwise(
+    venue = S.strip(c("__source"))
+    steps += [
+        {"__failed": code},
+        {
+            "error_code": c("__failed.code"), "error_field": F.nullif(c("__failed.field"), F.lit("")), "side": F.when(trade, S.side(c("__side"))),
+            "source": F.coalesce(F.when(venue != "", venue), F.when(c("source_file") != "", c("source_file")), F.lit("DEFAULT")),
+            "sequence_id": F.when(seq.rlike("^[0-9]+$"), seq.try_cast("bigint")),
+        },
+    ]
+    parse = c("error_code") == "ERR_PARSE_FAILURE"
+    last = {
+        "error_message": F.when(parse, c("parse_error")).when(c("error_code").isNotNull(), F.concat(F.lit("field "), c("error_field"), F.lit(" is missing or invalid"))),
+        "severity": F.when(parse, "FATAL_SYNTAX").when(c("error_code").isNotNull(), "HARD_INVALID"),
+        "event_id": F.when(trade, S.trade_id(c("symbol"), c("timestamp_ns"), c("price_text"), c("size_text"), c("side"), c("source"), c("sequence_id"))).otherwise(
             S.quote_id(c("symbol"), c("timestamp_ns"), *[c(f"{n}_text") for n in QUOTE_SIDES], c("source"), c("sequence_id"))
         ),
-    )
-    return df.drop("__f", "__l", "__failed", *[f"__{n}" for n in fields])
+    }
+    return steps, last
+
+
+def normalize(raw: DataFrame, aliases: dict[str, dict[str, list[str]]] = ALIASES, spec: DecimalSpec = SPEC) -> DataFrame:
+    """raw (source_file, line_number, raw_text, fields, parse_error) with event_type, the
+    canonical columns of both kinds (null on the other), and error_code, error_field,
+    error_message, severity of the first check that failed."""
+    steps, last = _steps(json.dumps(aliases), spec, id(SparkContext._active_spark_context))
+    df = raw.withColumn("__f", F.coalesce("fields", F.expr("map()").cast("map<string,string>")))
+    for columns in steps:
+        df = staged(df, columns)
+    made = [n for columns in steps for n in columns if n.startswith("__")]
+    return df.withColumns(last).drop("__f", *made)
