@@ -10,14 +10,14 @@ from tidemark.plans.ingest import ingest
 from tidemark.sources.store import Store
 
 
-@pytest.mark.parametrize("parts", [2, 1024])
-def test_order_statistics(spark, parts):
+@pytest.mark.parametrize("parts, window", [(2, 0), (1024, 0), (1024, 100_000)])
+def test_order_statistics(spark, parts, window):
     rng = random.Random(2)
     values = {"one": [5], "equal": [7] * 20, "wide": [0, 1, 2**63 - 1] + [rng.randint(0, 2**62) for _ in range(50)], "many": [rng.randint(0, 400) for _ in range(900)], None: [-3, -2**62, 4]}
     rows = [(k, v) for k, vs in values.items() if k for v in vs]
     counts = spark.createDataFrame(rows, "symbol string, v bigint").groupBy("symbol", "v").agg(F.count("*").alias("n"))
     points = {"p0": 0.0, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    got = {r.symbol: r for r in metrics.order_statistics(counts, ["symbol"], "v", points, parts=parts).collect()}
+    got = {r.symbol: r for r in metrics.order_statistics(counts, ["symbol"], "v", points, parts=parts, window=window).collect()}
     for k, vs in values.items():
         if k:
             vs = sorted(vs)

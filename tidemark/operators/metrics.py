@@ -48,16 +48,19 @@ def series(events: DataFrame, bucket_ns: int | None = HOUR_NS) -> DataFrame:
     )
 
 
-def order_statistics(counts: DataFrame, keys: list[str], value: str, points: dict[str, float], rounds: int = 2, parts: int = 1024) -> DataFrame:
+def order_statistics(counts: DataFrame, keys: list[str], value: str, points: dict[str, float], rounds: int = 2, parts: int = 1024, window: int = 100_000) -> DataFrame:
     """keys, total and, for each name, sorted[min(total - 1, floor(total * point))] of the integer
     values of a key that counts (keys, value, n) gives.
 
     Values are counted by buckets of equal width between the least and the greatest one, the
     bucket that holds a rank is found among at most `parts` of them and cut again; a window only
-    ever sees one key's buckets, or the values of a last bucket, however many values a key has."""
+    ever sees one key's buckets, or the values of a last bucket, however many values a key has.
+    Where no key has more than `window` values there is nothing to cut."""
+    most = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    rounds = rounds if most > window else 0
     total = counts.groupBy(*keys).agg(F.sum("n").alias("total"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     ranks = F.explode(F.array(*[F.struct(F.lit(name).alias("point"), F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(float(p)))).alias("rank")) for name, p in points.items()])).alias("r")
-    total = staged_table(total, "totals")
+    total = staged_table(total, "totals") if rounds else total
     wanted = total.select(*keys, "__lo", "__hi", ranks).select(*keys, "__lo", "__hi", "r.*")
     same = [*keys, "__lo", "__hi"]
     for _ in range(rounds):
