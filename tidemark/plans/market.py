@@ -394,6 +394,23 @@ def json_array_read(spark, d):
     return n.groupBy("event_type", F.coalesce("error_code", F.lit("")).alias("error_code")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
 
 
+def broken_lines(spark, d):
+    """The feed as JSON lines, some of which are halves of surrogate pairs, nested beyond any depth,
+    cut short or no objects, and some symbols of which stand between tabs: what becomes of each."""
+    path, n = new_path(spark, "broken"), F.col("line_number")
+    value = F.to_json("fields")
+    spoilt = {
+        31: F.lit('{"symbol": "\\ud800", "price": "1"}'), 37: F.substring(value, F.lit(1), F.length(value) - 1), 41: F.lit("[1, 2]"), 43: F.concat(value, F.lit(" {}")),
+        997: F.repeat(F.lit("["), F.lit(50_000)), 47: F.replace(value, F.lit('"symbol":"u'), F.lit('"symbol":"\\tu')), 53: F.replace(value, F.lit('"symbol":"u'), F.lit('"symbol":"\\t","user":"u')),
+    }
+    line = value
+    for k, text in spoilt.items():
+        line = F.when(n % k == 0, text).otherwise(line)
+    feed(spark, d).select(line.alias("value")).write.text(path)
+    got = normalize(read_json_lines(spark, path))
+    return got.groupBy(F.coalesce("error_code", F.lit("")).alias("error_code"), F.coalesce("parse_error", F.lit("")).alias("parse_error")).agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("error_code").isNull(), F.col("symbol"))).alias("n_symbols"))
+
+
 def _two_parts(spark, rows, source):
     """Writes the feed in two parts of equal size, arriving one after the other."""
     half = rows.agg(F.percentile_approx("arrival", 0.5)).first()[0]
@@ -551,7 +568,7 @@ def lineitem_downsample(spark, d):
     return metrics.down_sample(rows, ["symbol"], reorder.REPLAY_ORDER, 50, bucket=F.expr(f"timestamp_ns div {24 * metrics.HOUR_NS}")).select("symbol", "event_id", "point")
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample, lineitem_many_windows, lineitem_gaps, run_sequences, manifest_checksums)}
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample, lineitem_many_windows, lineitem_gaps, run_sequences, manifest_checksums, broken_lines)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -693,3 +710,5 @@ SQL["lineitem_gaps"] = f"""WITH {_ORDERS}, g AS (SELECT symbol, CAST(px * 1000 A
   SELECT symbol, max(n) AS n_gaps, min(gap) AS gap_min, max(gap) AS gap_max, {", ".join(f"min(CASE WHEN i = least(n-1, CAST(floor(n*{p}::DOUBLE) AS BIGINT)) THEN gap END) AS gap_p{round(p * 100)}" for p in (0.01, 0.5, 0.9, 0.999))} FROM rk GROUP BY symbol"""
 SQL["lineitem_many_windows"] = f"""WITH {_ORDERS}, r AS (SELECT event_id AS request_id, symbol, timestamp_ns - 604800000000000 AS a, timestamp_ns + 604800000000000 AS b FROM ev WHERE CAST(substr(event_id, 1, 12) AS BIGINT) % 5 = 0)
   SELECT CAST(year(make_timestamp(a // 1000)) AS INTEGER) AS year, count(*) AS n, count(DISTINCT request_id) AS n_requests FROM r JOIN ev ON ev.symbol = r.symbol AND ev.timestamp_ns BETWEEN a AND b GROUP BY 1"""
+SQL["broken_lines"] = f"""WITH {_BASE}, r AS (SELECT symbol, CASE WHEN n%53=0 THEN 'blank' WHEN n%47=0 THEN '' WHEN n%997=0 THEN 'JSON parse error' WHEN n%43=0 THEN 'JSON parse error' WHEN n%41=0 THEN 'Expected JSON object, got list' WHEN n%37=0 OR n%31=0 THEN 'JSON parse error' ELSE '' END AS e FROM ev)
+  SELECT CASE e WHEN '' THEN '' WHEN 'blank' THEN 'ERR_MISSING_SYMBOL' ELSE 'ERR_PARSE_FAILURE' END AS error_code, CASE e WHEN 'blank' THEN '' ELSE e END AS parse_error, count(*) AS n, count(DISTINCT CASE WHEN e='' THEN symbol END) AS n_symbols FROM r GROUP BY 1, 2"""
