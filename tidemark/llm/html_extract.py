@@ -11,7 +11,8 @@ the template are constant; what lies between are the slots.
 
 A page's main text is read from the slots inside its article (or main) element, or from all
 slots if it has none; sections that are never content by their name (menus, headers, footers,
-asides, forms, notices, adverts, comments, scripts, styles) are then left out. Inside an article
+asides, forms, notices, adverts, comments, scripts, styles) are then left out. An article's own
+header and its paragraphs, whatever their names, are content. Inside an article
 a text node is the template's only if the section around it, itself inside the article, is in
 its class: a box that each page repeats, not a sentence that pages share. Hosts whose articles
 would lose more than half of their text so hold copies of an article, and keep it; hosts of
@@ -49,7 +50,13 @@ NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 
 # Elements that are never content, and names of such sections in class, id or role.
 NEVER = frozenset("head nav header footer aside form button menu dialog fieldset".split())
-NEVER_NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar\w*|aside|footer|header|masthead|breadcrumbs?|cookies?|consent|notices?|newsletter|subscribe|popup|modal|comments?|disqus\w*|respond|replies|share|sharing|social|related|widgets?|pagination|pager|login|search|navigation|complementary|contentinfo)(?:$|[\s_-])", re.I)
+NAMES = r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar\w*|aside|footer|breadcrumbs?|cookies?|consent|notices?|newsletter|subscribe|popup|modal|comments?|disqus\w*|respond|replies|share|sharing|social|related|widgets?|pagination|pager|login|search|navigation|complementary|contentinfo"
+NEVER_NAMED = re.compile(rf"(?:^|[\s_-])(?:{NAMES}|header|masthead)(?:$|[\s_-])", re.I)
+# inside an article a name is a whole one, or one with a word for a box behind it; headers are the article's own
+BOX = r"(?:[_-]+(?:box|bar|block|area|list|links?|buttons?|icons?|widget|section|container|wrapper|wrap|inner|content|items?|posts?|articles?|stories|form|thread|\d+))*"
+NEVER_NAMED_INSIDE = re.compile(rf"(?:^|\s)(?:[\w-]*[_-])?(?:{NAMES}){BOX}(?:$|\s)", re.I)
+# elements of running text, which are no sections whatever their names
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 span em strong b i u a q cite code small sub sup mark time abbr blockquote pre li dt dd td th figcaption caption".split())
 MAIN = frozenset(("article", "main"))
 BLOCKS = frozenset("address article blockquote body br caption center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 SECTIONS = frozenset("html head body header nav main article section aside footer div form table ul ol".split())
@@ -58,6 +65,16 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 
+def left_out(name: str, named: str, inside: bool) -> bool:
+    """Whether a section is never content by its element or names. Inside an article its header
+    is the article's, and paragraphs, headlines and the like go by no name."""
+    if name in NEVER:
+        return not (inside and name == "header")
+    if not named or name in MAIN or inside and name in RUNNING:
+        return False
+    return bool((NEVER_NAMED_INSIDE if inside else NEVER_NAMED).search(named))
+
+
 def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str, tuple[str, str] | None]]:
     """Tokens of a page: kind ('tag', 'text'), value, whether it lies in a section that is
     never content, whether it lies in an article, its path of sections, and the innermost of
@@ -98,7 +115,7 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str, tuple[str, str]
         bare = name in VOID or rest.endswith("/")
         if never:
             depth += name == never and not bare
-        elif not bare and name not in ("html", "body") and (name in NEVER or named and name not in MAIN and NEVER_NAMED.search(named)):
+        elif not bare and name not in ("html", "body") and left_out(name, named, inside > 0):
             never, depth = name, 1
         if name in MAIN and not bare:
             inside += 1
