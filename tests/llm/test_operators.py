@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import random
 import re
 
 import numpy as np
@@ -242,17 +243,60 @@ def test_decoder_against_enumeration():
     win = toxicity.window_counts([text])
     at = np.flatnonzero(win)
     d = toxicity.Decoder(np.r_[at, toxicity.SIZE**4 + np.arange(256)], np.r_[win[at], np.bincount(np.frombuffer(text, np.uint8), minlength=256)])
-    for token in ("1d10t", "i d", "a.n", "cl0wn", "1 s"):
+    for token in ("1d10t", "i d", "a.n", "cl0wn", "1 s", "c l o w n", "clo wn", "сlown", "cl\u200bown", "an i.d.i"):
+        alone = lambda k: all(j < 0 or j >= len(token) or token[j] in " .\u200b" for j in (k - 1, k + 1))
+        slots = [d._options(c) for c in token]
+        for k, c in enumerate(token):
+            if c in " .\u200b" and not (alone(k - 1) and alone(k + 1)):
+                slots[k] = [o for o in slots[k] if o[0]] + [("", d.price, "cut")]
         best = None
-        for reads in itertools.product(*[d._options(c) for c in token]):
-            chars, cost, state = "".join(r[0] for r in reads), sum(r[1] for r in reads), 0
-            for c in chars + " ":
-                code = ord(c) - 96 if "a" <= c <= "z" else 0
-                cost, state = cost + d.logp[state * toxicity.SIZE + code], (state * toxicity.SIZE + code) % toxicity.SIZE**3
+        for reads in itertools.product(*slots):
+            chars, cost, state, disguised = "", 0.0, 0, False
+            for text, q, name in [*reads, (" ", 0.0, "")]:
+                cost, odd = cost + q, bool(name) and name[-1] != "="
+                if odd and not disguised and name != "cut":
+                    cost += d.enter
+                disguised = disguised or odd
+                for c in text:
+                    code = ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
+                    cost, state = cost + d.logp[state * toxicity.SIZE + code], (state * toxicity.SIZE + code) % toxicity.SIZE**3
+                    disguised = disguised and code > 0
+                chars += text
             best = max(best or (cost, chars), (cost, chars))
-        assert d.restore(token)[0] == best[1].strip()
+        assert d.restore(token)[0] == (best[1].strip(),), token
     assert "idiot" in toxicity.tokens("you 1d10t", d) and "idiot" in toxicity.tokens("an i d i o t here", d) and "idiot" in toxicity.tokens("idiooot", d)
-    assert "an idiot" in d.restore("an i d i o t i d i o t")[0] and len(d.restore("1" * 100_000)[0]) <= 200_000
+    assert "an idiot" in " ".join(d.restore("an i d i o t i d i o t")[0]) and sum(map(len, d.restore("1" * 100_000)[0])) <= 200_000
+
+
+def test_disguises_are_restored(monkeypatch):
+    """Nine words of ten come back whichever way they are written, and long texts in blocks as whole."""
+    rng = random.Random(4)
+    part = lambda: rng.choice("bdfglmnprst") + rng.choice("aeiou") + rng.choice(["", "n", "r", "l"])
+    usual = ["".join(part() for _ in range(rng.choice([1, 2, 2, 3]))) for _ in range(400)]
+    bad = ["idiot", "moron", "stupid", "clown", "trash", "loser", "pathetic", "scum", "jerk", "creep"]
+    said = [w for _ in range(6000) for w in (*rng.choices(usual, k=20), rng.choice(bad))]
+    text = " ".join(said).encode()
+    win = toxicity.window_counts([text])
+    at = np.flatnonzero(win)
+    counts = np.r_[at, toxicity.SIZE**4 + np.arange(256)], np.r_[win[at], np.bincount(np.frombuffer(text, np.uint8), minlength=256)]
+    d = toxicity.Decoder(*counts, {" =": 1000, "disguised": 0}, toxicity.ODDS)
+    leet, other = str.maketrans("oieast", "013457"), str.maketrans("oieasc", "оіеаѕс")
+    ways = {
+        "look-alikes": lambda w: w.translate(leet), "alphabets": lambda w: w.translate(other), "spaced": " ".join, "two blanks": "  ".join, "dotted": ".".join, "dashes": "-".join,
+        "no width": "\u200b".join, "stretched": lambda w: w[:2] + w[2] * 4 + w[3:], "both": lambda w: " ".join(w.translate(leet)),
+    }
+    ways |= {f"cut at {k}": lambda w, k=k: f"{w[:k]} {w[k:]}" for k in (1, 2, 3)}
+    for name, way in ways.items():
+        found = plain = 0
+        for w in bad * 10:
+            line = " ".join(rng.choices(usual, k=4)) + f" {way(w)} " + " ".join(rng.choices(usual, k=4))
+            found += w in toxicity.tokens(line, d)
+            plain += w in line.split()
+        assert found >= 90 and (not plain or name == "look-alikes"), (name, found, plain)
+    line = [w if rng.random() < 0.9 else w[0] for w in said[:500]]
+    whole = toxicity.join_gains(line, d)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert len(whole) == 499 and np.array_equal(whole, toxicity.join_gains(line, d))
 
 
 def test_models(spark):

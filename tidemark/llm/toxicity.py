@@ -1,16 +1,25 @@
 """Toxicity scores of texts, restored by a noisy-channel decoder first.
 
-A character model (counts of four-character windows over all documents) and a channel make a
-lattice of readings for every odd token and every run of short words that has an unlikely one.
-In the lattice a look-alike stays itself (a break between words) or stands for a letter, a
-stretched letter is read once, twice or as it is, and a space or mark between characters stays or
-goes. Viterbi search takes the likeliest reading. The channel's chances are learned from the
-corpus: first every reading of a character is taken to be as likely as another, then all
-documents are decoded once and what the likeliest readings used is counted. Words that are plain
-letters pass as they are, and what the readings add never replaces them. A logistic model over
-words and their beginnings scores the text.
-
-Odd tokens and runs longer than `SPAN` characters are decoded in pieces of that length.
+A character model (four-character windows over all documents, shorter windows where the longer
+are rare) and a channel make a lattice of readings. The channel has two kinds of word, plain and
+disguised. In a plain word every character that is no letter is a break between words, at the
+rate the corpus has it. A word is disguised at a small rate; in it a look-alike or a letter of
+another alphabet may stand for a letter, a stretched letter is read once or
+twice, and a blank, mark or character without width between letters is left out. Viterbi search
+takes the likeliest reading. The channel's rates are learned from the corpus: first with even
+odds, then all documents are decoded once and what the likeliest readings used is counted. A
+disguised word keeps a rate of `LEAST` at least, so that a corpus without disguises does not
+rule them out in new texts. A blank or mark between single letters costs little in a disguised
+word, one that cuts a word into longer pieces as much as a disguise each time. Texts are scored with
+readings that are disguised at odds of e**-`ODDS` already, as readings add words only.
+
+The lattice reads odd tokens, stretched words, runs of short words of which one is rare, and runs of
+three words or more of any length that the character model prefers as one at the price of a
+disguise. Of two neighbours it has two paths only, which are compared for every blank of the text
+at once; as what the readings add never replaces the words, a pair is also read as one where
+that is likelier by `SPLIT` before the price of a disguise. A joined pair counts as a whole word, not
+by its beginning. Odd tokens and runs longer than `SPAN` characters are decoded in pieces that
+overlap by half, so that a word of up to half of it is whole in one of them.
 
 The classifier is fitted on at most `max_rows` labelled rows, drawn by a hash of doc_id, and
 keeps at most `max_features` features; the character counts cover every document.
@@ -28,6 +37,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import log
+from unicodedata import combining, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +47,12 @@ from pyspark.sql import functions as F
 from .common import cut, utf8
 
 # What a character may stand for besides itself.
-LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c"}
+LOOKALIKES = {
+    "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c",
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h", "ӏ": "l",
+    "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ω": "w", "ı": "i", "ɡ": "g",
+}
+WIDTHLESS = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 SIZE = 28  # boundary, a-z, any other letter
 _CODE = np.full(256, 0, np.uint8)
@@ -45,12 +60,17 @@ for _c in range(26):
     _CODE[ord("a") + _c] = _CODE[ord("A") + _c] = _c + 1
 _CODE[128:] = 27
 
-SEPARATORS = " .-_*~'"
+FOREIGN = "".join(c for c in LOOKALIKES if ord(c) > 127 and c.isalpha())
 ODD = re.compile(r"[0-9@$!|+€(._*~'\-]")
+STRANGE = re.compile(f"[{FOREIGN}{WIDTHLESS}\uff21-\uff3a\uff41-\uff5a\u0300-\u036f]")
+LATIN = re.compile(f"[a-z0-9\u00df-\u024f{FOREIGN}{WIDTHLESS}\uff41-\uff5a\u0300-\u036f]*")
 SYMBOL = re.compile(r"[@$!|+€(]")
 STRETCH = re.compile(r"(.)\1\1")
 UNLIKELY = re.compile("[12]*2[12]*")  # over one mark a word: 0 long, 1 short, 2 short and rare
-SHORT, RARE, SPAN = 3, 2e-4, 64
+SHORT, RARE, SPAN, BLOCK = 3, 2e-4, 64, 100_000
+LEAST = 1e-5  # the least rate of disguised words
+ODDS = 6.0  # readings of a span are taken as disguised at odds of e**-6 already
+SPLIT = 2.0  # neighbours that are likelier as one word by this log ratio are read as one too
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "«»¿¡“”„…–—"
 TAIL = "@$"
 PARTS = re.compile(r"[\W_]+")
@@ -94,57 +114,96 @@ def character_counts(docs: DataFrame) -> DataFrame:
     return docs.select(utf8().alias("text")).mapInArrow(run, "win int, n bigint").groupBy("win").agg(F.sum("n").alias("n"))
 
 
+def _base(c: str) -> str:
+    """The letter a-z of a letter of full width, or nothing."""
+    return normalize("NFKC", c) if "\uff21" <= c <= "\uff5a" else ""
+
+
+def _code(c: str) -> int:
+    return ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
+
+
 class Decoder:
-    """Viterbi search over the readings of odd tokens and runs of short words.
+    """Viterbi search over the readings of odd tokens and runs of words.
 
-    used: how often each reading was taken (names as in _options); None before that is known."""
+    used: how often each reading was taken (names as in _options); None before that is known.
+    odds: log odds that a word is disguised are raised by this."""
 
-    def __init__(self, win: np.ndarray, n: np.ndarray, used: dict[str, int] | None = None):
+    def __init__(self, win: np.ndarray, n: np.ndarray, used: dict[str, int] | None = None, odds: float = 0.0):
         both = np.zeros(SIZE**4 + 256)
         both[win] = n
         windows, self.single = both[: SIZE**4], both[SIZE**4 :]
-        counts = (windows + 0.01).astype(np.float32).reshape(-1, SIZE)
-        self.logp = np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32).reshape(-1).tolist()
         cube = windows.reshape((SIZE,) * 4)
+        chance = np.full(SIZE, 1 / SIZE)
+        for k in range(4):  # windows of k + 1 characters, by Witten and Bell's weights
+            counts = cube.sum(tuple(range(3 - k))) if k < 3 else cube
+            total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
+            chance = (counts + kinds * chance) / np.maximum(total + kinds, 1) + (total == 0) * chance
+        self.table = np.log(chance + 1e-12).astype(np.float32).reshape(-1)
+        self.logp = self.table.tolist()
         self.letters = cube.sum((0, 1, 2))
         self.words = max(1.0, cube[:, :, 1:, 0].sum())
         self.ones, self.twos = cube[:, 0, :, 0].sum(0), cube[0, :, :, 0]
         triple = cube[0, 1:, 1:, 1:] * np.divide(cube[1:, 1:, 1:, 0], np.maximum(cube[1:, 1:, 1:].sum(3), 1))
         self.threes = triple
+        used = used or {}
         self.used = used
-        self.known: dict[str, tuple[str, tuple[str, ...]]] = {}
+        self.reads: Counter = Counter()  # by the letter that is written otherwise; "" for what is left out
+        for name, k in used.items():
+            if len(name) == 2 and name[1] != "=":
+                self.reads["" if name[1] == "-" else name[1]] += k
+        self.price = log(max(LEAST, (used.get("disguised", 0) + 1) / self.words if used else 1e-4))
+        self.enter = min(0.0, self.price + odds)
+        self.known: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
         self.options: dict[str, list[tuple[str, float, str]]] = {}
         self.marks: dict[str, str] = {}
 
-    def _chance(self, name: str, guess: float, of: float) -> float:
-        return log((guess if self.used is None else self.used.get(name, 0) + 1.0) / max(of, 1.0) + 1e-12)
+    def _rate(self, name: str, reads: str) -> float:
+        """Log rate of one way to write a letter in disguised words, or to put something between."""
+        return log((self.used.get(name, 0) + 1.0) / (self.reads[reads] + 2.0))
+
+    def _plain(self, c: str) -> float:
+        """Log rate of a character among the breaks (or the letters that are not a-z)."""
+        seen = self.single[ord(c)] if ord(c) < 128 else 1.0
+        if c == " ":
+            seen += self.single[9:14].sum()
+        return log((seen if not self.used or ord(c) < 128 else self.used.get(c + "=", 0) + 1.0) / max(self.letters[27 if c.isalpha() else 0], 1.0) + 1e-9)
 
     def _options(self, c: str) -> list[tuple[str, float, str]]:
-        """Readings of a character: text, log chance, name to count it by."""
+        """Readings of a character: text, log rate, name to count it by. A name that ends in =
+        keeps the word plain."""
         got = self.options.get(c)
         if got is None:
-            seen = self.single[ord(c)] if ord(c) < 128 else 1.0
-            stays = self._chance(c + "=", seen / 2 + 1, self.letters[0])
-            if c.isalpha():
+            reads = LOOKALIKES.get(c, "") or (_base(c) if c.isalpha() else "")
+            if "a" <= c <= "z":
                 got = [(c, 0.0, "")]
-            elif c in SEPARATORS:
-                got = [(" ", stays, c + "="), ("", self._chance(c + "-", 1e-4 * self.letters[1:].sum(), self.letters[1:].sum()), c + "-")]
+            elif c.isalpha():
+                got = [(c, self._plain(c) if reads else 0.0, c + "=" if reads else "")]
+            elif c in WIDTHLESS or combining(c):
+                got = [("", self._rate(c + "-", ""), c + "-")]
             else:
-                reads = LOOKALIKES.get(c, "")
-                got = [(" ", stays, c + "=")] + [(x, self._chance(c + x, (seen / 2 + 1) / len(reads), self.letters[ord(x) - 96]), c + x) for x in reads]
+                got = [(" ", self._plain(c), c + "=")]
+                if not reads and not c.isdigit():
+                    got.append(("", self._rate(c + "-", ""), c + "-"))
+            got += [(x, self._rate(c + x, x), c + x) for x in reads]
             self.options[c] = got
         return got
 
-    def restore(self, token: str) -> tuple[str, tuple[str, ...]]:
-        """The likeliest reading of a token or run (lower case), and the names of what it used."""
+    def restore(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """The likeliest readings of a token or run (lower case), one a piece, and the names of
+        what they used."""
         got = self.known.get(token)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            pieces = [self._search(token[a : a + SPAN]) for a in range(0, len(token), SPAN)]
-            got = self.known[token] = "".join(p for p, _ in pieces).strip(), tuple(x for _, names in pieces for x in names)
+            pieces = [self._search(token[a : a + SPAN]) for a in range(0, max(len(token) - SPAN // 2, 1), SPAN // 2)]
+            got = self.known[token] = tuple(p.strip() for p, _ in pieces), tuple(x for _, names in pieces for x in names)
         return got
 
+    def _alone(self, token: str, at: int) -> bool:
+        """Is this character the only one between two blanks or marks?"""
+        return all(k < 0 or k >= len(token) or self._options(token[k])[-1][0] == "" for k in (at - 1, at + 1))
+
     def _search(self, token: str) -> tuple[str, tuple[str, ...]]:
         slots: list[list[tuple[str, float, str]]] = []
         at = 0
@@ -153,28 +212,51 @@ class Decoder:
             while at + run < len(token) and token[at + run] == c:
                 run += 1
             options = self._options(c)
-            if run > 2 and c not in SEPARATORS:
-                once = self._chance("stretch", 1e-4 * self.letters[1:].sum(), self.letters[1:].sum())
-                slots.append([(x * k, p + once, name or "stretch") for x, p, name in options if x != " " for k in (1, 2)] + [((c if c.isalpha() else " ") * run, 0.0, "")])
+            if run > 2 and (c.isalpha() or c in LOOKALIKES):
+                once = self._rate("stretch", "")
+                slots.append(
+                    [(x * k, p + once, "stretch") for x, p, _ in options if x and x != " " for k in (1, 2)] + [((c if c.isalpha() else " ") * run, 0.0 if c.isalpha() else options[0][1] * run, "")]
+                )
+            elif run == 1 and options[-1][0] == "" and not (self._alone(token, at - 1) and self._alone(token, at + 1)):
+                slots.append([*options[:-1], ("", self.price, "cut")])
             else:
                 slots += [options] * run
             at += run
-        logp = self.logp
-        states: dict[int, tuple[float, str, tuple[str, ...]]] = {0: (0.0, "", ())}  # by the last three characters' codes
+        logp, enter, cubed = self.logp, self.enter, SIZE**3
+        # by the last three characters' codes, and that plus cubed within a disguised word
+        states: dict[int, tuple[float, str, tuple[str, ...]]] = {0: (0.0, "", ())}
         for slot in [*slots, [(" ", 0.0, "")]]:
             after: dict[int, tuple[float, str, tuple[str, ...]]] = {}
             for state, (p, text, names) in states.items():
                 for chars, q, name in slot:
-                    s, r = state, p + q
+                    r, told, disguised = p + q, (name,) if name else (), state >= cubed
+                    if name and name[-1] != "=" and not disguised:
+                        r, told, disguised = r + (enter if name != "cut" else 0.0), (name, "disguised"), True
+                    s = state % cubed
                     for c in chars:
-                        code = ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
+                        code = _code(c)
                         r += logp[s * SIZE + code]
-                        s = (s * SIZE + code) % SIZE**3
+                        s = (s * SIZE + code) % cubed
+                        disguised = disguised and code > 0
+                    if disguised:
+                        s += cubed
                     if s not in after or r > after[s][0]:
-                        after[s] = r, text + chars, names + (name,) if name else names
+                        after[s] = r, text + chars, names + told
             states = after
         return max(states.values())[1:]
 
+    def gains(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How much likelier the character model finds a text (its codes, three breaks before and
+        four after) without the break at each of the places."""
+        c = [data[at + k] for k in range(-3, 4)]
+        table = self.table
+
+        def p(w, x, y, z):
+            return table[((w * SIZE + x) * SIZE + y) * SIZE + z]
+
+        split = p(c[0], c[1], c[2], c[3]) + p(c[1], c[2], c[3], c[4]) + p(c[2], c[3], c[4], c[5]) + p(c[3], c[4], c[5], c[6])
+        return p(c[0], c[1], c[2], c[4]) + p(c[1], c[2], c[4], c[5]) + p(c[2], c[4], c[5], c[6]) - split - self._plain(" ")
+
     def mark(self, token: str) -> str:
         """0 for a long word, 1 for a short one, 2 for a short one that is rare in the corpus."""
         if len(token) > SHORT:
@@ -192,13 +274,31 @@ class Decoder:
         return got
 
 
-def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str]]:
-    """The plain words of a text, and what the decoder should read: odd tokens, stretched words
-    and runs of short words."""
+def join_gains(listed: list[str], decoder: Decoder) -> np.ndarray:
+    """For every token but the first: how much likelier the text is if it is joined to the one
+    before. Only the model's windows around the blank change, so this is the lattice's own
+    comparison of the two readings."""
+    out = []
+    for a in range(1, len(listed), BLOCK):  # places a to b, with four tokens around for the windows
+        first, b = max(a - 5, 0), min(a + BLOCK, len(listed))
+        line = "   " + " ".join(listed[first : b + 4]) + "    "
+        points = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32)
+        codes = np.where(points < 128, _CODE[np.minimum(points, 127)], 27).astype(np.int32)
+        at = np.flatnonzero(points[3:-4] == 32) + 3
+        out.append(decoder.gains(codes, at[a - 1 - first : b - 1 - first]))
+    return np.concatenate(out)
+
+
+def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str], set[str]]:
+    """The plain words of a text, its pairs of neighbours that may be one word, joined, and what
+    else the decoder should read: odd tokens, stretched words and runs of three words or more, or
+    of short ones, that may be one."""
     listed = text.lower().split()
     raw = set(listed)
     words = {t for t in raw if t.isalpha()}
     spans: set[str] = set()
+    if STRANGE.search(text):  # tokens that mix alphabets or hold characters without width
+        spans.update(t for t in raw if STRANGE.search(t) and LATIN.fullmatch(t.strip(EDGES)))
     for t in raw - words:
         t = t.strip(EDGES)
         if t.isalpha():
@@ -213,21 +313,34 @@ def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str]]:
     data = np.frombuffer("\n".join(words).encode("utf-32-le", "replace"), np.uint32)
     if len(data) > 2 and ((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])).any():
         spans.update(w for w in words if STRETCH.search(w))
-    mark = decoder.mark
-    marks = "".join([mark(t) if len(t) <= SHORT else "0" for t in listed])
-    if "2" in marks:
-        for m in UNLIKELY.finditer(marks):
-            if m.end() - m.start() > 1:
-                spans.add(" ".join(listed[m.start() : m.end()]))
-    return words, spans
+    pairs: set[str] = set()
+    if len(listed) > 1:
+        gains = join_gains(listed, decoder)
+        pairs = {listed[k] + listed[k + 1] for k in np.flatnonzero(gains > SPLIT).tolist()}
+        joins = gains + decoder.price > 0
+        joins &= np.r_[False, joins[:-1]] | np.r_[joins[1:], False]  # pairs are read above
+        mark = decoder.mark
+        marks = "".join([mark(t) if len(t) <= SHORT else "0" for t in listed])
+        if "2" in marks:
+            for m in UNLIKELY.finditer(marks):
+                joins[m.start() : m.end() - 1] = True
+        edges = np.flatnonzero(np.diff(np.r_[False, joins, False].astype(np.int8)))
+        spans.update(" ".join(listed[a : b + 1]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()))
+    return words, pairs, spans
+
+
+def read(text: str, decoder: Decoder) -> tuple[set[str], set[str]]:
+    """The words of a text with those of the readings of its odd spans, and its joined pairs."""
+    words, pairs, spans = odd_spans(text, decoder)
+    for span in spans:
+        for reading in decoder.restore(span)[0]:
+            words.update(w for w in reading.split() if w.isalpha())
+    return words, pairs
 
 
 def tokens(text: str, decoder: Decoder) -> set[str]:
-    """The words of a text and those of the readings of its odd spans."""
-    words, spans = odd_spans(text, decoder)
-    for span in spans:
-        words.update(w for w in decoder.restore(span)[0].split() if w.isalpha())
-    return words
+    """All words of a text and of its readings."""
+    return set.union(*read(text, decoder))
 
 
 def channel_counts(docs: DataFrame, win: np.ndarray, n: np.ndarray) -> dict[str, int]:
@@ -239,7 +352,7 @@ def channel_counts(docs: DataFrame, win: np.ndarray, n: np.ndarray) -> dict[str,
         decoder, used = Decoder(*tables.value), Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for span in odd_spans(t or "", decoder)[1]:
+                for span in odd_spans(t or "", decoder)[2]:
                     used.update(decoder.restore(span)[1])
         yield pa.RecordBatch.from_arrays([pa.array(list(used), pa.string()), pa.array(list(used.values()), pa.int64())], names=["name", "n"])
 
@@ -250,10 +363,10 @@ def channel_counts(docs: DataFrame, win: np.ndarray, n: np.ndarray) -> dict[str,
 STARTS = (4, 5, 6, 7)
 
 
-def features(words: set[str]) -> set[str]:
-    """Whole words, their beginnings of four to seven letters (led by ^), and beginnings that
-    two words or more share (led by +)."""
-    out = set(words)
+def features(words: set[str], pairs: set[str] = frozenset()) -> set[str]:
+    """Whole words, joined pairs as whole words, the words' beginnings of four to seven letters
+    (led by ^), and beginnings that two words or more share (led by +)."""
+    out = words | pairs
     for k in STARTS:
         starts = Counter([w[:k] for w in words if len(w) > k])
         out.update(["^" + s for s in starts])
@@ -306,15 +419,15 @@ class ToxicityModel:
     @property
     def decoder(self) -> Decoder:
         if self._decoder is None:
-            self._decoder = Decoder(self.win, self.n, self.used)
+            self._decoder = Decoder(self.win, self.n, self.used, ODDS)
         return self._decoder
 
     def score(self, text: str) -> float:
         if not hasattr(self, "_by"):
             self._words = {f for f in self.weights if f[0] not in "^+"}
             self._by = {k: {f[1:] for f in self.weights if f[0] in "^+" and len(f) == k + 1} for k in STARTS}
-        words = tokens(text, self.decoder)
-        got = words & self._words
+        words, pairs = read(text, self.decoder)
+        got = (words | pairs) & self._words
         for k, known in self._by.items():
             starts = [s for s in [w[:k] for w in words if len(w) > k] if s in known]
             got.update(["^" + s for s in starts])
@@ -332,11 +445,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     tables = docs.sparkSession.sparkContext.broadcast((win, n, used))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(*tables.value)
+        decoder = Decoder(*tables.value, ODDS)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                f = [sorted(features(tokens(t or "", decoder))) for t in part.column(1).to_pylist()]
+                f = [sorted(features(*read(t or "", decoder))) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(f, pa.list_(pa.string()))], names=["doc_id", "label", "f"])
 
     bags = cut(labelled(docs, labels, "toxic", max_rows).select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, f array<string>"), "bags")
