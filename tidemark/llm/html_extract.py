@@ -6,7 +6,7 @@ one vector form an equivalence class. Vectors are compared by a sum of hashes ov
 (page, count), which adds up in any order, so a host of any size is grouped by partial sums.
 A class is valid if it has two tokens or more and at least `support` of the host's pages; the
 largest class that all of these pages share is the root of the template, and another class
-nests in it if all its tokens lie in one gap between neighbouring root tokens. Text nodes of
+nests in it if in every page all its tokens lie in one gap between neighbouring root tokens. Text nodes of
 the template are constant; what lies between are the slots.
 
 A page's main text is read from the slots inside its article (or main) element, or from all
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,8 +182,9 @@ def hosts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit(""))).alias("host"))
 
 
-def template_tokens(pages: DataFrame, support: float = 0.5, least_pages: int = 3) -> DataFrame:
-    """host, key, is_text, place, class_id: the tokens of each host's template."""
+def template_tokens(pages: DataFrame, support: float = 0.5, least_pages: int = 3, broadcast_keys: int = 1_000_000) -> DataFrame:
+    """host, key, is_text, place, class_id: the tokens of each host's template: those of the root, and
+    of the classes that nest in it and hold texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,18 +224,54 @@ def template_tokens(pages: DataFrame, support: float = 0.5, least_pages: int = 3
     of_class = W.partitionBy("host", "vector")
     t = t.withColumn("size", F.count("*").over(of_class)).where("size > 1").withColumn("place", F.col("places") / F.col("pages"))
     t = t.withColumn("root", F.max(F.struct("pages", "size", "vector")).over(W.partitionBy("host"))["vector"] == F.col("vector"))
-    t = t.withColumn("gap", F.sum(F.col("root").cast("int")).over(W.partitionBy("host").orderBy("place", "key")))
-    t = t.withColumn("nests", F.col("root") | (F.min("gap").over(of_class) == F.max("gap").over(of_class)))
+    t = cut(t.withColumn("told", F.max("is_text").over(of_class)).where("root or told"), "classes")
+    gaps = _gaps(pages, t, broadcast_keys)
+    t = t.join(gaps, ["host", "key"], "left")
+    t = t.withColumn("nests", F.col("root") | (F.min("first").over(of_class) == F.max("last").over(of_class)))
     return t.where("nests").select("host", "key", "is_text", "place", F.hash("vector").alias("class_id"))
 
 
+def _by_host(pages: DataFrame, lists: DataFrame, keys: int, broadcast_keys: int, how: str) -> DataFrame:
+    """Pages with their host's lists of keys: a broadcast while these are at most broadcast_keys."""
+    return pages.join(F.broadcast(lists) if keys <= broadcast_keys else lists, "host", how)
+
+
+def _gaps(pages: DataFrame, t: DataFrame, broadcast_keys: int) -> DataFrame:
+    """host, key, first, last: the least and the largest gap of the root in which pages hold a
+    token of the other classes, a gap being the number of root tokens that come before it in
+    that page. Only pages of hosts with such classes are read again."""
+    lists = t.groupBy("host").agg(F.collect_set(F.when(F.col("root"), F.col("key"))).alias("roots"), F.collect_set(F.when(~F.col("root"), F.col("key"))).alias("others"))
+    lists = cut(lists.where(F.size("others") > 0), "roots")
+    size = lists.agg(F.coalesce(F.sum(F.size("roots") + F.size("others")), F.lit(0))).first()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[tuple[str, int], list[int]] = {}
+            for host, page, roots, others in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                found, _ = page_tokens(page)
+                places = sorted(found[k % (1 << 64)][1] for k in roots if k % (1 << 64) in found)
+                for k in others:
+                    if k % (1 << 64) in found:
+                        gap = bisect_left(places, found[k % (1 << 64)][1])
+                        s = seen.setdefault((host, k), [gap, gap])
+                        s[0], s[1] = min(s[0], gap), max(s[1], gap)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in seen], pa.string()), pa.array([k for _, k in seen], pa.int64()), *(pa.array([s[i] for s in seen.values()], pa.int32()) for i in (0, 1))],
+                names=["host", "key", "first", "last"],
+            )
+
+    met = _by_host(pages, lists, size, broadcast_keys, "inner").select("host", "html", "roots", "others")
+    rows = met.mapInArrow(run, "host string, key bigint, first int, last int")
+    return rows.groupBy("host", "key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
 def extract(pages: DataFrame, broadcast_keys: int = 1_000_000, **options) -> DataFrame:
     """page_id, url, text, n_chars for every page. The templates go to the executors as a
     broadcast while their text tokens number at most broadcast_keys, by a join beyond it."""
     pages = hosts(pages)
-    constant = cut(template_tokens(pages, **options).where("is_text").groupBy("host").agg(F.collect_set("key").alias("constant")), "templates")
+    constant = cut(template_tokens(pages, broadcast_keys=broadcast_keys, **options).where("is_text").groupBy("host").agg(F.collect_set("key").alias("constant")), "templates")
     size = constant.agg(F.coalesce(F.sum(F.size("constant")), F.lit(0)) + F.count("*")).first()[0]
-    joined = pages.join(F.broadcast(constant) if size <= broadcast_keys else constant, "host", "left")
+    joined = _by_host(pages, constant, size, broadcast_keys, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
