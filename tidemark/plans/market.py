@@ -13,7 +13,7 @@ from ..functions import scalars as S
 from ..operators import manifest, metrics, quarantine, reorder, validate
 from ..operators.normalize import ALIASES, event_kind, normalize
 from ..sources.store import Store, write_replay
-from ..sources.text import read_csv, read_json_array, read_json_lines
+from ..sources.text import read_csv, read_files, read_json_array, read_json_lines
 from ..streaming import ingest as streaming
 from ..streaming import stateful
 from ..streaming.ingest import FileStream
@@ -381,19 +381,47 @@ def replay_limited(spark, d):
     return out.select("event_id", "symbol", "timestamp_ns")
 
 
-def json_array_read(spark, d):
-    """Each day of the feed as one JSON array, read again in pieces."""
-    path = new_path(spark, "arrays")
+def _arrays(rows):
+    """A writer of each day of a feed as one JSON array, in order of arrival."""
     day, at = F.expr("arrival div 86400000000").alias("day"), F.struct("arrival", "line_number")
-    rows = feed(spark, d).select(day, at.alias("at"), F.to_json("fields").alias("value"))
+    rows = rows.select(day, at.alias("at"), F.to_json("fields").alias("value"))
     firsts = rows.groupBy("day").agg(F.min("at").alias("first"))
     rows = rows.join(firsts, "day").select("day", F.lit(1).alias("part"), "at", F.when(F.col("at") == F.col("first"), F.col("value")).otherwise(F.concat(F.lit(","), F.col("value"))).alias("value"))
     ends = firsts.select("day", F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.col("first").alias("at"), F.lit(x).alias("value")) for i, x in ((0, "["), (2, "]"))])))
-    rows.unionByName(ends).repartition("day").sortWithinPartitions("day", "part", "at").select("day", "value").write.partitionBy("day").text(path)
+    return rows.unionByName(ends).repartition("day").sortWithinPartitions("day", "part", "at").select("day", "value").write.partitionBy("day")
+
+
+def _as_lines(writer, path):
+    """Lines of text in files whose extension tells nothing."""
+    writer.options(extension="feed", sep="\u0001", quote="\u0000", escape="\u0000", emptyValue="").csv(path)
+
+
+def json_array_read(spark, d):
+    """Each day of the feed as one JSON array, read again in pieces."""
+    path = new_path(spark, "arrays")
+    _arrays(feed(spark, d)).text(path)
     n = normalize(read_json_array(spark, path))
     return n.groupBy("event_type", F.coalesce("error_code", F.lit("")).alias("error_code")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
 
 
+def choose_format(spark, d):
+    """The feed in files that their extensions tell, and in files that only their first character
+    tells, all read at once: what each kind of file holds."""
+    path, rows = new_path(spark, "kinds"), feed(spark, d)
+    part = lambda k: rows.where(F.col("line_number") % 5 == k)
+    fields = [F.col("fields")[k].alias(k) for k in KEYS]
+    part(0).select(fields).write.csv(f"{path}/named_table", header=True)
+    part(1).select(fields).write.json(f"{path}/named_lines")
+    part(2).select(fields).write.option("extension", "feed").csv(f"{path}/table", header=True)
+    _as_lines(part(3).select(F.to_json("fields").alias("value")).write, f"{path}/lines")
+    _as_lines(_arrays(part(4)), f"{path}/array")
+    kinds = ("named_table", "named_lines", "table", "lines", "array")
+    files = [r.f for k in kinds for r in spark.read.format("binaryFile").load(f"{path}/{k}").select(F.col("path").alias("f")).collect()]  # names only
+    n = normalize(read_files(spark, files))
+    kind = F.regexp_extract("source_file", "/(named_table|named_lines|table|lines|array)/", 1).alias("kind")
+    return n.groupBy(kind, F.coalesce("error_code", F.lit("")).alias("error_code")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"))
+
+
 def broken_lines(spark, d):
     """The feed as JSON lines, some of which are halves of surrogate pairs, nested beyond any depth,
     cut short or no objects, and some symbols of which stand between tabs: what becomes of each."""
@@ -568,7 +596,7 @@ def lineitem_downsample(spark, d):
     return metrics.down_sample(rows, ["symbol"], reorder.REPLAY_ORDER, 50, bucket=F.expr(f"timestamp_ns div {24 * metrics.HOUR_NS}")).select("symbol", "event_id", "point")
 
 
-QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample, lineitem_many_windows, lineitem_gaps, run_sequences, manifest_checksums, broken_lines)}
+QUERIES = {f.__name__: f for f in (canonical_trades, canonical_quotes, epoch_unit_parse, iso_ns_parse, decimal_parse, side_normalize, validation_status, validation_metrics, validation_report, quarantine_union, late_split, reorder_sequence, dedup_events, replay_window, replay_many_windows, monotonicity_audit, running_vwap, running_imbalance, spread_series, inter_arrival, jitter_percentiles, jitter_histogram, downsample_series, symbol_summary, manifest_rollup, event_identity, detect_event_type, csv_parse_route, price_jump_warnings, diagnostics_listing, ingest_manifest, store_upsert, stored_report, stream_reorder, quote_rules, crossed_policy, quarantine_normalising, quarantine_rules, quarantine_lateness, quarantine_log, quarantine_store, own_aliases, replay_json, replay_limited, json_array_read, report_display, run_differences, manifest_verify, stream_dedup, stream_timers, stream_lateness, stream_price_jumps, stream_repeats, lineitem_series, lineitem_summary, lineitem_downsample, lineitem_many_windows, lineitem_gaps, run_sequences, manifest_checksums, broken_lines, choose_format)}
 
 _BASE = """
 raw AS (SELECT event_id AS n, 'U'||user_id AS symbol, epoch_us(ts)*1000 AS timestamp_ns, event_type IN ('purchase','error','signup') AS is_trade,
@@ -683,6 +711,7 @@ SQL |= {
     "own_aliases": f"WITH {_BASE} SELECT n AS event_no, CAST(px AS DOUBLE) AS price, '' AS error_code FROM ev WHERE is_trade",
     "replay_json": f"WITH {_BASE} SELECT CASE WHEN is_trade THEN 'TRADE' ELSE 'QUOTE' END AS event_type, event_id, symbol, timestamp_ns FROM ev",
     "replay_limited": f"WITH {_BASE} SELECT event_id, symbol, timestamp_ns FROM ev ORDER BY timestamp_ns, prio, event_id LIMIT 100",
+    "choose_format": f"WITH {_BASE} SELECT CASE n%5 WHEN 0 THEN 'named_table' WHEN 1 THEN 'named_lines' WHEN 2 THEN 'table' WHEN 3 THEN 'lines' ELSE 'array' END AS kind, '' AS error_code, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev GROUP BY 1",
     "json_array_read": f"WITH {_BASE} SELECT CASE WHEN is_trade THEN 'TRADE' ELSE 'QUOTE' END AS event_type, '' AS error_code, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev GROUP BY 1",
     "report_display": f"WITH full_summary AS ({SQL['symbol_summary']}) SELECT symbol, total_events, volume, round(vwap, 4) AS vwap, round(imbalance*100, 2) AS imbalance_pct, round(mean_spread_bps, 2) AS mean_spread_bps, {', '.join(f'round(gap_{p}/1000.0::DOUBLE, 1) AS gap_{p}_us' for p in ('min', 'p50', 'p90', 'p99', 'max'))} FROM full_summary",
     "run_differences": f"WITH {_BASE} SELECT CASE WHEN n%7=0 THEN 'first' ELSE 'second' END AS only_in, count(*) AS n FROM ev WHERE (n%7=0) <> (n%11=0) GROUP BY 1",
