@@ -13,7 +13,8 @@ rule them out in new texts. A blank or mark between single letters costs little
 word, one that cuts a word into longer pieces as much as a disguise each time. Texts are scored with
 readings that are disguised at odds of e**-`ODDS` already, as readings add words only.
 
-The lattice reads odd tokens, stretched words, runs of short words of which one is rare, and runs of
+The lattice reads odd tokens, stretched words, runs of short words of which one is rare and two are
+likelier as one (or one has a look-alike in it), and runs of
 three words or more of any length that the character model prefers as one at the price of a
 disguise. Of two neighbours it has two paths only, which are compared for every blank of the text
 at once; as what the readings add never replaces the words, a pair is also read as one where
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import log
 from unicodedata import combining, normalize
 
@@ -59,11 +60,14 @@ _CODE = np.full(256, 0, np.uint8)
 for _c in range(26):
     _CODE[ord("a") + _c] = _CODE[ord("A") + _c] = _c + 1
 _CODE[128:] = 27
+_POINTS = np.full(0x110000, 27, np.uint8)  # by code point
+_POINTS[:128] = _CODE[:128]
 
 FOREIGN = "".join(c for c in LOOKALIKES if ord(c) > 127 and c.isalpha())
 ODD = re.compile(r"[0-9@$!|+€(._*~'\-]")
 STRANGE = re.compile(f"[{FOREIGN}{WIDTHLESS}\uff21-\uff3a\uff41-\uff5a\u0300-\u036f]")
 LATIN = re.compile(f"[a-z0-9\u00df-\u024f{FOREIGN}{WIDTHLESS}\uff41-\uff5a\u0300-\u036f]*")
+DIGIT = re.compile(r"[0-9@$!|+€(]")
 SYMBOL = re.compile(r"[@$!|+€(]")
 STRETCH = re.compile(r"(.)\1\1")
 UNLIKELY = re.compile("[12]*2[12]*")  # over one mark a word: 0 long, 1 short, 2 short and rare
@@ -126,7 +130,8 @@ def _code(c: str) -> int:
 class Decoder:
     """Viterbi search over the readings of odd tokens and runs of words.
 
-    used: how often each reading was taken (names as in _options); None before that is known.
+    used: how often each reading was taken (names as in _options); None before that is known, and
+    only then readings tell what they used.
     odds: log odds that a word is disguised are raised by this."""
 
     def __init__(self, win: np.ndarray, n: np.ndarray, used: dict[str, int] | None = None, odds: float = 0.0):
@@ -156,7 +161,7 @@ class Decoder:
         self.enter = min(0.0, self.price + odds)
         self.known: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
         self.options: dict[str, list[tuple[str, float, str]]] = {}
-        self.marks: dict[str, str] = {}
+        self.marks = Known(self.mark)
 
     def _rate(self, name: str, reads: str) -> float:
         """Log rate of one way to write a letter in disguised words, or to put something between."""
@@ -194,7 +199,7 @@ class Decoder:
         what they used."""
         got = self.known.get(token)
         if got is None:
-            if len(self.known) > 200_000:
+            if len(self.known) > 50_000:
                 self.known.clear()
             pieces = [self._search(token[a : a + SPAN]) for a in range(0, max(len(token) - SPAN // 2, 1), SPAN // 2)]
             got = self.known[token] = tuple(p.strip() for p, _ in pieces), tuple(x for _, names in pieces for x in names)
@@ -222,55 +227,66 @@ class Decoder:
             else:
                 slots += [options] * run
             at += run
-        logp, enter, cubed = self.logp, self.enter, SIZE**3
+        logp, enter, cubed, counting = self.logp, self.enter, SIZE**3, not self.used
         # by the last three characters' codes, and that plus cubed within a disguised word
         states: dict[int, tuple[float, str, tuple[str, ...]]] = {0: (0.0, "", ())}
         for slot in [*slots, [(" ", 0.0, "")]]:
             after: dict[int, tuple[float, str, tuple[str, ...]]] = {}
+            told = [(chars, q, name, bool(name) and name[-1] != "=", [_code(c) for c in chars]) for chars, q, name in slot]
             for state, (p, text, names) in states.items():
-                for chars, q, name in slot:
-                    r, told, disguised = p + q, (name,) if name else (), state >= cubed
-                    if name and name[-1] != "=" and not disguised:
-                        r, told, disguised = r + (enter if name != "cut" else 0.0), (name, "disguised"), True
-                    s = state % cubed
-                    for c in chars:
-                        code = _code(c)
-                        r += logp[s * SIZE + code]
-                        s = (s * SIZE + code) % cubed
-                        disguised = disguised and code > 0
+                for chars, q, name, odd, codes in told:
+                    r, s, disguised = p + q, state, state >= cubed
+                    if disguised:
+                        s -= cubed
+                    entered = odd and not disguised
+                    if entered:
+                        disguised = True
+                        if name != "cut":
+                            r += enter
+                    for code in codes:
+                        s = s * SIZE + code
+                        r += logp[s]
+                        s %= cubed
+                        if not code:
+                            disguised = False
                     if disguised:
                         s += cubed
-                    if s not in after or r > after[s][0]:
-                        after[s] = r, text + chars, names + told
+                    held = after.get(s)
+                    if held is None or r > held[0]:
+                        after[s] = r, text + chars, names + ((name, "disguised") if entered else (name,)) if counting and name else names
             states = after
         return max(states.values())[1:]
 
     def gains(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How much likelier the character model finds a text (its codes, three breaks before and
         four after) without the break at each of the places."""
-        c = [data[at + k] for k in range(-3, 4)]
-        table = self.table
-
-        def p(w, x, y, z):
-            return table[((w * SIZE + x) * SIZE + y) * SIZE + z]
-
-        split = p(c[0], c[1], c[2], c[3]) + p(c[1], c[2], c[3], c[4]) + p(c[2], c[3], c[4], c[5]) + p(c[3], c[4], c[5], c[6])
-        return p(c[0], c[1], c[2], c[4]) + p(c[1], c[2], c[4], c[5]) + p(c[2], c[4], c[5], c[6]) - split - self._plain(" ")
-
-    def mark(self, token: str) -> str:
-        """0 for a long word, 1 for a short one, 2 for a short one that is rare in the corpus."""
-        if len(token) > SHORT:
-            return "0"
-        got = self.marks.get(token)
-        if got is None:
-            t = token.strip(EDGES)
-            codes = [ord(c) - 96 if "a" <= c <= "z" else 27 for c in t]
-            if not t or not t.isalpha():
-                got = "1"
-            else:
-                n = self.ones[codes[0]] if len(t) == 1 else self.twos[tuple(codes)] if len(t) == 2 else self.threes[tuple(c - 1 for c in codes)]
-                got = "2" if n < RARE * self.words else "1"
-            self.marks[token] = got
+        a, b, c, _, d, e, f = (data[at + k].astype(np.int32) for k in range(-3, 4))  # the break is 0
+        table, n2, n3 = self.table, SIZE**2, SIZE**3
+        bc, de = b * SIZE + c, d * SIZE + e
+        ends, bc, c, d_f = (a * n2 + bc) * SIZE, bc * n2, c * n3, de * SIZE + f
+        split = table[ends] + table[bc + d] + table[c + de] + table[d_f]
+        return table[ends + d] + table[bc + de] + table[c + d_f] - split - self._plain(" ")
+
+    def mark(self, token: str) -> int:
+        """Of a short word: the digit 2 if it is rare in the corpus, else 1."""
+        t = token.strip(EDGES)
+        if not t or not t.isalpha():
+            return 49
+        codes = [ord(c) - 96 if "a" <= c <= "z" else 27 for c in t]
+        n = self.ones[codes[0]] if len(t) == 1 else self.twos[tuple(codes)] if len(t) == 2 else self.threes[tuple(c - 1 for c in codes)]
+        return 50 if n < RARE * self.words else 49
+
+
+class Known(dict):
+    """What a function says of words, at most `most` of them at a time."""
+
+    def __init__(self, tell: Callable[[str], object], most: int = 100_000):
+        self.tell, self.most = tell, most
+
+    def __missing__(self, word: str):
+        if len(self) >= self.most:
+            self.clear()
+        got = self[word] = self.tell(word)
         return got
 
 
@@ -283,28 +299,29 @@ def join_gains(listed: list[str], decoder: Decoder) -> np.ndarray:
         first, b = max(a - 5, 0), min(a + BLOCK, len(listed))
         line = "   " + " ".join(listed[first : b + 4]) + "    "
         points = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32)
-        codes = np.where(points < 128, _CODE[np.minimum(points, 127)], 27).astype(np.int32)
+        codes = _POINTS[points]
         at = np.flatnonzero(points[3:-4] == 32) + 3
         out.append(decoder.gains(codes, at[a - 1 - first : b - 1 - first]))
     return np.concatenate(out)
 
 
-def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str], set[str]]:
-    """The plain words of a text, its pairs of neighbours that may be one word, joined, and what
-    else the decoder should read: odd tokens, stretched words and runs of three words or more, or
-    of short ones, that may be one."""
+def odd_spans(text: str, decoder: Decoder, with_pairs: bool = True) -> tuple[set[str], set[str], set[str]]:
+    """The plain words of a text, its pairs of neighbours that may be one word, joined (both only as
+    far as the third needs them, unless with_pairs), and what else the decoder should read: odd
+    tokens, stretched words and runs of three words or more, or of short ones, that may be one."""
     listed = text.lower().split()
     raw = set(listed)
     words = {t for t in raw if t.isalpha()}
     spans: set[str] = set()
-    if STRANGE.search(text):  # tokens that mix alphabets or hold characters without width
+    if not text.isascii() and STRANGE.search(text):  # tokens that mix alphabets or hold characters without width
         spans.update(t for t in raw if STRANGE.search(t) and LATIN.fullmatch(t.strip(EDGES)))
     for t in raw - words:
         t = t.strip(EDGES)
         if t.isalpha():
             words.add(t)
         elif t:
-            words.update(p for p in PARTS.split(t) if p.isalpha())
+            if with_pairs:
+                words.update(p for p in PARTS.split(t) if p.isalpha())
             bare = t.rstrip(TAIL)
             if bare.isalpha():
                 words.add(bare)
@@ -316,14 +333,22 @@ def odd_spans(text: str, decoder: Decoder) -> tuple[set[str], set[str], set[str]
     pairs: set[str] = set()
     if len(listed) > 1:
         gains = join_gains(listed, decoder)
-        pairs = {listed[k] + listed[k + 1] for k in np.flatnonzero(gains > SPLIT).tolist()}
+        if with_pairs:
+            pairs = {(listed[k] + listed[k + 1]).strip(EDGES) for k in np.flatnonzero(gains > SPLIT).tolist()}
         joins = gains + decoder.price > 0
         joins &= np.r_[False, joins[:-1]] | np.r_[joins[1:], False]  # pairs are read above
-        mark = decoder.mark
-        marks = "".join([mark(t) if len(t) <= SHORT else "0" for t in listed])
-        if "2" in marks:
-            for m in UNLIKELY.finditer(marks):
-                joins[m.start() : m.end() - 1] = True
+        short = np.fromiter(map(len, listed), np.int64, len(listed)) <= SHORT
+        near = short[1:] & short[:-1]
+        short &= np.r_[near, False] | np.r_[False, near]  # those beside another short one
+        marks = np.full(len(listed), 48, np.uint8)
+        at = np.flatnonzero(short).tolist()
+        known = decoder.marks
+        marks[at] = [known[listed[k]] for k in at]
+        if (marks == 50).any():
+            for m in UNLIKELY.finditer(marks.tobytes().decode()):
+                a, b = m.start(), m.end() - 1
+                if b > a + 1 and gains[a:b].max() > SPLIT or DIGIT.search(" ".join(listed[a : b + 1])):
+                    joins[a:b] = True
         edges = np.flatnonzero(np.diff(np.r_[False, joins, False].astype(np.int8)))
         spans.update(" ".join(listed[a : b + 1]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()))
     return words, pairs, spans
@@ -352,7 +377,7 @@ def channel_counts(docs: DataFrame, win: np.ndarray, n: np.ndarray) -> dict[str,
         decoder, used = Decoder(*tables.value), Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for span in odd_spans(t or "", decoder)[2]:
+                for span in odd_spans(t or "", decoder, False)[2]:
                     used.update(decoder.restore(span)[1])
         yield pa.RecordBatch.from_arrays([pa.array(list(used), pa.string()), pa.array(list(used.values()), pa.int64())], names=["name", "n"])
 
@@ -414,24 +439,28 @@ class ToxicityModel:
         self._decoder = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_decoder": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_words", "_first", "_starts")} | {"_decoder": None}
 
     @property
     def decoder(self) -> Decoder:
         if self._decoder is None:
             self._decoder = Decoder(self.win, self.n, self.used, ODDS)
+            self._words = {f for f in self.weights if f[0] not in "^+"}
+            self._first = {f[1 : STARTS[0] + 1] for f in self.weights if f[0] in "^+"}
+            self._starts = {k: {f[1:] for f in self.weights if f[0] in "^+" and len(f) == k + 1} for k in STARTS}
         return self._decoder
 
     def score(self, text: str) -> float:
-        if not hasattr(self, "_by"):
-            self._words = {f for f in self.weights if f[0] not in "^+"}
-            self._by = {k: {f[1:] for f in self.weights if f[0] in "^+" and len(f) == k + 1} for k in STARTS}
         words, pairs = read(text, self.decoder)
-        got = (words | pairs) & self._words
-        for k, known in self._by.items():
-            starts = [s for s in [w[:k] for w in words if len(w) > k] if s in known]
-            got.update(["^" + s for s in starts])
-            got.update(["+" + s for s, n in Counter(starts).items() if n > 1])
+        got = words & self._words
+        got |= pairs & self._words
+        first = self._first
+        begun = [w for w in words if w[: STARTS[0]] in first]
+        for k, known in self._starts.items():
+            starts = [s for s in [w[:k] for w in begun if len(w) > k] if s in known]
+            if starts:
+                got.update(["^" + s for s in starts])
+                got.update(["+" + s for s, n in Counter(starts).items() if n > 1])
         got &= self.weights.keys()
         z = self.bias + sum(self.weights[f] for f in got)
         return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
