@@ -51,3 +51,13 @@ def test_decimal_text(spark, text, canonical):
 def test_identity(spark):
     got = spark.range(1).select(S.trade_id(F.lit("AAPL"), F.lit(1789552800100000000), F.lit("150.25"), F.lit("100"), F.lit("BUY"), F.lit("NASDAQ"), F.lit(None))).first()[0]
     assert got == "66b853f96664bca3431e5538b9c856e1257890cb2496d285a6656a9d7326dbc6"
+
+
+@pytest.mark.parametrize("text, want", [("12.30", "12.30"), ("-0.5", "-0.5"), ("12\n", "12"), ("007.10", "7.10"), ("5.", "5"), ("1e3", "1000"), ("$1,250.75", "1250.75"), ("x", None), ("9" * 70, None)])
+def test_canonical_decimal(spark, text, want):
+    assert one(spark, S.canonical_decimal, text) == want == one(spark, lambda v: S.format_decimal(S.lexeme(v)), text)
+
+
+@pytest.mark.parametrize("text, ns", [("99999999999999999", None), ("4102444800000000", 4102444800000000000), ("4102444801", None), ("0", 0), ("100000000000000000", 100000000000000000)])
+def test_epochs_at_their_limits(spark, text, ns):
+    assert one(spark, S.parse_timestamp_ns, text) == ns
