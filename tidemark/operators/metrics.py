@@ -128,9 +128,9 @@ def summary(with_series: DataFrame) -> DataFrame:
 
 def down_sample(rows: DataFrame, keys: list[str], order: list[str], most: int = 350, bucket: Column | None = None) -> DataFrame:
     """At most `most` evenly spread rows a key, and the last again: rows floor(i * n / most).
-    bucket (rising with the order) ranks a busy key in two steps; its rows are then read twice."""
-    placed = prefix_scans(rows, keys, order, bucket, {"__i": Running(F.lit(1), "count")}).withColumn("__i", F.col("__i") - 1)
-    placed = placed.join(rows.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
+    bucket (rising with the order) ranks and counts a busy key in two steps, so that no task gets
+    all its rows; they are then read twice."""
+    placed = prefix_scans(rows, keys, order, bucket, {"__i": Running(F.lit(1), "count"), "__n": Running(F.lit(1), "total")}).withColumn("__i", F.col("__i") - 1)
     step = F.col("__n") / F.lit(float(most))
     first = F.ceil(F.col("__i") / step).cast("int")
     # i is taken if some j < most has floor(j * step) = i; rounding may move that j by one

@@ -15,7 +15,8 @@ TAKE = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 @dataclass(frozen=True)
 class Running:
     """A running `kind` (sum, max, min, count or last) of value. `last` is the last value that
-    is not null; with exclusive a row's own value is left out."""
+    is not null; with exclusive a row's own value is left out. `total` is the sum over all rows
+    of a key, before and after."""
 
     value: Column
     kind: str
@@ -36,7 +37,14 @@ def prefix_scans(df: DataFrame, keys: list[str], order: list[str], bucket: Colum
     for n, r in wanted.items():
         v, here, before = f"{at[n]}v", F.col(f"{at[n]}l"), F.col(f"{at[n]}c")
         within = W.partitionBy(*keys, "__bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1 if r.exclusive else 0)
-        if r.kind == "last":
+        if r.kind == "total":
+            every = W.partitionBy(*(keys or [F.lit(1)]))
+            totals.append(F.sum(v).alias(f"{at[n]}t"))
+            carried[f"{at[n]}c"] = F.sum(f"{at[n]}t").over(every)
+            if bucket is None:
+                local[f"{at[n]}l"] = F.sum(v).over(every)
+            combined[n] = before
+        elif r.kind == "last":
             totals.append(F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"{at[n]}t"))
             local[f"{at[n]}l"], carried[f"{at[n]}c"] = F.last(v, True).over(within), F.last(f"{at[n]}t", True).over(over)
             combined[n] = F.coalesce(here, before)
