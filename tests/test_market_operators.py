@@ -79,3 +79,37 @@ def test_quarantine_reads_only_what_it_touches(spark, tmp_path):
     assert sorted(r.quarantine_id for r in store.quarantine().collect()) == sorted(f"QUAR-{i}" for i in [*range(200), 777])
     plan = store._quarantine().where(F.col("bucket").isin(["b01"]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+
+
+def test_windows_are_counted_as_the_replay_gives_them(spark):
+    """Repeated and empty requests, ends that tie with events, windows over several buckets."""
+    from tidemark.operators import reorder
+
+    e = spark.createDataFrame([(f"e{i}", "A" if i % 3 else "B", 10 * (i // 4)) for i in range(200)], "event_id string, symbol string, timestamp_ns bigint")
+    asked = [(f"r{i}", "A" if i % 2 else "B", 7 * i - 40, 7 * i + 10 * (i % 9) - 40) for i in range(90)]
+    r = spark.createDataFrame([*asked, *asked[:5], ("x", "A", 9, 5), ("y", "none", 0, 900)], "request_id string, symbol string, start_ns bigint, end_ns bigint")
+    want = {x.request_id: x["count"] for x in reorder.replay_many(e, r).groupBy("request_id").count().collect()}
+    got = {x.request_id: x.n for x in reorder.count_many(e, r, 50).groupBy("request_id").agg({"n": "sum"}).toDF("request_id", "n").collect() if x.n}
+    assert got == want and len(got) > 60
+
+
+def test_totals_of_a_key_in_every_row(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.prefix import Running, prefix_scans
+
+    rows = spark.range(100).select((F.col("id") % 2).alias("k"), "id")
+    for bucket in (None, F.floor(F.col("id") / 10)):
+        got = prefix_scans(rows, ["k"], ["id"], bucket, {"n": Running(F.lit(1), "total")})
+        assert {(r.k, r.n) for r in got.collect()} == {(0, 50), (1, 50)} and got.count() == 100
+
+
+def test_down_sampling_deals_no_rows_by_key_alone(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import metrics
+
+    rows = spark.range(1000).select(F.lit("HOT").alias("symbol"), "id")
+    plan = metrics.down_sample(rows, ["symbol"], ["id"], 50, F.floor(F.col("id") / 10))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("__bucket" in line for line in joins)

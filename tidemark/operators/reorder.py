@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_timestamp_ns
 from ..prefix import Running, prefix_scans
+from ..tables import staged_table
 
 LAST_NS = (1 << 63) - 1
 
@@ -101,6 +102,23 @@ def replay_many(events: DataFrame, requests: DataFrame, salts: int = 8) -> DataF
     return joined.drop("__symbol", "__bin", "__at", "__salt", "__r")
 
 
+def count_many(events: DataFrame, requests: DataFrame, bucket_ns: int) -> DataFrame:
+    """requests (as for replay_many) with n, the events that replay_many gives for each, without
+    making them: the events up to a window's end less those before its start.
+
+    Events of a time and equal bounds of a symbol are one row each, scanned in buckets of time, so
+    the work grows with events and requests and not with what the windows hold."""
+    r = requests.where("start_ns <= end_ns")
+    bounds = lambda c, turn: r.select("symbol", F.col(c).alias("timestamp_ns"), F.lit(turn).alias("turn"), F.lit(0).cast("bigint").alias("k"))
+    at = events.groupBy("symbol", "timestamp_ns").agg(F.count("*").alias("k")).select("symbol", "timestamp_ns", F.lit(0).alias("turn"), "k")
+    # at one time starts come before the events and ends after them
+    rows = at.unionByName(bounds("start_ns", -1).unionByName(bounds("end_ns", 1)).distinct())
+    upto = staged_table(prefix_scans(rows, ["symbol"], ["timestamp_ns", "turn"], F.floor(F.col("timestamp_ns") / bucket_ns), {"upto": Running(F.col("k"), "sum")}), "upto")
+    of = lambda turn, c, name: upto.where(F.col("turn") == turn).select("symbol", F.col("timestamp_ns").alias(c), F.col("upto").alias(name))
+    r = r.join(of(-1, "start_ns", "__before"), ["symbol", "start_ns"]).join(of(1, "end_ns", "__upto"), ["symbol", "end_ns"])
+    return r.withColumn("n", F.col("__upto") - F.col("__before")).select(*requests.columns, "n")
+
+
 def positions(events: DataFrame, keys: list[str], order: list[Column], bucket: Column, name: str = "position") -> DataFrame:
     """events with their place (from 1) in the order of their key. bucket (rising with the order)
     splits a busy key: places are counted in buckets, and carried over them."""
