@@ -367,3 +367,18 @@ def test_token_files_are_read_by_ranges(spark, tmp_path):
     at = np.flatnonzero(ids == 7)
     want = [*(np.diff(at, prepend=-1) - 1).tolist(), len(ids) - at[-1] - 1]
     assert [r.n_tokens for r in sorted(got, key=lambda r: r.ordinal)] == (want if want[-1] else want[:-1])
+
+
+def test_neighbours_recall_where_nothing_is_clustered(spark):
+    """Vectors of no structure, whose neighbours are hardly nearer than the rest."""
+    x = np.random.default_rng(1).standard_normal((8000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    q = np.arange(0, 8000, 50)
+    cosines = u[q] @ u.T
+    cosines[np.arange(len(q)), q] = -2
+    best = np.argsort(-cosines, 1)[:, :5].tolist()
+    assert np.mean([len(set(b) & got[int(i)]) / 5 for i, b in zip(q, best)]) > 0.97

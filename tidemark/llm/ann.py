@@ -216,7 +216,7 @@ def _introduce(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
 BEAM = "query bigint, q binary, beam array<struct<id:bigint,sim:float,open:boolean>>, going boolean"
 
 
-def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 64, width: int = 12, entries: int = 32) -> DataFrame:
+def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, ef: int = 256, width: int = 64, entries: int = 32) -> DataFrame:
     """query, id: the nodes in each query's beam when its walk ended.
 
     queries: query, q (unit vector), node (its own node if indexed, else null). A step opens the
