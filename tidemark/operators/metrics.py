@@ -32,7 +32,7 @@ def series(events: DataFrame, bucket_ns: int | None = HOUR_NS) -> DataFrame:
         "cum_notional": Running(F.coalesce(c("price") * c("size"), F.lit(0).cast("decimal(37,12)")), "sum"),
         "__buy": Running(sided("BUY"), "sum"),
         "__sell": Running(sided("SELL"), "sum"),
-        "__before": Running(c("timestamp_ns"), "last", True),
+        "__before": Running(c("timestamp_ns"), "max", True),  # the order begins with it
         "position": Running(F.lit(1), "count"),
     }
     bucket = None if bucket_ns is None else F.floor(c("timestamp_ns") / bucket_ns)
@@ -100,8 +100,12 @@ def gap_histogram(events_with_gaps: DataFrame, bins: int = 24) -> DataFrame:
     return every.join(counted, ["symbol", "bin"], "left").select("symbol", "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+#: What a summary reads of a series. Staged without the rest, whose running sums are not computed then.
+SUMMARY_COLUMNS = ["symbol", "event_type", "price", "size", "side", "bid_price", "ask_price", "spread", "spread_bps", "position", "gap_ns"]
+
+
 def summary(with_series: DataFrame) -> DataFrame:
-    """One row a symbol."""
+    """One row a symbol, of a series' SUMMARY_COLUMNS."""
     c, trade = F.col, F.col("event_type") == "TRADE"
     zero = F.lit(0)
     out = with_series.groupBy("symbol").agg(
@@ -113,7 +117,7 @@ def summary(with_series: DataFrame) -> DataFrame:
         F.coalesce(F.sum(c("price") * c("size")), zero).cast("double").alias("notional"),
         F.coalesce(F.min("price"), zero).cast("double").alias("min_price"),
         F.coalesce(F.max("price"), zero).cast("double").alias("max_price"),
-        F.coalesce(F.max_by("price", F.when(trade, F.struct(*REPLAY_ORDER))), zero).cast("double").alias("last_price"),
+        F.coalesce(F.max_by("price", F.when(trade, c("position"))), zero).cast("double").alias("last_price"),
         F.coalesce(F.sum(F.when(c("side") == "BUY", c("size"))), zero).cast("double").alias("buy_volume"),
         F.coalesce(F.sum(F.when(c("side") == "SELL", c("size"))), zero).cast("double").alias("sell_volume"),
         F.coalesce(F.sum("spread"), zero).cast("double").alias("__spread"),

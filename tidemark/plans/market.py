@@ -175,9 +175,10 @@ def monotonicity_audit(spark, d):
     return reorder.monotonicity(canonical(spark, d), ["symbol"], ["arrival", "line_number"], hour())
 
 
-def _series(spark, d, once: bool = False):
+def _series(spark, d, once: list[str] | None = None):
+    """The series of the events; with `once` these columns of it, staged."""
     s = metrics.series(canonical(spark, d))
-    return staged_table(s, "series") if once else s
+    return staged_table(s.select(*once), "series") if once else s
 
 
 def running_vwap(spark, d):
@@ -197,11 +198,11 @@ def inter_arrival(spark, d):
 
 
 def jitter_percentiles(spark, d):
-    return metrics.gap_percentiles(_series(spark, d, once=True))
+    return metrics.gap_percentiles(_series(spark, d, once=["symbol", "gap_ns"]))
 
 
 def jitter_histogram(spark, d):
-    return metrics.gap_histogram(_series(spark, d, once=True))
+    return metrics.gap_histogram(_series(spark, d, once=["symbol", "gap_ns"]))
 
 
 def downsample_series(spark, d):
@@ -210,7 +211,7 @@ def downsample_series(spark, d):
 
 
 def symbol_summary(spark, d):
-    return metrics.summary(_series(spark, d, once=True))
+    return metrics.summary(_series(spark, d, once=metrics.SUMMARY_COLUMNS))
 
 
 def event_identity(spark, d):
@@ -506,7 +507,7 @@ def stream_repeats(spark, d):
 
 
 def report_display(spark, d):
-    return display(metrics.summary(_series(spark, d, once=True)))
+    return display(metrics.summary(_series(spark, d, once=metrics.SUMMARY_COLUMNS)))
 
 
 def run_differences(spark, d):
@@ -597,7 +598,8 @@ def lineitem_series(spark, d):
 
 
 def lineitem_summary(spark, d):
-    s = metrics.summary(staged_table(metrics.series(_orders(spark, d), bucket_ns=24 * metrics.HOUR_NS), "series"))
+    s = metrics.series(_orders(spark, d), bucket_ns=24 * metrics.HOUR_NS).select(*metrics.SUMMARY_COLUMNS)
+    s = metrics.summary(staged_table(s, "series"))
     return s.select("symbol", "trade_count", "volume", "min_price", "max_price", "last_price", "buy_volume", "sell_volume", "n_gaps", "gap_p50", "gap_max")
 
 
