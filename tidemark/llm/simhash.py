@@ -52,6 +52,20 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
+def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A SimHash of 64 * words bits of different features' 64-bit hashes, as bigints: the hashes are
+    mixed anew for every word."""
+    rng = np.random.default_rng(7)
+    by = rng.integers(0, 1 << 63, words, np.uint64) * np.uint64(2) + np.uint64(1)
+    counts = np.zeros(BITS * words, np.int64)
+    for at in range(0, len(hashes), 1 << 10):  # bounded memory for very long texts
+        x = hashes[at : at + (1 << 10), None] * by
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        counts += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp (bigint holding the 64 bits) for every row."""
 
